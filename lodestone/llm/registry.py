@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lodestone.llm import exact_dedup
+from lodestone.llm import exact_dedup, mixing, sharding
 
-MODULES = (exact_dedup,)
+MODULES = (sharding, mixing, exact_dedup)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
