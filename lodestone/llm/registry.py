@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lodestone.llm import exact_dedup, mixing, sharding
+from lodestone.llm import exact_dedup, mixing, packing, sharding
 
-MODULES = (sharding, mixing, exact_dedup)
+MODULES = (sharding, mixing, packing, exact_dedup)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
