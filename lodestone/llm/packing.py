@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,10 +18,9 @@ CAPACITY = 2048
 END_ID = 1
 SEED = 13
 #: Texts of this many bytes, and this many cached words, are held by a Python worker at once.
-BATCH_BYTES, CACHED_WORDS = 4_000_000, 400_000
+BATCH_BYTES, CACHED_WORDS = 4_000_000, 1_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-_PLAIN = re.compile(rb"([A-Za-z]+)([.,;:!?]*)")
 
 
 def tokenizer_path() -> str:
@@ -32,12 +30,18 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian 32-bit numbers."""
+    return np.asarray(ids, dtype="<u4").tobytes()
+
+
 class WordIds:
     """Token ids of texts, as little-endian 32-bit bytes, with the ids of recent words at hand.
 
     The tokenizer never joins characters across ASCII white space, so the ids of a text are those of its
-    words, one after the other. A word of ASCII letters and trailing punctuation is its lower-case letters
-    and its punctuation. Both caches are emptied when they are full.
+    words, one after the other; and it never joins letters with punctuation, so the ids of letters that
+    punctuation follows are those of the letters and those of the punctuation. Texts of Latin-1 alone are
+    put in small letters first, as the tokenizer does. The cache is emptied when it is full.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,24 +49,57 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+
+    def _encode(self, words: list[bytes]) -> None:
+        for word, found in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
+            self.words[word] = pack_ids(found.ids)
+
+    def _encode_letters(self, words: list[bytes]) -> None:
+        """Words of letters alone: each has one token that ends a word, its last, so many can be encoded as one text."""
+        for at in range(0, len(words), 500):
+            some = words[at : at + 500]
+            ids = np.asarray(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, dtype="<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) != len(some):
+                self._encode(some)
+                continue
+            packed, start = ids.tobytes(), 0
+            for word, stop in zip(some, stops.tolist(), strict=True):
+                self.words[word] = packed[start:stop]
+                start = stop
 
     def _learn(self, new: set[bytes]) -> None:
-        plain = {w: m.groups() for w in new if (m := _PLAIN.fullmatch(w))}
-        parts = {w: (w,) for w in new if w not in plain} | {w: (a.lower(), b) for w, (a, b) in plain.items()}
-        if len(self.parts) > CACHED_WORDS:
-            self.parts.clear()
-        unknown = list({p for ps in parts.values() for p in ps} - self.parts.keys())
-        for part, found in zip(unknown, self.tokenizer.encode_batch_fast([p.decode() for p in unknown], add_special_tokens=False), strict=True):
-            self.parts[part] = np.asarray(found.ids, dtype="<u4").tobytes()
-        for word, ps in parts.items():
-            self.words[word] = b"".join([self.parts[p] for p in ps])
+        letters, others, compound = set(), set(), []
+        for word in new:
+            core = word.rstrip(b".,;:!?")
+            if not (core.isalpha() or core.decode().isalpha()):
+                others.add(word)
+            elif len(core) == len(word):
+                letters.add(word)
+            else:
+                letters.add(core)
+                others.add(word[len(core) :])
+                compound.append((word, core))
+        self._encode_letters(list(letters - self.words.keys()))
+        self._encode(list(others - self.words.keys()))
+        for word, core in compound:
+            self.words[word] = self.words[core] + self.words[word[len(core) :]]
+
+    @staticmethod
+    def _split(text: str | None) -> list[bytes]:
+        try:
+            return (text or "").encode("latin-1").decode("latin-1").lower().encode().split()
+        except UnicodeEncodeError:
+            return text.encode().split()
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         if len(self.words) > CACHED_WORDS:
             self.words.clear()
-        split = [(x or "").encode().split() for x in texts]
+        split = [self._split(x) for x in texts]
         new: set[bytes] = set()
         for words in split:
             new.update(words)
@@ -101,7 +138,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     path = path or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end, width = word_ids(path), np.asarray([end_id], dtype="<u4").tobytes(), 4 * capacity
+        ids_of, end, width = word_ids(path), pack_ids([end_id]), 4 * capacity
         for batch in text_batches(batches):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist()), strict=True):
