@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lodestone.llm import exact_dedup, mixing, packing, sharding, token_counts
+from lodestone.llm import exact_dedup, mixing, packing, sharding, token_counts, toxicity
 
-MODULES = (sharding, mixing, token_counts, packing, exact_dedup)
+MODULES = (sharding, mixing, token_counts, packing, toxicity, exact_dedup)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
