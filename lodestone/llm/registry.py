@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lodestone.llm import exact_dedup, mixing, packing, quality, sharding, token_counts, toxicity
+from lodestone.llm import exact_dedup, mixing, packing, quality, secrets, sharding, token_counts, toxicity
 
-MODULES = (sharding, mixing, token_counts, packing, toxicity, exact_dedup, quality)
+MODULES = (secrets, sharding, mixing, token_counts, packing, toxicity, exact_dedup, quality)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
