@@ -25,3 +25,12 @@ def local_session(name: str = "lodestone", cpus: int | None = None, **settings:
     spark = SparkSession.builder.master(f"local[{cpus}]").appName(name).config(map=conf).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers that start later import this package from where the driver has it, wherever they run."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
