@@ -8,6 +8,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lodestone.session import share_package
+
 #: A key with more than 1/CELLS of all rows is hot; there are at most CELLS such keys.
 CELLS = 1024
 #: Smallest share of rows that is worth a salt of its own.
@@ -16,6 +18,7 @@ LEAST_ROWS_PER_SALT = 64
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Reads one of the given tables."""
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
