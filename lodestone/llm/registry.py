@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lodestone.llm import exact_dedup, mixing, packing, quality, secrets, sharding, token_counts, toxicity, vector_search
+from lodestone.llm import exact_dedup, jaccard_join, mixing, packing, quality, secrets, sharding, token_counts, toxicity, vector_search
 
-MODULES = (secrets, vector_search, sharding, mixing, token_counts, packing, toxicity, exact_dedup, quality)
+MODULES = (secrets, vector_search, jaccard_join, sharding, mixing, token_counts, packing, toxicity, exact_dedup, quality)
 
 QUERIES: dict = {}
 ORACLES: dict = {}
