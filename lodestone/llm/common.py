@@ -22,15 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a checkpoint in the shared folder that the cluster names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and tables that all executors see.
 
-    Where `spark.checkpoint.dir` is unset and no folder was set, as in tests, a temporary one is used.
+    It is the one that the cluster names in `spark.checkpoint.dir`; only where that is unset and none was
+    set, as in tests, a temporary one is made.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

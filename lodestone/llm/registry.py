@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from lodestone.llm import exact_dedup, jaccard_join, mixing, packing, quality, secrets, sharding, token_counts, toxicity, vector_search
 
 MODULES = (secrets, vector_search, jaccard_join, sharding, mixing, token_counts, packing, toxicity, exact_dedup, quality)
@@ -11,3 +12,7 @@ ORACLES: dict = {}
 for module in MODULES:
     QUERIES.update(module.QUERIES)
     ORACLES.update(module.ORACLES)
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
