@@ -50,6 +50,17 @@ def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(_mixed(out, 3))
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    """48 bits of each token: what travels to be compared."""
+    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 6)
+    return np.sort(out.view("<u8").ravel())
+
+
 def _key(tokens: np.ndarray) -> bytes:
     return blake2b(tokens.tobytes(), digest_size=16).digest()
 
@@ -70,8 +81,18 @@ def _has(bitmap: np.ndarray, positions: np.ndarray) -> np.ndarray:
     return (bitmap[positions >> 5] >> (positions & 31).astype(np.uint32)) & 1 == 1
 
 
+def _small(tokens: np.ndarray) -> np.ndarray:
+    """32 bits that stand for a token where a confusion costs work only."""
+    return (_mixed(tokens, 1) >> np.uint64(32)).astype(np.uint32)
+
+
 def _position(tokens: np.ndarray) -> np.ndarray:
-    return (_mixed(tokens, 1) % np.uint64(BITS)).astype(np.int64)
+    return (_small(tokens) % np.uint32(BITS)).astype(np.int64)
+
+
+def _size_class(counts: np.ndarray, percent: int) -> np.ndarray:
+    """Sets whose classes differ by more than one can't link."""
+    return np.floor(np.log(counts) / np.log(100 / percent)).astype(np.int64)
 
 
 def _distinct_sets(batch: pa.RecordBatch, words: int) -> dict[bytes, np.ndarray]:
@@ -119,12 +140,13 @@ def frequent_tokens(docs: DataFrame, shingles: int, words: int = WORDS) -> np.nd
                 tokens = np.concatenate(sets)
                 tokens = tokens[tokens < limit]
                 order, starts = _ranged(tokens, ranges)
-                parts = [np.sort(tokens[order[starts[r] : starts[r + 1]]]).tobytes() for r in range(ranges)]
+                small = _small(tokens)
+                parts = [small[order[starts[r] : starts[r + 1]]].tobytes() for r in range(ranges)]
                 yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int32()), pa.array(parts, pa.binary())], ["range", "tokens"])
 
     def count(part: pd.DataFrame) -> pd.DataFrame:
-        tokens, times = np.unique(np.frombuffer(b"".join(part["tokens"]), dtype=np.uint64), return_counts=True)
-        return pd.DataFrame({"position": np.unique(_position(tokens[times > FREQUENT]))})
+        tokens, times = np.unique(np.frombuffer(b"".join(part["tokens"]), dtype=np.uint32), return_counts=True)
+        return pd.DataFrame({"position": np.unique(tokens[times > FREQUENT] % np.uint32(BITS)).astype(np.int64)})
 
     return _bitmap(docs.mapInArrow(spread, "range int, tokens binary").groupBy("range").applyInPandas(count, "position long"))
 
@@ -139,14 +161,14 @@ def _prefix(tokens: np.ndarray, frequent: np.ndarray, order: int, percent: int)
     return tokens[np.argpartition(rank, size - 1)[:size]] if size < n else tokens
 
 
-def _pairs(starts: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of nodes within each run whose sizes allow a link, each once, smaller node first."""
+def _pairs(starts: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of nodes within each run whose sizes may allow a link, each once, smaller node first."""
     left, right = [], []
     for k in np.unique(sizes):
         i, j = np.triu_indices(int(k), 1)
         at = starts[sizes == k][:, None]
         a, b = (at + i).ravel(), (at + j).ravel()
-        near = 100 * np.minimum(counts[a], counts[b]) >= percent * np.maximum(counts[a], counts[b])
+        near = np.abs(classes[a] - classes[b]) <= 1
         left.append(nodes[a[near]])
         right.append(nodes[b[near]])
     a, b = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (left, right))
@@ -155,11 +177,11 @@ def _pairs(starts: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, counts: np.
 
 
 def shared_prefixes(docs: DataFrame, frequent: np.ndarray, shingles: int, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """What sets share under each order: rows (kind, a, b, token, block).
+    """What sets share under each order: rows (kind, a, b).
 
     kind 1 and 2: nodes a and b share a prefix token under that order. Tokens of more than LARGE sets make
-    no pairs: kind 3 puts node a into `block` of `token` (order 1), with blocks by size of set; kind 4 asks
-    for blocks a and b of `token` to be compared; kind 5 says that node a has such a token under order 2.
+    no pairs: kind 3 says that node a has the token b in its prefix under the first order, kind 4 that it
+    has such a token under another.
     """
     ranges = max(1, int(shingles * (100 - percent) / 100) // GATHERED + 1)
 
@@ -168,90 +190,61 @@ def shared_prefixes(docs: DataFrame, frequent: np.ndarray, shingles: int, words:
             sets = _distinct_sets(batch, words)
             if not sets:
                 continue
+            own = np.array([_node(k) for k in sets], dtype=np.int64)
+            own_class = _size_class(np.array([len(s) for s in sets.values()]), percent).astype(np.uint8)
             for order in range(1, ORDERS + 1):
                 found = [_prefix(s, frequent, order, percent) for s in sets.values()]
                 of = np.repeat(np.arange(len(found)), [len(f) for f in found])
                 tokens = np.concatenate(found)
-                nodes = np.array([_node(k) for k in sets], dtype=np.int64)[of]
-                counts = np.array([len(s) for s in sets.values()], dtype=np.int32)[of]
                 at, starts = _ranged(tokens, ranges)
                 cut = [at[starts[r] : starts[r + 1]] for r in range(ranges)]
-                columns = [[x[c].tobytes() for c in cut] for x in (tokens, nodes, counts)]
-                yield pa.RecordBatch.from_arrays([pa.array([order] * ranges, pa.int32()), pa.array(range(ranges), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["order", "range", "tokens", "nodes", "counts"])
+                columns = [[x[c].tobytes() for c in cut] for x in (_small(tokens), own[of], own_class[of])]
+                yield pa.RecordBatch.from_arrays([pa.array([order] * ranges, pa.int32()), pa.array(range(ranges), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["order", "range", "tokens", "nodes", "classes"])
 
     def meet(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         order = int(key[0])
-        tokens = np.frombuffer(b"".join(part["tokens"]), dtype=np.uint64)
+        tokens = np.frombuffer(b"".join(part["tokens"]), dtype=np.uint32)
         nodes = np.frombuffer(b"".join(part["nodes"]), dtype=np.int64)
-        counts = np.frombuffer(b"".join(part["counts"]), dtype=np.int32).astype(np.int64)
-        at = np.lexsort((nodes, counts, tokens))
-        tokens, nodes, counts = tokens[at], nodes[at], counts[at]
+        classes = np.frombuffer(b"".join(part["classes"]), dtype=np.uint8).astype(np.int64)
+        at = np.lexsort((nodes, tokens))
+        tokens, nodes, classes = tokens[at], nodes[at], classes[at]
         fresh = np.ones(len(tokens), dtype=bool)  # a copy in another batch brings the same entry
         fresh[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-        tokens, nodes, counts = tokens[fresh], nodes[fresh], counts[fresh]
+        tokens, nodes, classes = tokens[fresh], nodes[fresh], classes[fresh]
         starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.empty(0, dtype=np.int64)
         sizes = np.diff(np.r_[starts, len(tokens)])
         few = (sizes > 1) & (sizes <= LARGE)
-        a, b = _pairs(starts[few], sizes[few], nodes, counts, percent)
-        out = [pd.DataFrame({"kind": order, "a": a, "b": b, "token": 0, "block": 0})]
-        for start, size in zip(starts[sizes > LARGE], sizes[sizes > LARGE], strict=True):
-            own, n = nodes[start : start + size], counts[start : start + size]
-            token = int(tokens[start].astype(np.int64))
-            if order > 1:
-                out.append(pd.DataFrame({"kind": 5, "a": own, "b": 0, "token": 0, "block": 0}))
-                continue
-            by_count, by_tokens = np.arange(size) // BLOCK, np.cumsum(n) // BLOCK_TOKENS
-            block = np.unique(by_count * (int(by_tokens[-1]) + 1) + by_tokens, return_inverse=True)[1]
-            out.append(pd.DataFrame({"kind": 3, "a": own, "b": n, "token": token, "block": block}))
-            low, high = (np.array([f(n[block == k]) for k in range(block[-1] + 1)]) for f in (np.min, np.max))
-            i, j = np.triu_indices(len(low))
-            near = 100 * high[i] >= percent * low[j]
-            out.append(pd.DataFrame({"kind": 4, "a": i[near], "b": j[near], "token": token, "block": 0}))
-        return pd.concat([o for o in out if len(o)] or out[:1])
+        a, b = _pairs(starts[few], sizes[few], nodes, classes)
+        many = np.repeat(sizes > LARGE, sizes)
+        token = tokens[many].astype(np.int64) * 2**20 + int(key[1])
+        more = pd.DataFrame({"kind": 3, "a": nodes[many], "b": token}) if order == 1 else pd.DataFrame({"kind": 4, "a": np.unique(nodes[many]), "b": 0})
+        return pd.concat([pd.DataFrame({"kind": order, "a": a, "b": b}), more])
 
-    spread_rows = docs.mapInArrow(spread, "order int, range int, tokens binary, nodes binary, counts binary")
-    return spread_rows.groupBy("order", "range").applyInPandas(meet, "kind int, a long, b long, token long, block long")
+    spread_rows = docs.mapInArrow(spread, "order int, range int, tokens binary, nodes binary, classes binary")
+    return spread_rows.groupBy("order", "range").applyInPandas(meet, "kind int, a long, b long")
 
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """node, n and tokens of the sets whose first documents `wanted` (doc_id, node) names.
+    """node and tokens of the sets whose first documents `wanted` (doc_id) names, and of a few others.
 
-    A bitmap of fixed size lets most other documents go unread; the join drops the rest.
+    A bitmap of fixed size lets most other documents go unread. Rows that repeat an id repeat their set.
     """
     position = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     bitmap = _bitmap(wanted.select(position.alias("position")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
-            batch = batch.filter(pa.array(_has(bitmap, batch.column(2).to_numpy(zero_copy_only=False))))
-            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
-            keys = [_node(_key(s)) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "node", "n", "tokens"])
+            batch = batch.filter(pa.array(_has(bitmap, batch.column(1).to_numpy(zero_copy_only=False))))
+            sets = [s for t in batch.column(0).to_pylist() if len(s := shingle_set(t, words))]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(_key(s)) for s in sets], pa.int64()), pa.array([_packed(s) for s in sets], pa.binary())], ["node", "tokens"])
 
-    found = docs.select("doc_id", "text", position.alias("position")).filter("doc_id IS NOT NULL").mapInArrow(read, "doc_id long, node long, n long, tokens binary")
-    return found.join(wanted, ["doc_id", "node"]).dropDuplicates(["node"]).select("node", "n", "tokens")
+    return docs.filter("doc_id IS NOT NULL").select("text", position.alias("position")).mapInArrow(read, "node long, tokens binary")
 
 
 def _linked(overlap, a, b, percent: int):
     return 100 * overlap >= percent * (a + b - overlap)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"], strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                keep.append(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
-            yield batch.loc[keep, ["a", "b"]]
-
-    x = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInPandas(verify, "a long, b long")
-
-
 def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of each of x with each of y, by products of 0/1 matrices over the tokens they share."""
     tokens = np.intersect1d(np.concatenate(x), np.concatenate(y))
@@ -287,25 +280,65 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
     return left, right
 
 
-def _compared(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) within blocks of sets that have a frequent token in common; as many as join the same documents."""
-    blocks = shared.filter("kind = 3").select(F.col("a").alias("node"), "token", "block").join(sets, "node").groupBy("token", "block").agg(F.collect_list(F.struct("node", "tokens")).alias("rows"))
-    blocks = durable(blocks)
-    asked = shared.filter("kind = 4").select("token", F.col("a").alias("i"), F.col("b").alias("j"))
-    x = blocks.select("token", F.col("block").alias("i"), F.col("rows").alias("x"))
-    y = blocks.select("token", F.col("block").alias("j"), F.col("rows").alias("y"))
+def _links_between(x: list[dict], y: list[dict], percent: int) -> tuple[list[int], list[int]]:
+    xs, ys = ([_unpacked(r["tokens"]) for r in side] for side in (x, y))
+    xn, yn = (np.array([r["node"] for r in side], dtype=np.int64) for side in (x, y))
+    xc, yc = (np.array([len(s) for s in side]) for side in (xs, ys))
+    at, to = np.nonzero(_linked(_overlaps(xs, ys), xc[:, None], yc[None, :], percent))
+    return _spanning(xn[at], yn[to])
+
+
+def _compared(blocks: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the sets of x, or between those of x and y; as many as join the same documents."""
+    sides = len(blocks.columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                (xn, xs), (yn, ys) = (([r["node"] for r in rows], [np.frombuffer(r["tokens"], dtype=np.uint64) for r in rows]) for rows in (batch.column(c)[k].as_py() for c in (0, 1)))
-                overlap = _overlaps(xs, ys)
-                sizes = [np.array([len(s) for s in side]) for side in (xs, ys)]
-                at, to = np.nonzero(_linked(overlap, sizes[0][:, None], sizes[1][None, :], percent))
-                left, right = _spanning(np.array(xn)[at], np.array(yn)[to])
+                rows = [batch.column(c)[k].as_py() for c in range(sides)]
+                left, right = _links_between(rows[0], rows[-1], percent)
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return asked.join(x, ["token", "i"]).join(y, ["token", "j"]).select("x", "y").repartition(64).mapInArrow(compare, "a long, b long")
+    return blocks.mapInArrow(compare, "a long, b long")
+
+
+def _gathered(sets: DataFrame, places: DataFrame, key: str) -> DataFrame:
+    return sets.join(places, "node").groupBy(key).agg(F.collect_list(F.struct("node", "tokens")).alias("x"))
+
+
+def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, frequent: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) on whole sets, for candidate `pairs` (a, b) and nodes that share a frequent token (node, token).
+
+    Candidates are gathered by the components of their graph, so that a set travels once, not once for each
+    pair. A component too large for one task is cut into blocks by size class and hash, and only blocks are
+    compared that have a candidate pair or a frequent token in common.
+    """
+    tokens = durable(frequent.groupBy("token").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("nodes")))
+    held = salted_lookup(frequent, tokens, ["token"], "nodes", tokens.agg(F.coalesce(F.sum("nodes"), F.lit(0))).first()[0], ["node"])
+    found = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(held.select(F.col("node").alias("u"), F.col("least").alias("v"))))
+    found = durable(found.join(classes.select("node", "n", F.col("first").alias("doc_id")), "node"))
+    sizes = durable(found.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("tokens")))
+    small = (F.col("nodes") <= BLOCK) & (F.col("tokens") <= BLOCK_TOKENS)
+    placed = durable(salted_lookup(found, sizes, ["component"], "nodes", found.count(), ["node"]).withColumn("small", small).drop("nodes", "tokens"))
+    few = placed.filter("small")
+    links = _compared(_gathered(wanted_sets(docs, few, words), few.select("node", "component"), "component").select("x"), percent)
+    many = placed.filter("NOT small")
+    if not many.limit(1).count():
+        return links
+    many = many.withColumn("class", F.floor(F.log("n") / float(np.log(100 / percent))).cast("long"))
+    parts = many.groupBy("component", "class").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts"), F.count(F.lit(1)).alias("nodes"))
+    many = salted_lookup(many, durable(parts), ["component", "class"], "nodes", found.count(), ["node"])
+    block = F.concat_ws(":", "component", "class", F.pmod(F.xxhash64("node"), F.col("parts")))
+    many = durable(many.select("node", "doc_id", "class", block.alias("block")))
+    blocks = durable(_gathered(durable(wanted_sets(docs, many, words)), many.select("node", "block"), "block"))
+    side = lambda of, to: many.select(F.col("node").alias(of), F.col("block").alias(to), F.col("class").alias(f"class_{to}"))
+    by_pair = pairs.join(side("a", "i"), "a").join(side("b", "j"), "b").select("i", "j", "class_i", "class_j")
+    held = frequent.join(many, "node").select("token", "block", "class").distinct()
+    by_token = held.select("token", F.col("block").alias("i"), F.col("class").alias("class_i")).join(held.select("token", F.col("block").alias("j"), F.col("class").alias("class_j")), "token")
+    asked = by_pair.unionByName(by_token.select("i", "j", "class_i", "class_j")).filter(F.abs(F.col("class_i") - F.col("class_j")) <= 1)
+    asked = asked.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
+    x, y = blocks.withColumnRenamed("block", "i"), blocks.select(F.col("block").alias("j"), F.col("x").alias("y"))
+    return links.unionByName(_compared(asked.join(x, "i").join(y, "j").select("x", "y"), percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -316,7 +349,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     at once. Sets of which one could link with the other must share a token in their prefixes under every
     global order; a pair that shares one under each of ORDERS orders is verified on the whole sets. All
     orders put tokens of many documents last. What still is in more than LARGE prefixes is compared in
-    blocks, so no group writes out its pairs. Tokens are 64-bit hashes, sets are named by 128-bit digests.
+    blocks, so no group writes out its pairs. Tokens are 64-bit hashes, of which 48 bits are compared between
+    two sets; sets are grouped by 128-bit digests and named by 64 bits of them.
 
     Null and empty texts, and texts without words, have no shingles and are linked with nothing. Null ids
     have a null component unless an equal text has an id. Rows that repeat an id and a text get the same
@@ -326,17 +360,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = durable(documents_sets(docs, words))
     classes = durable(rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("node").alias("node"), F.count(F.lit(1)).alias("copies")))
     shingles = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    named = classes.filter("first IS NOT NULL").select(F.col("first").alias("doc_id"), "node")
     shared = durable(shared_prefixes(docs, frequent_tokens(docs, shingles, words), shingles, words, percent))
     pairs = [shared.filter(F.col("kind") == k).select("a", "b").distinct() for k in range(1, ORDERS + 1)]
-    heavy = shared.filter("kind = 5").select("a").distinct()
+    dense = shared.filter("kind = 4").select("a").distinct()
     both = pairs[0].join(pairs[1], ["a", "b"])
-    dense = pairs[0].join(heavy, "a").join(heavy.withColumnRenamed("a", "b"), "b").select("a", "b")
-    pairs = durable(both.unionByName(dense).distinct())
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(shared.filter("kind = 3").select(F.col("a").alias("node"))).distinct()
-    sets = durable(wanted_sets(docs, durable(named.join(nodes, "node")), words))
-    links = _verified(pairs, sets, percent).unionByName(_compared(shared, sets, percent))
-    first = named.select(F.col("node").alias("a"), F.col("doc_id").alias("u"))
+    both = durable(both.unionByName(pairs[0].join(dense, "a").join(dense.withColumnRenamed("a", "b"), "b").select("a", "b")).distinct())
+    frequent = shared.filter("kind = 3").select(F.col("a").alias("node"), F.col("b").alias("token"))
+    links = verified_links(docs, classes.filter("first IS NOT NULL"), both, frequent, words, percent)
+    first = classes.select(F.col("node").alias("a"), F.col("first").alias("u")).filter("u IS NOT NULL")
     links = links.join(first, "a").join(first.select(F.col("a").alias("b"), F.col("u").alias("v")), "b").select("u", "v")
     found = classes.drop("node").join(components(links).withColumnRenamed("node", "first"), "first", "left").select("key", "copies", F.coalesce("component", "first").alias("component_id"))
     with_set = salted_lookup(rows.filter("key IS NOT NULL").drop("node"), durable(found), ["key"], "copies", rows.count(), ["doc_id"])
