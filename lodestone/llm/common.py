@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,6 +41,24 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a table in the shared folder: for loops, since a checkpoint carries the optimizer's
+    constraints along, which grow from round to round."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what `written` wrote for these."""
+    for df in tables:
+        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            jvm = df.sparkSession._jvm
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def seeded(seed: int, *parts: str | Column) -> Column:
     """32 hex digits that depend on the seed and the parts, and on nothing else; also expressible in plain SQL."""
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(p).cast("string") if isinstance(p, str) else p, F.lit("")) for p in parts]))

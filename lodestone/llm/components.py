@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import durable, salted_lookup
+from lodestone.llm.common import discard, salted_lookup, written
 
 
-def _least_neighbours(edges: DataFrame) -> tuple[DataFrame, int]:
-    """Each row (u, v) of `edges` with m, the least of u and its neighbours; nodes of any degree are no one task's work."""
-    least = durable(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("degree")))
+def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each row (u, v) of `edges` with m, the least of u and its neighbours, and the table that m is looked up in.
+
+    Nodes of any degree are no one task's work.
+    """
+    least = written(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("degree")))
     total = least.agg(F.coalesce(F.sum("degree"), F.lit(0))).first()[0]
-    return salted_lookup(edges, least, ["u"], "degree", total, ["v"]).drop("degree"), total
+    return salted_lookup(edges, least, ["u"], "degree", total, ["v"]).drop("degree"), least
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -24,20 +27,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Large stars hang each node's larger neighbours on its least one, small stars its smaller ones, until
     nothing changes: about as many rounds as the logarithm of a component's size. Links may repeat, point
-    either way, and join a node with itself. Every round is cut by a checkpoint.
+    either way, and join a node with itself. Every round is cut by a table in the shared folder.
     """
-    edges = durable(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
+    edges = written(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
     mark = _mark(edges)
     while mark[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _least_neighbours(both)[0].filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        large = durable(large)
-        hung = _least_neighbours(large)[0]
-        small = hung.select("u", F.col("m").alias("v")).unionByName(hung.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u != v").distinct()
-        edges = durable(small)
-        new = _mark(edges)
-        if new == mark:
+        hung, first = _with_least(both)
+        large = written(hung.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct())
+        hung, second = _with_least(large)
+        small = written(hung.select("u", F.col("m").alias("v")).unionByName(hung.select(F.col("v").alias("u"), F.col("m").alias("v"))).filter("u != v").distinct())
+        discard(first, second, large, edges)
+        edges, last, mark = small, mark, _mark(small)
+        if mark == last:
             break
-        mark = new
     roots = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
