@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,11 +12,16 @@ from pyspark.sql import functions as F
 
 
 def _durable(df: DataFrame) -> DataFrame:
-    """A checkpoint in the folder that the cluster names, or in a temporary one where it names none."""
+    """A table in the folder that the cluster names for checkpoints, or in a temporary one where it names none.
+
+    Not a checkpoint: that carries the optimizer's constraints along, which grow from round to round.
+    """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    path = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def reach(edges: DataFrame, entries: DataFrame) -> DataFrame:
