@@ -23,7 +23,7 @@ COUNTED, FREQUENT = 0.4, 32
 #: Bits of the tables of frequent tokens and of wanted documents: a fixed size; a wrong hit costs work, not results.
 BITS = 1 << 24
 #: Entries that one task gathers; documents of a token from which pairs are compared in blocks; a block's size.
-GATHERED, LARGE, BLOCK, BLOCK_TOKENS = 1_000_000, 64, 512, 200_000
+GATHERED, LARGE, BLOCK, BLOCK_TOKENS = 1_000_000, 64, 2048, 1_000_000
 ORDERS = 2
 
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -246,20 +246,36 @@ def _linked(overlap, a, b, percent: int):
 
 
 def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of each of x with each of y, by products of 0/1 matrices over the tokens they share."""
-    tokens = np.intersect1d(np.concatenate(x), np.concatenate(y))
-    out = np.zeros((len(x), len(y)), dtype=np.float32)
-    for at in range(0, len(tokens), 4096):
-        some = tokens[at : at + 4096]
+    """Sizes of the intersections of each of x with each of y.
+
+    Tokens that few pairs share are counted pair by pair, the others by products of 0/1 matrices.
+    """
+    rows = [np.repeat(np.arange(len(side)), [len(s) for s in side]) for side in (x, y)]
+    tokens, ids = np.unique(np.concatenate([*x, *y]), return_inverse=True)
+    ids = [ids[: len(rows[0])], ids[len(rows[0]) :]]
+    counts = [np.bincount(i, minlength=len(tokens)) for i in ids]
+    shared = counts[0] * counts[1]
+    out = np.zeros(len(x) * len(y), dtype=np.int64)
+    few = (shared > 0) & (shared <= 64)
+    at = [few[i] for i in ids]
+    order = np.argsort(ids[1][at[1]], kind="stable")
+    held, starts = rows[1][at[1]][order], np.cumsum(np.where(few, counts[1], 0)) - np.where(few, counts[1], 0)
+    own, times = ids[0][at[0]], counts[1][ids[0][at[0]]]
+    within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    out += np.bincount(np.repeat(rows[0][at[0]], times) * len(y) + held[np.repeat(starts[own], times) + within], minlength=len(out))
+    many = np.flatnonzero(shared > 64)
+    place = np.full(len(tokens), -1)
+    for k in range(0, len(many), 4096):
+        some = many[k : k + 4096]
+        place[:] = -1
+        place[some] = np.arange(len(some))
         sides = []
-        for sets in (x, y):
-            side = np.zeros((len(sets), len(some)), dtype=np.float32)
-            for row, s in enumerate(sets):
-                k = np.searchsorted(some, s)
-                side[row, k[(k < len(some)) & (some[np.minimum(k, len(some) - 1)] == s)]] = 1
-            sides.append(side)
-        out += sides[0] @ sides[1].T
-    return out.astype(np.int64)
+        for side, i, r in zip((x, y), ids, rows, strict=True):
+            column = place[i]
+            sides.append(np.zeros((len(side), len(some)), dtype=np.float32))
+            sides[-1][r[column >= 0], column[column >= 0]] = 1
+        out += (sides[0] @ sides[1].T).astype(np.int64).ravel()
+    return out.reshape(len(x), len(y))
 
 
 def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
@@ -330,7 +346,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, freque
     many = salted_lookup(many, durable(parts), ["component", "class"], "nodes", found.count(), ["node"])
     block = F.concat_ws(":", "component", "class", F.pmod(F.xxhash64("node"), F.col("parts")))
     many = durable(many.select("node", "doc_id", "class", block.alias("block")))
-    blocks = durable(_gathered(durable(wanted_sets(docs, many, words)), many.select("node", "block"), "block"))
+    blocks = durable(_gathered(wanted_sets(docs, many, words), many.select("node", "block"), "block"))
     side = lambda of, to: many.select(F.col("node").alias(of), F.col("block").alias(to), F.col("class").alias(f"class_{to}"))
     by_pair = pairs.join(side("a", "i"), "a").join(side("b", "j"), "b").select("i", "j", "class_i", "class_j")
     held = frequent.join(many, "node").select("token", "block", "class").distinct()
