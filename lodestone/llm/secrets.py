@@ -29,33 +29,46 @@ RATIO = 0.8
 CHUNK = 256
 
 
+def _let(value: Column, body) -> Column:
+    """`body` of a value that is computed once, however often the body's loops use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _running(lengths: Column) -> Column:
     """Sums of the first 0, 1, 2 ... numbers of an array, one fewer than there are.
 
     Summed in chunks, so that an array of n numbers takes about n * (CHUNK + n / CHUNK) steps, not n * n.
     """
-    chunks = F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(lengths) - 1, F.lit(0)) / CHUNK).cast("int")), lambda c: F.aggregate(F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK)), F.lit(0), lambda a, x: a + x))
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+    last = F.floor(F.greatest(F.size(lengths) - 1, F.lit(0)) / CHUNK).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), last), lambda c: total(F.slice(lengths, c * CHUNK + 1, F.lit(CHUNK))))
 
-    def upto(i: Column) -> Column:
-        c = F.floor(i / CHUNK).cast("int")
-        ahead = F.aggregate(F.slice(chunks, F.lit(1), c), F.lit(0), lambda a, x: a + x)
-        return ahead + F.aggregate(F.slice(lengths, c * CHUNK + 1, i - c * CHUNK), F.lit(0), lambda a, x: a + x)
+    def sums(chunk: Column) -> Column:
+        def upto(i: Column) -> Column:
+            c = F.floor(i / CHUNK).cast("int")
+            return total(F.slice(chunk, F.lit(1), c)) + total(F.slice(lengths, c * CHUNK + 1, i - c * CHUNK))
 
-    return F.transform(F.sequence(F.lit(0), F.size(lengths) - 1), upto)
+        return F.transform(F.sequence(F.lit(0), F.size(lengths) - 1), upto)
+
+    return _let(chunks, sums)
 
 
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches: array of (start, end, matched, wanted group), in code points, end exclusive."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    wanted = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    between = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(whole))
-    # the gap before each match and the match itself, in turn
-    lengths = F.flatten(F.transform(F.arrays_zip(between.alias("b"), whole.alias("w")), lambda m: F.array(F.length(m.getField("b")), F.length(m.getField("w")))))
-    starts = _running(lengths)
-    return F.transform(
-        F.arrays_zip(whole.alias("w"), wanted.alias("g")),
-        lambda m, i: F.struct((F.element_at(starts, 2 * i + 2)).alias("start"), (F.element_at(starts, 2 * i + 2) + F.length(m.getField("w"))).alias("end"), m.getField("w").alias("text"), m.getField("g").alias("group")),
-    )
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("w"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("g"), F.split(text, pattern, -1).alias("b"))
+
+    def placed(p: Column) -> Column:
+        whole, wanted, between = (p.getField(k) for k in "wgb")
+        # the gap before each match and the match itself, in turn
+        lengths = F.flatten(F.transform(whole, lambda m, i: F.array(F.length(F.element_at(between, i + 1)), F.length(m))))
+
+        def spans(starts: Column) -> Column:
+            start = lambda i: F.element_at(starts, 2 * i + 2)
+            return F.transform(whole, lambda m, i: F.struct(start(i).alias("start"), (start(i) + F.length(m)).alias("end"), m.alias("text"), F.element_at(wanted, i + 1).alias("group")))
+
+        return _let(lengths, lambda n: _let(_running(n), spans))
+
+    return F.when(F.size(found.getField("w")) > 0, _let(found, placed)).otherwise(F.array().cast(_SPAN))
 
 
 _SPAN = "array<struct<start:int,end:int,text:string,group:string>>"
