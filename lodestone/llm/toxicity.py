@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Container, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -22,10 +23,12 @@ SEED = 17
 THRESHOLD = 0.7
 #: Lengths of the word beginnings that may become insult stems.
 STEM = (3, 8)
-#: Least share of toxic documents among those with a stem, and least evidence for it in nats.
-PURITY, EVIDENCE = 0.9, 15.0
-#: A stem with this share of the documents of the stem one letter shorter replaces it.
-SPECIFIC = 0.95
+#: Documents of the mean toxic share that are added to those of a stem, and the log-odds that it must then have.
+SMOOTHING, LEAST_ODDS = 10.0, 1.3
+#: The same for the weights of the stems that are taken.
+WEIGHT_SMOOTHING = 0.5
+#: Stems whose counts one task holds before it passes them on.
+HELD_STEMS = 200_000
 CACHED_WORDS = 400_000
 
 # Closed classes of the grammar.
@@ -39,7 +42,7 @@ NEGATION_REACH, THREAT_REACH = 4, 4
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;:\n]+")
 #: What the grammar reports of a document, in this order.
-FEATURES = ("insults", "targeted", "threats", "negated", "reported", "strongest")
+FEATURES = ("insults", "targeted", "threats", "negated", "reported", "strongest", "words")
 
 
 @dataclass
@@ -54,16 +57,21 @@ class Grammar:
 
     stems: dict[str, float]
     weights: list[float] = field(default_factory=list)
+    #: Weights of stems that a text has once; a stem that is not here weighs the same as if it came often.
+    single: dict[str, float] = field(default_factory=dict)
     _known: dict[str, tuple[str, float] | None] = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
-        return {"stems": self.stems, "weights": self.weights, "_known": {}}
+        return {"stems": self.stems, "weights": self.weights, "single": self.single, "_known": {}}
 
-    def classify(self, word: str) -> tuple[str, float]:
-        """The class of a lower-case word."""
-        for n in range(STEM[0], min(STEM[1], len(word)) + 1):
-            if (w := self.stems.get(word[:n])) is not None:
-                return "insult", w
+    def stem(self, word: str) -> str | None:
+        """The insult stem that a lower-case word begins with."""
+        return next((word[:n] for n in range(STEM[0], min(STEM[1], len(word)) + 1) if word[:n] in self.stems), None)
+
+    def classify(self, word: str, once: Container[str] = ()) -> tuple[str, float]:
+        """The class of a lower-case word; `once` has the stems that its text has one time only."""
+        if (stem := self.stem(word)) is not None:
+            return "insult", self.single.get(stem, self.stems[stem]) if stem in once else self.stems[stem]
         for kind, words in (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)):
             if word in words:
                 return kind, 0.0
@@ -72,12 +80,12 @@ class Grammar:
     def _triggers(self, chunk: str) -> bool:
         return any(self.classify(w)[0] in ("insult", "threat") for w in WORD.findall(chunk))
 
-    def read(self, clause: list[str]) -> Iterator[tuple[str, float]]:
+    def read(self, clause: list[str], once: Container[str] = ()) -> Iterator[tuple[str, float]]:
         """Runs the transducers over the words of a clause; kinds and weights of what they match."""
         targets = {i for i, w in enumerate(clause) if w in TARGETS}
         negated = reported = 0
         for i, word in enumerate(clause):
-            kind, weight = self.classify(word)
+            kind, weight = self.classify(word, once)
             if kind == "negation":
                 negated = NEGATION_REACH + 1
             elif kind == "report":
@@ -100,9 +108,12 @@ class Grammar:
             if chunk not in known:
                 known[chunk] = self._triggers(chunk)
         if any(map(known.__getitem__, chunks)):
-            for clause in CLAUSE.split(text):
-                if any(map(known.get, clause.split())) or self._triggers(clause):
-                    found = list(self.read(WORD.findall(clause)))
+            clauses = [WORD.findall(c) for c in CLAUSE.split(text) if any(map(known.get, c.split())) or self._triggers(c)]
+            times = Counter(stem for clause in clauses for stem in map(self.stem, clause) if stem)
+            once = {stem for stem, n in times.items() if n == 1}
+            out["words"] = len(text.split()) if clauses else 0.0
+            for clause in clauses:
+                if found := list(self.read(clause, once)):
                     for kind, weight in found:
                         out[kind] += weight
                     out["strongest"] = max(out["strongest"], sum(w for kind, w in found if kind in ("insults", "targeted", "threats")))
@@ -124,27 +135,67 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, se
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("double").alias("toxic"))
 
 
-def learn_stems(train: DataFrame) -> dict[str, float]:
-    """Beginnings of words that set toxic documents apart, with their log-odds; the shortest that are no less specific."""
-    text = F.lower(F.coalesce("text", F.lit("")))
-    words = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\p{L}{3,}"), F.lit(0)))
+def stem_counts(train: DataFrame) -> DataFrame:
+    """stem, and of the documents with it one time (once) and more times (more): toxic ones and all.
+
+    Words of the closed classes have no stems.
+    """
+    closed = TARGETS | THREATS | NEGATIONS | REPORTS
     low, high = STEM
-    stems = F.array_distinct(F.flatten(F.transform(words, lambda w: F.transform(F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.lit(high), F.length(w)))), lambda n: F.substring(w, 1, n)))))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["stem", "once_toxic", "once", "more_toxic", "more"]
+        held: dict[str, list[float]] = {}
+        for batch in batches:
+            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+                times: Counter[str] = Counter()
+                for word, n in Counter(WORD.findall((text or "").lower())).items():
+                    if word not in closed:
+                        for k in range(low, min(high, len(word)) + 1):
+                            times[word[:k]] += n
+                for stem, n in times.items():
+                    row = held.setdefault(stem, [0.0] * 4)
+                    at = 2 if n > 1 else 0
+                    row[at] += toxic
+                    row[at + 1] += 1
+                if len(held) > HELD_STEMS:
+                    yield pd.DataFrame([(s, *row) for s, row in held.items()], columns=columns)
+                    held.clear()
+        yield pd.DataFrame([(s, *row) for s, row in held.items()], columns=columns)
+
+    counts = train.mapInPandas(count, "stem string, once_toxic double, once double, more_toxic double, more double")
+    return counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in counts.columns[1:]])
+
+
+def learn_stems(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """Beginnings of words that come with toxic documents: their weights in texts that have them often, and once.
+
+    Weights are smoothed log-odds against the mean. With SMOOTHING, a stem is taken if it reaches LEAST_ODDS where
+    it occurs, or where it occurs more than once. Of nested stems the one with the
+    highest odds is taken, and the longest of those, so a family of words is not split.
+    """
     toxic, count = train.agg(F.coalesce(F.sum("toxic"), F.lit(0.0)), F.count(F.lit(1))).first()
     if not 0 < toxic < count:
-        return {}
+        return {}, {}
     share = toxic / count
-    a, n = F.col("a"), F.col("n")
-    p = a / n
-    evidence = a * F.log(p / share) + F.when(n > a, (n - a) * F.log((1 - p) / (1 - share))).otherwise(0.0)
-    found = train.select("toxic", F.explode(stems).alias("stem")).groupBy("stem").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).cast("double").alias("n"))
-    found = found.filter((a > 0) & (p >= PURITY) & (p > share) & (evidence >= EVIDENCE)).collect()  # bounded by the training rows
-    toxic_with = {r["stem"]: r["a"] for r in found}
-    odds = {r["stem"]: math.log((r["a"] + 0.5) / (r["n"] - r["a"] + 0.5)) - math.log(toxic / (count - toxic)) for r in found}
-    for longer in sorted(toxic_with, key=len, reverse=True):  # a beginning must add documents to its extensions
-        if toxic_with[longer] >= SPECIFIC * toxic_with.get(longer[:-1], math.inf):
-            odds.pop(longer[:-1], None)
-    return {s: w for s, w in odds.items() if not any(s[:k] in odds for k in range(low, len(s)))}
+
+    def odds(a, n, smoothing=SMOOTHING):
+        p = (a + smoothing * share) / (n + smoothing)
+        return F.log(p / (1 - p)) - math.log(share / (1 - share))
+
+    a1, n1, a2, n2 = (F.col(c) for c in ("once_toxic", "once", "more_toxic", "more"))
+    found = stem_counts(train).select("stem", F.greatest(odds(a1 + a2, n1 + n2), odds(a2, n2)).alias("odds"), odds(a1, n1, WEIGHT_SMOOTHING).alias("single"), odds(a2, n2, WEIGHT_SMOOTHING).alias("often"))
+    found = found.filter(F.col("odds") >= LEAST_ODDS).collect()  # bounded by the training rows
+    often: dict[str, float] = {}
+    single: dict[str, float] = {}
+    shorter: set[str] = set()
+    for r in sorted(found, key=lambda r: (-round(r["odds"], 6), -len(r["stem"]), r["stem"])):
+        beginnings = [r["stem"][:k] for k in range(STEM[0], len(r["stem"]))]
+        if r["stem"] not in shorter and not any(b in often for b in beginnings):
+            single[r["stem"]] = max(0.0, r["single"])
+            often[r["stem"]] = max(single[r["stem"]], r["often"])
+            shorter.update(beginnings)
+    return often, single
 
 
 def train_grammar(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED) -> Grammar:
@@ -154,7 +205,8 @@ def train_grammar(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, se
     toxic labels, or 0.5 without any.
     """
     train = training_rows(docs, labels, rows, seed)
-    grammar = Grammar(learn_stems(train))
+    stems, single = learn_stems(train)
+    grammar = Grammar(stems, single=single)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
