@@ -225,9 +225,10 @@ def shared_prefixes(docs: DataFrame, frequent: np.ndarray, shingles: int, words:
 
 
 def wanted_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """node and tokens of the sets whose first documents `wanted` (doc_id) names, and of a few others.
+    """doc_id, node and tokens of the sets whose first documents `wanted` (doc_id) names, and of a few others.
 
-    A bitmap of fixed size lets most other documents go unread. Rows that repeat an id repeat their set.
+    A bitmap of fixed size lets most other documents go unread; the ids tell its wrong hits apart. Rows that
+    repeat an id and a text repeat their set, once in a batch.
     """
     position = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
     bitmap = _bitmap(wanted.select(position.alias("position")))
@@ -235,10 +236,14 @@ def wanted_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataF
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             batch = batch.filter(pa.array(_has(bitmap, batch.column(1).to_numpy(zero_copy_only=False))))
-            sets = [s for t in batch.column(0).to_pylist() if len(s := shingle_set(t, words))]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(_key(s)) for s in sets], pa.int64()), pa.array([_packed(s) for s in sets], pa.binary())], ["node", "tokens"])
+            sets = {}
+            for doc_id, text in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(), strict=True):
+                if len(tokens := shingle_set(text, words)):
+                    sets.setdefault((doc_id, _node(_key(tokens))), tokens)
+            columns = [pa.array([i for i, _ in sets], pa.int64()), pa.array([n for _, n in sets], pa.int64()), pa.array([_packed(t) for t in sets.values()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "tokens"])
 
-    return docs.filter("doc_id IS NOT NULL").select("text", position.alias("position")).mapInArrow(read, "node long, tokens binary")
+    return docs.filter("doc_id IS NOT NULL").select("text", position.alias("position"), "doc_id").mapInArrow(read, "doc_id long, node long, tokens binary")
 
 
 def _linked(overlap, a, b, percent: int):
@@ -319,7 +324,9 @@ def _compared(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def _gathered(sets: DataFrame, places: DataFrame, key: str) -> DataFrame:
-    return sets.join(places, "node").groupBy(key).agg(F.collect_list(F.struct("node", "tokens")).alias("x"))
+    """The sets of each `key`, each set once, however many rows have it; `places` has doc_id, node and key."""
+    once = sets.join(places, ["doc_id", "node"]).repartition(F.col(key)).groupBy(key, "node").agg(F.first("tokens").alias("tokens"))
+    return once.groupBy(key).agg(F.collect_list(F.struct("node", "tokens")).alias("x"))
 
 
 def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, frequent: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -337,7 +344,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, freque
     small = (F.col("nodes") <= BLOCK) & (F.col("tokens") <= BLOCK_TOKENS)
     placed = durable(salted_lookup(found, sizes, ["component"], "nodes", found.count(), ["node"]).withColumn("small", small).drop("nodes", "tokens"))
     few = placed.filter("small")
-    links = _compared(_gathered(wanted_sets(docs, few, words), few.select("node", "component"), "component").select("x"), percent)
+    links = _compared(_gathered(wanted_sets(docs, few, words), few.select("doc_id", "node", "component"), "component").select("x"), percent)
     many = placed.filter("NOT small")
     if not many.limit(1).count():
         return links
@@ -346,7 +353,7 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, freque
     many = salted_lookup(many, durable(parts), ["component", "class"], "nodes", found.count(), ["node"])
     block = F.concat_ws(":", "component", "class", F.pmod(F.xxhash64("node"), F.col("parts")))
     many = durable(many.select("node", "doc_id", "class", block.alias("block")))
-    blocks = durable(_gathered(wanted_sets(docs, many, words), many.select("node", "block"), "block"))
+    blocks = durable(_gathered(wanted_sets(docs, many, words), many.select("doc_id", "node", "block"), "block"))
     side = lambda of, to: many.select(F.col("node").alias(of), F.col("block").alias(to), F.col("class").alias(f"class_{to}"))
     by_pair = pairs.join(side("a", "i"), "a").join(side("b", "j"), "b").select("i", "j", "class_i", "class_j")
     held = frequent.join(many, "node").select("token", "block", "class").distinct()

@@ -99,6 +99,16 @@ def test_near_duplicates_agree_with_brute_force(spark, sf_dir, monkeypatch, smal
     assert {r.doc_id: r.component_id for r in found} == roots
 
 
+def test_a_set_is_gathered_once_however_many_copies_the_bitmap_hits(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BITS", 32)  # so that copies are hit by mistake
+    rows = [(i, "one text that many documents share") for i in range(200)] + [(0, "one text that many documents share")] * 20 + [(500, "another text of the same component")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    nodes = {r.doc_id: r.node for r in jaccard_join.documents_sets(docs).collect()}
+    places = spark.createDataFrame([(i, nodes[i], 7) for i in (0, 500)], "doc_id bigint, node bigint, component bigint")
+    (found,) = jaccard_join._gathered(jaccard_join.wanted_sets(docs, places), places, "component").collect()
+    assert sorted(x.node for x in found.x) == sorted([nodes[0], nodes[500]])
+
+
 def test_near_duplicates_of_odd_rows(spark):
     found = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(odd(spark)).collect()]
     assert sorted((x for x in found if x[0] is not None)) == [(1, 3, 1), (2, 3, 1), (3, 0, 3), (4, 0, 4), (5, 0, 5), (6, 1, 6), (6, 1, 6), (8, 1, 8)]
