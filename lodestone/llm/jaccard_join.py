@@ -371,7 +371,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their union; a component has the smallest id that links reach. Equal sets are joined first and looked
     at once. Sets of which one could link with the other must share a token in their prefixes under every
     global order; a pair that shares one under each of ORDERS orders is verified on the whole sets. All
-    orders put tokens of many documents last. What still is in more than LARGE prefixes is compared in
+    orders put counted tokens of many documents last; uncounted ones (all but COUNTED) come before these, however
+    many documents have them. What still is in more than LARGE prefixes is compared in
     blocks, so no group writes out its pairs. Tokens are 64-bit hashes, of which 48 bits are compared between
     two sets; sets are grouped by 128-bit digests and named by 64 bits of them.
 
