@@ -44,7 +44,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("jaccard_join", drop_near_copies), ("mixture", mix), ("packing", pack)]
 
-#: SQL can't express the toxicity grammar; the stages are tested against brute-force versions.
+#: SQL can't express the toxicity grammar; its operators have tests, the pipeline as a whole and its own settings have none yet.
 ORACLE_SQL = None
 
 
