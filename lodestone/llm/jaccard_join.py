@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -18,47 +20,73 @@ from lodestone.llm.packing import text_batches
 
 #: Words in a shingle and hundredths of similarity from which two documents link.
 WORDS, PERCENT = 4, 85
-#: Tokens below this share of the hash range are counted; one in more than FREQUENT documents comes late in every order.
-COUNTED, FREQUENT = 0.4, 32
-#: Bits of the tables of frequent tokens and of wanted documents: a fixed size; a wrong hit costs work, not results.
+#: Token orders; the first makes the candidates, the others must agree.
+ORDERS = 3
+#: Orders after the first put tokens of so many documents (a power of two) last.
+FREQUENT = 32
+#: Tokens that one task counts.
+GATHERED = 2_000_000
+#: Bytes of text that are taken for one token when ranges are laid out.
+BYTES_PER_TOKEN = 6
+#: Sets from which a token's pairs are not written out.
+LARGE = 64
+#: Sets and tokens that one task compares, and the leaders that every block of a large component is compared with.
+BLOCK, BLOCK_TOKENS, LEADERS = 2048, 1_000_000, 32
+#: Bits of the table of wanted documents: a fixed size; a wrong hit costs work, not results.
 BITS = 1 << 24
-#: Entries that one task gathers; documents of a token from which pairs are compared in blocks; a block's size.
-GATHERED, LARGE, BLOCK, BLOCK_TOKENS = 1_000_000, 64, 2048, 1_000_000
-ORDERS = 2
 
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
-
-def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31)) ^ _MIX[seed]) * _MIX[(seed + 1) % 4]
-    return (x ^ (x >> np.uint64(29))) * _MIX[seed]
+_SPREAD = "range int, batch long, tokens binary, places binary, ids array<long>, sizes array<long>, keys array<binary>, blocks int"
+_COUNTED = _SPREAD + ", levels binary"
+_FOUND = "kind int, doc_id long, n long, key binary, node long, token long, others array<array<long>>"
 
 
-def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit tokens of a text's shingles; with fewer words, one for all of them; without words, none.
+def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31)) ^ _MIX[seed % 4]) * _MIX[(seed + 1) % 4]
+    return (x ^ (x >> np.uint64(29))) * _MIX[seed % 4]
 
-    Words are what ASCII white space parts, A-Z in small letters.
-    """
-    split = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not split:
-        return np.empty(0, dtype=np.uint64)
-    a = np.fromiter(map(xxh3_64_intdigest, split), dtype=np.uint64, count=len(split))
-    width = min(words, len(a))
-    out = np.full(len(a) - width + 1, width, dtype=np.uint64)
-    for k in range(width):
-        out = (out ^ (out >> np.uint64(29))) * _MIX[k % 4] + a[k : len(a) - width + 1 + k]
-    return np.unique(_mixed(out, 3))
 
+def _chained(hashes: list[np.ndarray], width: int) -> np.ndarray:
+    out = np.full(len(hashes[0]), width, dtype=np.uint64)
+    for k, h in enumerate(hashes):
+        out = (out ^ (out >> np.uint64(29))) * _MIX[k % 4] + h
+    return _mixed(out, 3)
 
-def _packed(tokens: np.ndarray) -> bytes:
-    """48 bits of each token: what travels to be compared."""
-    return np.ascontiguousarray(tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
 
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The size of each text's set, and the sorted distinct 64-bit tokens of the sets, one set after the other.
 
-def _unpacked(packed: bytes) -> np.ndarray:
-    out = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
-    out[:, :6] = np.frombuffer(packed, dtype=np.uint8).reshape(-1, 6)
-    return np.sort(out.view("<u8").ravel())
+    A set has a text's shingles; with fewer words, one for all of them; without words, none. Words are what
+    ASCII white space parts, A-Z in small letters.
+    """
+    split = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    lengths = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    hashes = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(split)), dtype=np.uint64, count=int(lengths.sum()))
+    ends = np.cumsum(lengths)
+    counts = np.where(lengths >= words, lengths - words + 1, np.minimum(lengths, 1))
+    stops = np.cumsum(counts)
+    tokens = np.empty(int(counts.sum()), dtype=np.uint64)
+    if len(hashes) >= words:
+        whole = np.ones(len(hashes), dtype=bool)  # where a shingle of `words` words begins
+        for k in range(1, words):
+            at = ends - k
+            whole[at[lengths >= k]] = False
+        is_long = np.repeat(lengths >= words, counts)
+        tokens[is_long] = _chained([hashes[k : len(hashes) - words + 1 + k] for k in range(words)], words)[whole[: len(hashes) - words + 1]]
+    for i in np.flatnonzero((lengths > 0) & (lengths < words)):
+        own = hashes[ends[i] - lengths[i] : ends[i]]
+        tokens[stops[i] - 1] = _chained([own[k : k + 1] for k in range(len(own))], len(own))[0]
+    for start, stop in zip((stops - counts).tolist(), stops.tolist(), strict=True):
+        tokens[start:stop].sort()
+    fresh = np.ones(len(tokens), dtype=bool)
+    fresh[1:] = tokens[1:] != tokens[:-1]
+    fresh[(stops - counts)[counts > 0]] = True
+    if not fresh.all():
+        of = np.repeat(np.arange(len(split)), counts)
+        counts = np.bincount(of[fresh], minlength=len(split))
+        tokens = tokens[fresh]
+    return counts, tokens
 
 
 def _key(tokens: np.ndarray) -> bytes:
@@ -69,181 +97,193 @@ def _node(key: bytes) -> int:
     return int.from_bytes(key[:8], "little", signed=True)
 
 
-def _bitmap(rows: DataFrame) -> np.ndarray:
-    """Bits at `position`, below BITS, as 32-bit words; at most BITS / 32 rows reach the driver."""
-    words = rows.groupBy(F.floor(F.col("position") / 32).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(position % 32 AS int))")).alias("bits")).toPandas()
-    out = np.zeros(BITS // 32, dtype=np.uint32)
-    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
-    return out
-
-
-def _has(bitmap: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    return (bitmap[positions >> 5] >> (positions & 31).astype(np.uint32)) & 1 == 1
-
+def _cut(counts: np.ndarray, tokens: np.ndarray) -> list[np.ndarray]:
+    return np.split(tokens, np.cumsum(counts)[:-1]) if len(counts) else []
 
-def _small(tokens: np.ndarray) -> np.ndarray:
-    """32 bits that stand for a token where a confusion costs work only."""
-    return (_mixed(tokens, 1) >> np.uint64(32)).astype(np.uint32)
 
+def _distinct(keys: list[bytes | None]) -> list[int]:
+    """Where each key stands first."""
+    first: dict[bytes, int] = {}
+    for i, key in enumerate(keys):
+        if key is not None:
+            first.setdefault(key, i)
+    return list(first.values())
 
-def _position(tokens: np.ndarray) -> np.ndarray:
-    return (_small(tokens) % np.uint32(BITS)).astype(np.int64)
 
+def _steps(places: np.ndarray) -> bytes:
+    """Ascending numbers as differences: a byte each if that is enough, else four."""
+    steps = np.diff(places, prepend=0)
+    return steps.astype(np.uint8 if not len(steps) or steps.max() < 256 else "<u4").tobytes()
 
-def _size_class(counts: np.ndarray, percent: int) -> np.ndarray:
-    """Sets whose classes differ by more than one can't link."""
-    return np.floor(np.log(counts) / np.log(100 / percent)).astype(np.int64)
 
+def _places(steps: bytes, count: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, dtype=np.uint8 if len(steps) == count else "<u4"), dtype=np.int64)
 
-def _distinct_sets(batch: pa.RecordBatch, words: int) -> dict[bytes, np.ndarray]:
-    """The sets of a batch, each once."""
-    out = {}
-    for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
-        if len(tokens := shingle_set(text, words)):
-            out.setdefault(_key(tokens), tokens)
-    return out
 
+def _spread(docs: DataFrame, ranges: int, words: int) -> DataFrame:
+    """The distinct sets of each batch of documents, cut by ranges of the tokens' hash.
 
-def documents_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n (the set's size), key (its digest) and node (64 bits of that), null for an empty set."""
+    A row has the low 32 bits of a batch's tokens in one range, and which set of the batch each belongs to. One more
+    row for each batch has its documents and says how many rows of tokens it has.
+    """
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
-            sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
-            keys = [_key(s) if len(s) else None for s in sets]
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array([_node(k) if k else None for k in keys], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "key", "node"])
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in _SPREAD.split(", ")]
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int32()]
+        for number, batch in enumerate(text_batches(batches)):
+            counts, tokens = shingle_sets(batch.column(1).to_pylist(), words)
+            keys = [_key(s) if len(s) else None for s in _cut(counts, tokens)]
+            ids = batch.column(0).to_pylist()
+            own = _distinct(keys)
+            taken = np.zeros(len(counts), dtype=bool)
+            taken[own] = True
+            tokens = tokens[np.repeat(taken, counts)]
+            of = np.repeat(np.arange(len(own)), counts[taken])
+            part = ((tokens >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+            order = np.argsort(part.astype(np.uint16 if ranges <= 1 << 16 else np.uint32), kind="stable")
+            low, of, part = tokens.astype("<u4")[order], of[order], part[order]
+            there, starts = np.unique(part, return_index=True)
+            stops = np.r_[starts[1:], len(part)][: len(starts)]
+            # the same rows in the same partition get the same name, should the task run again
+            name = xxh3_64_intdigest(repr((TaskContext.get().partitionId(), number, ids)).encode() + b"".join(k or b"" for k in keys)) - (1 << 63)
+            rows = [(int(r), name, low[a:b].tobytes(), _steps(of[a:b]), None, None, None, None) for r, a, b in zip(there, starts, stops, strict=True)]
+            rows.append((name % ranges, name, None, None, ids, counts.tolist(), keys, len(rows)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    return docs.select("doc_id", "text").mapInArrow(spread, _SPREAD)
+
+
+def _counted(part: pa.Table) -> pa.Table:
+    """Of the tokens of one range, those in two sets or more, with the logarithm of the number of sets."""
+    rows = part.to_pylist()
+    held = [r for r in rows if r["ids"] is None]
+    tokens = np.frombuffer(b"".join(r["tokens"] for r in held), dtype="<u4")
+    order = np.argsort(tokens)
+    in_order = tokens[order]
+    starts = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]][: len(tokens)])
+    sizes = np.diff(np.r_[starts, len(tokens)])
+    levels = np.empty(len(tokens), dtype=np.uint8)
+    levels[order] = np.repeat(np.log2(sizes).astype(np.uint8), sizes)
+    at = 0
+    for r in held:
+        count = len(r["tokens"]) // 4
+        own, level = tokens[at : at + count], levels[at : at + count]
+        kept = level > 0
+        r["places"] = _steps(_places(r["places"], count)[kept])
+        r["tokens"], r["levels"] = own[kept].tobytes(), level[kept].tobytes()
+        at += count
+    types = [*part.schema.types, pa.binary()]
+    names = [*part.schema.names, "levels"]
+    return pa.table([pa.array([r.get(n) for r in rows], t) for n, t in zip(names, types, strict=True)], names=names)
+
+
+def _ranks(tokens: np.ndarray, levels: np.ndarray, order: int) -> np.ndarray:
+    """An order of all tokens: by frequency, then by a hash; after the first, frequency counts only from FREQUENT on."""
+    if order == 1:
+        return (levels.astype(np.uint64) << np.uint64(56)) | (_mixed(tokens, order) >> np.uint64(8))
+    return ((levels >= np.log2(FREQUENT)).astype(np.uint64) << np.uint64(63)) | (_mixed(tokens, order) >> np.uint64(1))
+
+
+def _prefixes(part: pa.Table, percent: int) -> pa.Table:
+    """The documents of a batch (kind 0), and the prefixes of its sets: under the first order as rows of a token and a
+    node (kind 1), under the others as lists (kind 2).
+
+    Every order puts tokens of one set alone first. They are not here, but their number is known; where they fill a
+    set's prefix, the set can link with no other.
+    """
+    rows = part.to_pylist()
+    (batch,) = [r for r in rows if r["ids"] is not None]
+    held = [r for r in rows if r["ids"] is None]
+    if len(held) != batch["blocks"]:
+        raise RuntimeError("a batch has come apart: its documents were not read in the same order twice")
+    out = [(0, i, n, k, None if k is None else _node(k), None, None) for i, n, k in zip(batch["ids"], batch["sizes"], batch["keys"], strict=True)]
+    own = _distinct(batch["keys"])
+    if own and held:
+        n = np.array([batch["sizes"][i] for i in own], dtype=np.int64)
+        low = [np.frombuffer(r["tokens"], dtype="<u4") for r in held]
+        tokens = np.concatenate([x.astype(np.uint64) | np.uint64(r["range"] << 32) for x, r in zip(low, held, strict=True)])
+        of = np.concatenate([_places(r["places"], len(x)) for x, r in zip(low, held, strict=True)])
+        levels = np.frombuffer(b"".join(r["levels"] for r in held), dtype=np.uint8)
+        need = n - -(-percent * n // 100) + 1 - (n - np.bincount(of, minlength=len(n)))
+        need[100 * n < percent * (n + 1)] = 0  # no other set is close enough in size
+        some = need[of] > 0
+        tokens, of, levels = tokens[some], of[some], levels[some]
+        prefixes: list[list[np.ndarray]] = []
+        sets = np.unique(of)
+        for order in range(1, ORDERS + 1):
+            at = np.lexsort((_ranks(tokens, levels, order), of))
+            starts = np.searchsorted(of[at], sets)
+            within = np.arange(len(at)) - np.repeat(starts, np.diff(np.r_[starts, len(at)]))
+            at = at[within < need[of[at]]]
+            prefixes.append(np.split(tokens[at].astype(np.int64), np.searchsorted(of[at], sets[1:])) if len(sets) else [])
+        for k, i in enumerate(sets.tolist()):
+            node = _node(batch["keys"][own[i]])
+            out += [(1, None, int(n[i]), None, node, t, None) for t in prefixes[0][k].tolist()]
+            out.append((2, None, int(n[i]), None, node, None, [p[k].tolist() for p in prefixes[1:]]))
+    names = [c.split()[0] for c in _FOUND.split(", ")]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64()))]
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+
+
+def documents_and_prefixes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """What `_prefixes` gives of all documents (doc_id and text).
+
+    Every token of every set is counted. Tokens travel to ranges of the hash, as many as the data need, and those of
+    more than one set come back to the batch of documents that sent them: no table of frequencies is held anywhere.
+    Equal sets in several batches count several times, which changes orders, not results.
+    """
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = max(1, size // (BYTES_PER_TOKEN * GATHERED))
+    counted = _spread(docs, ranges, words).groupBy("range").applyInArrow(_counted, _COUNTED)
+    return counted.groupBy("batch").applyInArrow(lambda part: _prefixes(part, percent), _FOUND)
 
-    return docs.mapInArrow(read, "doc_id long, n long, key binary, node long")
 
+def candidates(entries: DataFrame, prefixes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """Pairs of nodes (a, b) that share a prefix token under every order, and for tokens of more than LARGE sets
+    the rows (token, node, least): the least node of those that have it.
 
-def _ranged(tokens: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the tokens by range, and where each range begins in it."""
-    part = (_mixed(tokens, 2) % np.uint64(ranges)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(ranges + 1))
+    `entries` has token, node and n under the first order, `prefixes` node and the lists under the others. Pairs whose
+    sizes forbid a link are left out.
+    """
+    entries = entries.distinct()
+    tokens = entries.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("least")).filter("sets > 1")
+    tokens = durable(tokens)
+    total = tokens.agg(F.coalesce(F.sum("sets"), F.lit(0))).first()[0]
+    shared = durable(salted_lookup(entries, tokens, ["token"], "sets", total, ["node"]))
+    lists = shared.filter(F.col("sets") <= LARGE).groupBy("token").agg(F.collect_list(F.struct("node", "n")).alias("x"))
+    pairs = lists.select(F.explode("x").alias("l"), "x").select("l", F.explode("x").alias("r")).filter("l.node < r.node").filter((F.least("l.n", "r.n") * 100) >= F.greatest("l.n", "r.n") * percent)
+    pairs = pairs.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    lists = prefixes.groupBy("node").agg(F.first("others").alias("others"))
+    both = pairs.join(lists.select(F.col("node").alias("a"), F.col("others").alias("x")), "a").join(lists.select(F.col("node").alias("b"), F.col("others").alias("y")), "b")
+    agree = [F.arrays_overlap(F.col("x")[k], F.col("y")[k]) for k in range(ORDERS - 1)]
+    for condition in agree:
+        both = both.filter(condition)
+    return durable(both.select("a", "b")), shared.filter(F.col("sets") > LARGE).select("token", "node", "least")
 
 
-def frequent_tokens(docs: DataFrame, shingles: int, words: int = WORDS) -> np.ndarray:
-    """A bitmap of the counted tokens that more than FREQUENT documents have.
+def _bitmap(rows: DataFrame) -> np.ndarray:
+    """Bits at `position`, below BITS, as 32-bit words; at most BITS / 32 rows reach the driver."""
+    words = rows.groupBy(F.floor(F.col("position") / 32).cast("long").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(position % 32 AS int))")).alias("bits")).toPandas()
+    out = np.zeros(BITS // 32, dtype=np.uint32)
+    out[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).astype(np.uint32)
+    return out
 
-    All documents count (copies in one batch once). Tokens travel as sorted blocks, a range of the hash in
-    each task, so counting takes memory by GATHERED, whatever the number of tokens.
-    """
-    ranges = max(1, int(shingles * COUNTED) // (2 * GATHERED) + 1)
-    limit = np.uint64(int(COUNTED * 2**64))
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
-            sets = list(_distinct_sets(batch, words).values())
-            if sets:
-                tokens = np.concatenate(sets)
-                tokens = tokens[tokens < limit]
-                order, starts = _ranged(tokens, ranges)
-                small = _small(tokens)
-                parts = [small[order[starts[r] : starts[r + 1]]].tobytes() for r in range(ranges)]
-                yield pa.RecordBatch.from_arrays([pa.array(range(ranges), pa.int32()), pa.array(parts, pa.binary())], ["range", "tokens"])
-
-    def count(part: pd.DataFrame) -> pd.DataFrame:
-        tokens, times = np.unique(np.frombuffer(b"".join(part["tokens"]), dtype=np.uint32), return_counts=True)
-        return pd.DataFrame({"position": np.unique(tokens[times > FREQUENT] % np.uint32(BITS)).astype(np.int64)})
-
-    return _bitmap(docs.mapInArrow(spread, "range int, tokens binary").groupBy("range").applyInPandas(count, "position long"))
-
-
-def _prefix(tokens: np.ndarray, frequent: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first n - ceil(percent * n / 100) + 1 tokens of a set under an order: counted rare ones, uncounted ones, frequent ones, each by a hash."""
-    n = len(tokens)
-    counted = tokens < np.uint64(int(COUNTED * 2**64))
-    late = np.where(counted, np.where(_has(frequent, _position(tokens)), 2, 0), 1).astype(np.uint64)
-    rank = (late << np.uint64(62)) | (_mixed(tokens, order) >> np.uint64(2))
-    size = n - -(-percent * n // 100) + 1
-    return tokens[np.argpartition(rank, size - 1)[:size]] if size < n else tokens
-
-
-def _pairs(starts: np.ndarray, sizes: np.ndarray, nodes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs of nodes within each run whose sizes may allow a link, each once, smaller node first."""
-    left, right = [], []
-    for k in np.unique(sizes):
-        i, j = np.triu_indices(int(k), 1)
-        at = starts[sizes == k][:, None]
-        a, b = (at + i).ravel(), (at + j).ravel()
-        near = np.abs(classes[a] - classes[b]) <= 1
-        left.append(nodes[a[near]])
-        right.append(nodes[b[near]])
-    a, b = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (left, right))
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.empty((2, 0), dtype=np.int64)
-    return both[0], both[1]
-
-
-def shared_prefixes(docs: DataFrame, frequent: np.ndarray, shingles: int, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """What sets share under each order: rows (kind, a, b).
-
-    kind 1 and 2: nodes a and b share a prefix token under that order. Tokens of more than LARGE sets make
-    no pairs: kind 3 says that node a has the token b in its prefix under the first order, kind 4 that it
-    has such a token under another.
-    """
-    ranges = max(1, int(shingles * (100 - percent) / 100) // GATHERED + 1)
+def _gathered(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """For each `place` the list x of the sets that stand there: node, doc_id and text, each once.
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
-            sets = _distinct_sets(batch, words)
-            if not sets:
-                continue
-            own = np.array([_node(k) for k in sets], dtype=np.int64)
-            own_class = _size_class(np.array([len(s) for s in sets.values()]), percent).astype(np.uint8)
-            for order in range(1, ORDERS + 1):
-                found = [_prefix(s, frequent, order, percent) for s in sets.values()]
-                of = np.repeat(np.arange(len(found)), [len(f) for f in found])
-                tokens = np.concatenate(found)
-                at, starts = _ranged(tokens, ranges)
-                cut = [at[starts[r] : starts[r + 1]] for r in range(ranges)]
-                columns = [[x[c].tobytes() for c in cut] for x in (_small(tokens), own[of], own_class[of])]
-                yield pa.RecordBatch.from_arrays([pa.array([order] * ranges, pa.int32()), pa.array(range(ranges), pa.int32()), *[pa.array(c, pa.binary()) for c in columns]], ["order", "range", "tokens", "nodes", "classes"])
-
-    def meet(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        order = int(key[0])
-        tokens = np.frombuffer(b"".join(part["tokens"]), dtype=np.uint32)
-        nodes = np.frombuffer(b"".join(part["nodes"]), dtype=np.int64)
-        classes = np.frombuffer(b"".join(part["classes"]), dtype=np.uint8).astype(np.int64)
-        at = np.lexsort((nodes, tokens))
-        tokens, nodes, classes = tokens[at], nodes[at], classes[at]
-        fresh = np.ones(len(tokens), dtype=bool)  # a copy in another batch brings the same entry
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
-        tokens, nodes, classes = tokens[fresh], nodes[fresh], classes[fresh]
-        starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]]) if len(tokens) else np.empty(0, dtype=np.int64)
-        sizes = np.diff(np.r_[starts, len(tokens)])
-        few = (sizes > 1) & (sizes <= LARGE)
-        a, b = _pairs(starts[few], sizes[few], nodes, classes)
-        many = np.repeat(sizes > LARGE, sizes)
-        token = tokens[many].astype(np.int64) * 2**20 + int(key[1])
-        more = pd.DataFrame({"kind": 3, "a": nodes[many], "b": token}) if order == 1 else pd.DataFrame({"kind": 4, "a": np.unique(nodes[many]), "b": 0})
-        return pd.concat([pd.DataFrame({"kind": order, "a": a, "b": b}), more])
-
-    spread_rows = docs.mapInArrow(spread, "order int, range int, tokens binary, nodes binary, classes binary")
-    return spread_rows.groupBy("order", "range").applyInPandas(meet, "kind int, a long, b long")
-
-
-def wanted_sets(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, node and tokens of the sets whose first documents `wanted` (doc_id) names, and of a few others.
-
-    A bitmap of fixed size lets most other documents go unread; the ids tell its wrong hits apart. Rows that
-    repeat an id and a text repeat their set, once in a batch.
+    `places` has place, node and doc_id. A bitmap of fixed size lets most other documents stay where they are.
     """
     position = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
-    bitmap = _bitmap(wanted.select(position.alias("position")))
+    bitmap = _bitmap(places.select(position.alias("position")))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
-            batch = batch.filter(pa.array(_has(bitmap, batch.column(1).to_numpy(zero_copy_only=False))))
-            sets = {}
-            for doc_id, text in zip(batch.column(2).to_pylist(), batch.column(0).to_pylist(), strict=True):
-                if len(tokens := shingle_set(text, words)):
-                    sets.setdefault((doc_id, _node(_key(tokens))), tokens)
-            columns = [pa.array([i for i, _ in sets], pa.int64()), pa.array([n for _, n in sets], pa.int64()), pa.array([_packed(t) for t in sets.values()], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "tokens"])
+    @F.pandas_udf("boolean")
+    def wanted(positions: pd.Series) -> pd.Series:
+        at = positions.to_numpy()
+        return pd.Series((bitmap[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
 
-    return docs.filter("doc_id IS NOT NULL").select("text", position.alias("position"), "doc_id").mapInArrow(read, "doc_id long, node long, tokens binary")
+    texts = docs.filter("doc_id IS NOT NULL").filter(wanted(position)).join(places, "doc_id")
+    return texts.groupBy("place").agg(F.collect_set(F.struct("node", "doc_id", "text")).alias("x"))
 
 
 def _linked(overlap, a, b, percent: int):
@@ -283,8 +323,8 @@ def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return out.reshape(len(x), len(y))
 
 
-def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-    """Those pairs that join what is not joined yet."""
+def _stars(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Links that join the same ids as the pairs do: each id with the least of those it is joined with."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -292,76 +332,91 @@ def _spanning(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
             parent[x] = x = parent[up]
         return x
 
-    left, right = [], []
-    for x, y in zip(a.tolist(), b.tolist(), strict=True):
-        if (p := root(x)) != (q := root(y)):
-            parent[p] = q
-            left.append(x)
-            right.append(y)
-    return left, right
+    for x, y in zip(a, b, strict=True):
+        p, q = root(x), root(y)
+        if p != q:
+            parent[max(p, q)] = min(p, q)
+    joined = [x for x in parent if root(x) != x]
+    return joined, [root(x) for x in joined]
 
 
-def _links_between(x: list[dict], y: list[dict], percent: int) -> tuple[list[int], list[int]]:
-    xs, ys = ([_unpacked(r["tokens"]) for r in side] for side in (x, y))
-    xn, yn = (np.array([r["node"] for r in side], dtype=np.int64) for side in (x, y))
-    xc, yc = (np.array([len(s) for s in side]) for side in (xs, ys))
-    at, to = np.nonzero(_linked(_overlaps(xs, ys), xc[:, None], yc[None, :], percent))
-    return _spanning(xn[at], yn[to])
+def _sets_of(rows: list[dict], words: int) -> tuple[list[int], list[np.ndarray]]:
+    """The ids and sets of gathered rows; a text that only shares its id with the wanted one is left out."""
+    ids, sets, seen = [], [], set()
+    for row, tokens in zip(rows, _cut(*shingle_sets([r["text"] for r in rows], words)), strict=True):
+        if row["node"] not in seen and len(tokens) and _node(_key(tokens)) == row["node"]:
+            seen.add(row["node"])
+            ids.append(row["doc_id"])
+            sets.append(tokens)
+    return ids, sets
 
 
-def _compared(blocks: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among the sets of x, or between those of x and y; as many as join the same documents."""
+def _compared(blocks: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (u, v) among the sets of x, or between those of x and y: as many as join the same documents."""
     sides = len(blocks.columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                rows = [batch.column(c)[k].as_py() for c in range(sides)]
-                left, right = _links_between(rows[0], rows[-1], percent)
-                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+                found = [_sets_of(batch.column(c)[k].as_py(), words) for c in range(sides)]
+                (xi, xs), (yi, ys) = found[0], found[-1]
+                left, right = [], []
+                if xs and ys:
+                    xn, yn = (np.array([len(s) for s in side]) for side in (xs, ys))
+                    at, to = np.nonzero(_linked(_overlaps(xs, ys), xn[:, None], yn[None, :], percent))
+                    left, right = _stars([xi[i] for i in at.tolist()], [yi[i] for i in to.tolist()])
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["u", "v"])
 
-    return blocks.mapInArrow(compare, "a long, b long")
+    return blocks.mapInArrow(compare, "u long, v long")
 
 
-def _gathered(sets: DataFrame, places: DataFrame, key: str) -> DataFrame:
-    """The sets of each `key`, each set once, however many rows have it; `places` has doc_id, node and key."""
-    once = sets.join(places, ["doc_id", "node"]).repartition(F.col(key)).groupBy(key, "node").agg(F.first("tokens").alias("tokens"))
-    return once.groupBy(key).agg(F.collect_list(F.struct("node", "tokens")).alias("x"))
+def _across(placed: DataFrame, pairs: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Pairs of blocks (i, j) that may still hold a link between different `label`s.
+
+    `placed` has node, block and label. A frequent token asks for the blocks of sets that are not in its most common
+    label, against all its blocks; within one label nothing is asked.
+    """
+    side = lambda of, to: placed.select(F.col("node").alias(of), F.col("block").alias(to), F.col("label").alias(f"label_{to}"))
+    by_pair = pairs.join(side("a", "i"), "a").join(side("b", "j"), "b").filter("label_i != label_j").select("i", "j")
+    held = durable(frequent.join(placed, "node").groupBy("token", "block", "label").agg(F.count(F.lit(1)).alias("sets")))
+    labels = held.groupBy("token", "label").agg(F.sum("sets").alias("sets")).groupBy("token").agg(F.max_by("label", "sets").alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    held = held.join(labels, "token").drop("sets", "labels")
+    rest = held.filter("label != main").select("token", F.col("block").alias("i"), F.col("label").alias("label_i"))
+    by_token = rest.join(held.select("token", F.col("block").alias("j"), F.col("label").alias("label_j")), "token").filter("label_i != label_j").select("i", "j")
+    asked = by_pair.unionByName(by_token).filter("i != j")
+    return asked.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
 
 
 def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, frequent: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Links (a, b) on whole sets, for candidate `pairs` (a, b) and nodes that share a frequent token (node, token).
+    """Links (u, v) of ids, on whole sets, for candidate `pairs` (a, b) and `frequent` (token, node, least).
 
-    Candidates are gathered by the components of their graph, so that a set travels once, not once for each
-    pair. A component too large for one task is cut into blocks by size class and hash, and only blocks are
-    compared that have a candidate pair or a frequent token in common.
+    Candidates are gathered by the components of their graph, so that a text travels once, not once for each pair. A
+    component too large for one task is cut into blocks; each block is compared in itself and with the same few
+    leaders, which joins most of a large group of copies. Between blocks only candidates are left that these links have
+    not joined yet.
     """
-    tokens = durable(frequent.groupBy("token").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("nodes")))
-    held = salted_lookup(frequent, tokens, ["token"], "nodes", tokens.agg(F.coalesce(F.sum("nodes"), F.lit(0))).first()[0], ["node"])
-    found = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(held.select(F.col("node").alias("u"), F.col("least").alias("v"))))
+    found = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(frequent.select(F.col("node").alias("u"), F.col("least").alias("v"))))
     found = durable(found.join(classes.select("node", "n", F.col("first").alias("doc_id")), "node"))
-    sizes = durable(found.groupBy("component").agg(F.count(F.lit(1)).alias("nodes"), F.sum("n").alias("tokens")))
-    small = (F.col("nodes") <= BLOCK) & (F.col("tokens") <= BLOCK_TOKENS)
-    placed = durable(salted_lookup(found, sizes, ["component"], "nodes", found.count(), ["node"]).withColumn("small", small).drop("nodes", "tokens"))
-    few = placed.filter("small")
-    links = _compared(_gathered(wanted_sets(docs, few, words), few.select("doc_id", "node", "component"), "component").select("x"), percent)
-    many = placed.filter("NOT small")
+    sizes = durable(found.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts")))
+    placed = durable(salted_lookup(found, sizes, ["component"], "sets", found.count(), ["node"]))
+    few = placed.filter("parts <= 1").select("doc_id", "node", F.col("component").alias("place"))
+    links = durable(_compared(_gathered(docs, few).select("x"), words, percent))
+    many = placed.filter("parts > 1")
     if not many.limit(1).count():
         return links
-    many = many.withColumn("class", F.floor(F.log("n") / float(np.log(100 / percent))).cast("long"))
-    parts = many.groupBy("component", "class").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_TOKENS)).alias("parts"), F.count(F.lit(1)).alias("nodes"))
-    many = salted_lookup(many, durable(parts), ["component", "class"], "nodes", found.count(), ["node"])
-    block = F.concat_ws(":", "component", "class", F.pmod(F.xxhash64("node"), F.col("parts")))
-    many = durable(many.select("node", "doc_id", "class", block.alias("block")))
-    blocks = durable(_gathered(wanted_sets(docs, many, words), many.select("doc_id", "node", "block"), "block"))
-    side = lambda of, to: many.select(F.col("node").alias(of), F.col("block").alias(to), F.col("class").alias(f"class_{to}"))
-    by_pair = pairs.join(side("a", "i"), "a").join(side("b", "j"), "b").select("i", "j", "class_i", "class_j")
-    held = frequent.join(many, "node").select("token", "block", "class").distinct()
-    by_token = held.select("token", F.col("block").alias("i"), F.col("class").alias("class_i")).join(held.select("token", F.col("block").alias("j"), F.col("class").alias("class_j")), "token")
-    asked = by_pair.unionByName(by_token.select("i", "j", "class_i", "class_j")).filter(F.abs(F.col("class_i") - F.col("class_j")) <= 1)
-    asked = asked.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j")).distinct()
-    x, y = blocks.withColumnRenamed("block", "i"), blocks.select(F.col("block").alias("j"), F.col("x").alias("y"))
-    return links.unionByName(_compared(asked.join(x, "i").join(y, "j").select("x", "y"), percent))
+    named = lambda part: F.concat_ws(":", "component", part)
+    many = durable(many.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("block", named("part")))
+    leaders = many.withColumn("_r", F.row_number().over(Window.partitionBy("component").orderBy("node"))).filter(F.col("_r") <= LEADERS)
+    leaders = leaders.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("block", named("part"))
+    own = many.select("doc_id", "node", F.col("block").alias("place")).unionByName(leaders.select("doc_id", "node", F.col("block").alias("place"))).distinct()
+    inside = durable(_compared(_gathered(docs, own).select("x"), words, percent))
+    labels = components(inside).select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
+    labelled = durable(many.join(labels, "doc_id", "left").select("node", "doc_id", "block", F.coalesce("label", "doc_id").alias("label")))
+    asked = durable(_across(labelled, pairs, frequent))
+    blocks = asked.select(F.explode(F.array("i", "j")).alias("block")).distinct()
+    rest = durable(_gathered(docs, labelled.join(blocks, "block", "left_semi").select("doc_id", "node", F.col("block").alias("place"))))
+    x, y = rest.withColumnRenamed("place", "i"), rest.select(F.col("place").alias("j"), F.col("x").alias("y"))
+    return links.unionByName(inside).unionByName(_compared(asked.join(x, "i").join(y, "j").select("x", "y"), words, percent))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -370,31 +425,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two documents link when 100 times the intersection of their shingle sets is at least `percent` times
     their union; a component has the smallest id that links reach. Equal sets are joined first and looked
     at once. Sets of which one could link with the other must share a token in their prefixes under every
-    global order; a pair that shares one under each of ORDERS orders is verified on the whole sets. All
-    orders put counted tokens of many documents last; uncounted ones (all but COUNTED) come before these, however
-    many documents have them. What still is in more than LARGE prefixes is compared in
-    blocks, so no group writes out its pairs. Tokens are 64-bit hashes, of which 48 bits are compared between
-    two sets; sets are grouped by 128-bit digests and named by 64 bits of them.
-
-    Null and empty texts, and texts without words, have no shingles and are linked with nothing. Null ids
-    have a null component unless an equal text has an id. Rows that repeat an id and a text get the same
-    values. An empty table gives an empty result. Other columns are not read.
+    global order, all of which put rare tokens first; a pair that shares one under each of ORDERS orders is verified
+    on the whole sets. A token that more than LARGE sets have in their prefixes makes no pairs: its sets are compared
+    with leaders first, and in blocks only where these leave different components. Tokens are 64-bit hashes; sets are
+    grouped by 128-bit digests and named by 64 bits of them. Only components are kept, not the number of links.
+
+    Null and empty texts, and texts without words, have no shingles and are linked with nothing. Very long texts are
+    read whole, each in one task. Null ids have a null component unless an equal text has an id. Rows that repeat an
+    id and a text get the same values. An empty table gives an empty result. Other columns are not read. The rows of
+    a partition must come in the same order when they are read again, as those of files do.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = durable(documents_sets(docs, words))
+    found = durable(documents_and_prefixes(docs, words, percent))
+    rows = found.filter("kind = 0").select("doc_id", "n", "key", "node")
     classes = durable(rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("node").alias("node"), F.count(F.lit(1)).alias("copies")))
-    shingles = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    shared = durable(shared_prefixes(docs, frequent_tokens(docs, shingles, words), shingles, words, percent))
-    pairs = [shared.filter(F.col("kind") == k).select("a", "b").distinct() for k in range(1, ORDERS + 1)]
-    dense = shared.filter("kind = 4").select("a").distinct()
-    both = pairs[0].join(pairs[1], ["a", "b"])
-    both = durable(both.unionByName(pairs[0].join(dense, "a").join(dense.withColumnRenamed("a", "b"), "b").select("a", "b")).distinct())
-    frequent = shared.filter("kind = 3").select(F.col("a").alias("node"), F.col("b").alias("token"))
-    links = verified_links(docs, classes.filter("first IS NOT NULL"), both, frequent, words, percent)
-    first = classes.select(F.col("node").alias("a"), F.col("first").alias("u")).filter("u IS NOT NULL")
-    links = links.join(first, "a").join(first.select(F.col("a").alias("b"), F.col("u").alias("v")), "b").select("u", "v")
-    found = classes.drop("node").join(components(links).withColumnRenamed("node", "first"), "first", "left").select("key", "copies", F.coalesce("component", "first").alias("component_id"))
-    with_set = salted_lookup(rows.filter("key IS NOT NULL").drop("node"), durable(found), ["key"], "copies", rows.count(), ["doc_id"])
+    pairs, frequent = candidates(found.filter("kind = 1").select("token", "node", "n"), found.filter("kind = 2").select("node", "others"), percent)
+    links = verified_links(docs, classes.filter("first IS NOT NULL"), pairs, frequent, words, percent)
+    joined = classes.drop("node").join(components(links).withColumnRenamed("node", "first"), "first", "left").select("key", "copies", F.coalesce("component", "first").alias("component_id"))
+    with_set = salted_lookup(rows.filter("key IS NOT NULL").drop("node"), durable(joined), ["key"], "copies", rows.count(), ["doc_id"])
     alone = rows.filter("key IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return with_set.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 

@@ -87,7 +87,7 @@ def test_colliding_hashes_do_not_join_texts(spark):
 @pytest.mark.parametrize("small", [False, True])
 def test_near_duplicates_agree_with_brute_force(spark, sf_dir, monkeypatch, small):
     if small:  # so that frequent tokens, blocks and several ranges occur
-        for name, value in (("LARGE", 2), ("FREQUENT", 2), ("BLOCK", 3), ("BLOCK_TOKENS", 2000), ("GATHERED", 20_000)):
+        for name, value in (("LARGE", 2), ("FREQUENT", 2), ("BLOCK", 3), ("BLOCK_TOKENS", 2000), ("LEADERS", 1), ("GATHERED", 20_000)):
             monkeypatch.setattr(jaccard_join, name, value)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     base = "the quick brown fox jumps over the lazy dog while seven old ravens watch from a dead oak near the river bank today".split()
@@ -101,12 +101,24 @@ def test_near_duplicates_agree_with_brute_force(spark, sf_dir, monkeypatch, smal
 
 def test_a_set_is_gathered_once_however_many_copies_the_bitmap_hits(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BITS", 32)  # so that copies are hit by mistake
-    rows = [(i, "one text that many documents share") for i in range(200)] + [(0, "one text that many documents share")] * 20 + [(500, "another text of the same component")]
+    shared = "one text that many documents share"
+    rows = [(i, shared) for i in range(200)] + [(0, shared)] * 20 + [(0, "another text of the same id"), (500, "another text of the same component")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    nodes = {r.doc_id: r.node for r in jaccard_join.documents_sets(docs).collect()}
-    places = spark.createDataFrame([(i, nodes[i], 7) for i in (0, 500)], "doc_id bigint, node bigint, component bigint")
-    (found,) = jaccard_join._gathered(jaccard_join.wanted_sets(docs, places), places, "component").collect()
-    assert sorted(x.node for x in found.x) == sorted([nodes[0], nodes[500]])
+    found = jaccard_join.documents_and_prefixes(docs).filter("kind = 0").collect()
+    nodes = {i: r.node for i, text in ((0, shared), (500, rows[-1][1])) for r in found if r.doc_id == (1 if text == shared else i)}
+    places = spark.createDataFrame([(i, nodes[i], 7) for i in (0, 500)], "doc_id bigint, node bigint, place bigint")
+    (block,) = jaccard_join._gathered(docs, places).collect()
+    ids, sets = jaccard_join._sets_of([r.asDict() for r in block.x], 4)
+    assert len(block.x) == 3 and sorted(ids) == [0, 500] and all(len(s) == 3 for s in sets)
+
+
+def test_shingle_sets_of_a_batch_are_those_of_each_text():
+    texts = ["a b c d e", "", None, "A  b\tc d", "one", "a b c d a b c d", "\u0130 x y", " \n "]
+    counts, tokens = jaccard_join.shingle_sets(texts)
+    assert counts.tolist() == [2, 0, 0, 1, 1, 4, 1, 0]
+    alone = [jaccard_join.shingle_sets([t])[1].tolist() for t in texts]
+    assert [x.tolist() for x in jaccard_join._cut(counts, tokens)] == alone
+    assert set(alone[3]) <= set(alone[0]) and set(alone[3]) <= set(alone[5])
 
 
 def test_near_duplicates_of_odd_rows(spark):
