@@ -13,121 +13,151 @@ from lodestone.llm.common import durable, table
 
 SCALE = 1024
 K = 10
-#: Queries and distinct vectors in a block; a task holds one block of each.
-QUERY_BLOCK, DATA_BLOCK = 1024, 8192
+#: Queries and distinct vectors in a block; a task scans one block of each at a time.
+QUERY_BLOCK, DATA_BLOCK = 4096, 16384
+#: Queries whose bounds are computed at once, and data blocks that one task scans for a block of queries.
+QUERIES_AT_ONCE, BLOCKS_IN_TURN = 256, 64
 #: Cells along each dimension.
 CELLS = 256
 #: Parts in which the ids of equal vectors are gathered first.
 PARTS = 512
+#: Integers of this size or more are no components.
+LARGEST = 1 << 52
 
 
 def integers(embedding: Column) -> Column:
     """floor(1024 * x) of each component, x as double; null for a vector that takes no part."""
-    sound = embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    sound = embedding.isNotNull() & F.forall(embedding, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float(LARGEST // SCALE)))
     return F.when(sound, F.transform(embedding, lambda x: F.floor(x.cast("double") * SCALE).cast("long")))
 
 
-def _fewest(ids: str, most: int) -> Column:
-    return F.slice(F.array_sort(F.collect_list(ids)), 1, most)
-
-
 def _smallest_ids(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
     """Of each batch, the `most` smallest ids of each vector."""
     for batch in batches:
         if len(batch):
-            batch = batch.assign(key=[np.asarray(v, dtype=np.int64).tobytes() for v in batch["v"]]).sort_values("vec_id", kind="stable")
+            batch = batch.assign(key=[np.asarray(v, dtype=np.int64).tobytes() for v in batch["v"]]).sort_values("vec_id", kind="stable").drop_duplicates(["key", "vec_id"])
             batch = batch[batch.groupby("key").cumcount() < most]
             yield batch[["vec_id", "v"]]
 
 
 def distinct_vectors(vectors: DataFrame, k: int = K) -> DataFrame:
-    """v and ids: each integer vector once, with its k + 1 smallest ids, in order.
+    """v and ids: each integer vector once, with its k + 1 smallest different ids, in order.
 
     More can't be in a result: a query leaves out one id, its own. Copies are thinned in each batch, then
     in PARTS parts of a vector's copies, then together, so that no task gathers a large group.
     """
     most = k + 1
     thin = vectors.select("vec_id", "v").mapInPandas(lambda batches: _smallest_ids(batches, most), "vec_id long, v array<long>")
-    parts = thin.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(PARTS)).alias("part")).agg(_fewest("vec_id", most).alias("ids"))
-    return parts.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, most).alias("ids"))
+    parts = thin.groupBy("v", F.pmod(F.xxhash64("vec_id"), F.lit(PARTS)).alias("part")).agg(F.slice(F.array_sort(F.collect_set("vec_id")), 1, most).alias("ids"))
+    return parts.groupBy("v").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, most).alias("ids"))
 
 
-def _scan(batches: Iterator[pd.DataFrame], low: np.ndarray, width: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
-    """Bounds of the scores of a block of queries with a block of cells; the candidates of each query.
+def _scan(part: pd.DataFrame, low: np.ndarray, width: np.ndarray, k: int) -> pd.DataFrame:
+    """Bounds of the scores of a block of queries with some blocks of cells, one after the other; the candidates of each query.
 
-    A vector's component lies in [low + c * width, low + (c + 1) * width - 1] for its cell c, in integers,
-    so a score lies within q.centre plus and minus |q|.reach. Kept are vectors whose upper bound is no
-    less than the (k + 1)th largest lower bound in the block.
+    A vector's component lies in [low + c * width, low + (c + 1) * width - 1] for its cell c, in integers, so a score
+    lies within q.centre plus and minus |q|.reach, and what doubles may round. Kept are vectors whose upper bound is no
+    less than the (k + 1)th largest lower bound so far. Where many vectors stand level, k + 1 that surely come before
+    another leave it out. `firsts` and `seconds` are the two least ids of each vector, equal where it has but one.
     """
     reach = (width - 1) / 2
-    for batch in batches:
-        for queries, cells in zip(batch["queries"], batch["cells"], strict=True):
-            q = np.stack([np.asarray(r["v"], dtype=np.float64) for r in queries])
-            ids = np.array([r["query_id"] for r in queries])
-            c = np.stack([np.frombuffer(r["cell"], dtype=np.uint8) for r in cells]).astype(np.float64)
-            keys = np.array([r["vector"] for r in cells])
-            middle = q @ (low + c * width + reach).T
-            slack = (np.abs(q) @ reach)[:, None] + 1e-6 * (1 + np.abs(middle))
-            least = np.partition(middle - slack, max(0, len(keys) - k - 1), axis=1)[:, max(0, len(keys) - k - 1)]
-            at, to = np.nonzero(middle + slack >= least[:, None])
-            found = middle[at, to]
-            room = slack[at, to]
-            yield pd.DataFrame({"query_id": ids[at], "vector": keys[to], "lower": found - room, "upper": found + room})
+    rounding = (len(low) + 8) * 2.0**-52 * np.maximum(np.abs(low), np.abs(low + CELLS * width))
+    found = [pd.DataFrame({"query_id": [], "vector": [], "first": [], "lower": [], "upper": []})]
+    for ids, components in part.loc[part["ids"].notna(), ["ids", "components"]].itertuples(index=False):
+        asked = np.asarray(components, dtype=np.float64).reshape(len(ids), len(low))
+        best = np.full((len(ids), k + 1), -np.inf)
+        for keys, firsts, seconds, cells in part.loc[part["keys"].notna(), ["keys", "firsts", "seconds", "cells"]].itertuples(index=False):
+            centres = (low + np.frombuffer(cells, dtype=np.uint8).reshape(len(keys), len(low)) * width + reach).T
+            most = min(k + 1, len(keys))
+            for start in range(0, len(ids), QUERIES_AT_ONCE):
+                q, own = asked[start : start + QUERIES_AT_ONCE], best[start : start + QUERIES_AT_ONCE]
+                middle = q @ centres
+                slack = (np.abs(q) @ (reach + rounding))[:, None]
+                name = ids[start : start + QUERIES_AT_ONCE, None]
+                own_id = firsts == name
+                least_id = np.where(own_id, seconds, firsts)
+                middle[own_id & (seconds == name)] = -np.inf  # a vector of the query's id alone
+                near = np.concatenate([own, np.partition(middle, len(keys) - most, axis=1)[:, len(keys) - most :] - slack], axis=1)
+                own[:] = np.partition(near, most, axis=1)[:, most:]
+                kept = (middle + slack >= own.min(axis=1)[:, None]) & (middle > -np.inf)
+                for i in np.flatnonzero(kept.sum(axis=1) > 4 * (k + 1)):
+                    at = np.flatnonzero(kept[i])
+                    before = at[np.lexsort((least_id[i, at], -middle[i, at]))[: k + 1]]
+                    least, last = (middle[i, before] - slack[i]).min(), least_id[i, before].max()
+                    upper = middle[i, at] + slack[i]
+                    kept[i, at] = (upper > least) | ((upper == least) & (least_id[i, at] <= last))
+                at, to = np.nonzero(kept)
+                middles, room = middle[at, to], slack[at, 0]
+                found.append(pd.DataFrame({"query_id": ids[start + at], "vector": keys[to], "first": least_id[at, to], "lower": middles - room, "upper": middles + room}))
+    return pd.concat(found[1:] or found)
+
+
+def _padded(v: Column, dimensions: int) -> Column:
+    return F.when(F.size(v) < dimensions, F.concat(v, F.array_repeat(F.lit(0).cast("long"), F.lit(dimensions) - F.size(v)))).otherwise(v)
 
 
 def top_scores(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k highest integer inner products of each query.
 
-    `vectors` and `queries` have vec_id and v, arrays of integers of one length. Ties go to smaller ids; a
-    query's own id is no candidate. Equal vectors are searched as one. The file has a cell number for each
-    component of each distinct vector. Scanning it in blocks gives bounds for every pair of a query and a
-    vector; exact vectors are then read in the order of their bounds: the best k + 1 of each query first,
-    and of the others those whose bound is no worse than the kth exact score so far, which makes the
-    result certain. Fewer vectors than k give as many rows. Rows that repeat an id are each candidates.
+    `vectors` and `queries` have vec_id and v, arrays of integers below LARGEST; missing components of shorter arrays
+    count as 0. Ties go to smaller ids; a query's own id is no candidate. Equal vectors are searched as one. The file
+    has a cell number for each component of each distinct vector. Scanning it in blocks gives bounds for every pair of
+    a query and a vector; exact vectors are then read in the order of their bounds: the best k + 1 of each query first,
+    and of the others those whose bound is no worse than the kth exact score so far, which makes the result certain.
+    Fewer vectors than k give as many rows. Rows that repeat an id and a vector count once; an id with several vectors
+    is a candidate with each, and as a query has the greatest of them. Scores beyond 64 bits are the greatest or least
+    number of 64 bits.
     """
-    distinct = durable(distinct_vectors(vectors, k).withColumn("vector", F.xxhash64("v")))
-    sizes = distinct.select(F.size("v").alias("d")).agg(F.max("d"), F.count(F.lit(1))).first()
-    dimensions, n = sizes[0] or 0, sizes[1]
-    edges = distinct.agg(*[f(F.col("v")[i]).alias(f"{f.__name__}{i}") for i in range(dimensions) for f in (F.min, F.max)]).first()
-    low = np.array([edges[2 * i] or 0 for i in range(dimensions)], dtype=np.float64)
-    width = np.ceil((np.array([edges[2 * i + 1] or 0 for i in range(dimensions)], dtype=np.float64) - low + 1) / CELLS)
-    lows, widths = F.array(*[F.lit(int(x)) for x in low]), F.array(*[F.lit(int(x)) for x in width])
+    dimensions = max(1, vectors.agg(F.max(F.size("v"))).first()[0] or 0)
+    pad = lambda df: df.select("vec_id", _padded(F.col("v"), dimensions).alias("v"))
+    distinct = distinct_vectors(pad(vectors), k)
+    distinct = durable(distinct.select("v", "ids", F.monotonically_increasing_id().alias("vector")))
+    edges = distinct.agg(F.count(F.lit(1)), *[f(F.col("v")[i]) for i in range(dimensions) for f in (F.min, F.max)]).first()
+    n, lows, highs = edges[0], [x or 0 for x in edges[1::2]], [x or 0 for x in edges[2::2]]
+    widths = [-(-(high - low + 1) // CELLS) for low, high in zip(lows, highs, strict=True)]
+    low, width = np.array(lows, dtype=np.float64), np.array(widths, dtype=np.float64)
+    literals = [F.array(*[F.lit(x).cast("long") for x in numbers]) for numbers in (lows, widths)]
     parts = max(1, -(-n // DATA_BLOCK))
-    hexes = F.transform(F.arrays_zip(F.col("v").alias("v"), lows.alias("low"), widths.alias("w")), lambda x: F.lpad(F.hex(F.floor((x.getField("v") - x.getField("low")) / x.getField("w")).cast("long")), 2, "0"))
-    cells = distinct.select("vector", F.unhex(F.array_join(hexes, "")).alias("cell"))
-    files = cells.groupBy(F.pmod("vector", F.lit(parts)).alias("part")).agg(F.collect_list(F.struct("vector", "cell")).alias("cells"))
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    asked = queries.select(F.col("vec_id").alias("query_id"), "v")
-    asked_blocks = asked.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("query_id", "v")).alias("queries"))
-    pairs = files.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(asked_blocks, "block")
-    bounds = pairs.select("queries", "cells").mapInPandas(lambda batches: _scan(batches, low, width, k), "query_id long, vector long, lower double, upper double")
-    bounds = durable(bounds)
-    by_lower = Window.partitionBy("query_id").orderBy(F.desc("lower"), "vector")
-    by_upper = Window.partitionBy("query_id").orderBy(F.desc("upper"), "vector")
+    cells = distinct.withColumns({"low": literals[0], "width": literals[1]})
+    cells = cells.select("vector", F.col("ids")[0].alias("first"), F.coalesce(F.get("ids", F.lit(1)), F.col("ids")[0]).alias("second"), F.expr("array_join(transform(v, (x, i) -> lpad(hex((x - low[i]) DIV width[i]), 2, '0')), '')").alias("cell"))
+    files = cells.groupBy(F.pmod(F.xxhash64("vector"), F.lit(parts)).cast("int").alias("part")).agg(F.collect_list(F.struct("vector", "first", "second", "cell")).alias("x"))
+    files = files.select("part", F.col("x.vector").alias("keys"), F.col("x.first").alias("firsts"), F.col("x.second").alias("seconds"), F.unhex(F.array_join("x.cell", "")).alias("cells"))
+    asked = durable(pad(queries).groupBy("vec_id").agg(F.max("v").alias("v")).withColumnRenamed("vec_id", "query_id"))
+    blocks, turns = max(1, -(-asked.count() // QUERY_BLOCK)), -(-parts // BLOCKS_IN_TURN)
+    asked_blocks = asked.groupBy(F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block")).agg(F.collect_list(F.struct("query_id", "v")).alias("x"))
+    asked_blocks = asked_blocks.select("block", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn"), F.col("x.query_id").alias("ids"), F.flatten("x.v").alias("components"))
+    files = files.withColumns({"turn": F.col("part") % turns, "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))}).drop("part")
+    grid = files.unionByName(asked_blocks, allowMissingColumns=True).groupBy("block", "turn")
+    bounds = durable(grid.applyInPandas(lambda part: _scan(part, low, width, k), "query_id long, vector long, first long, lower double, upper double"))
+    by_lower = Window.partitionBy("query_id").orderBy(F.desc("lower"), "first", "vector")
+    by_upper = Window.partitionBy("query_id").orderBy(F.desc("upper"), "first", "vector")
     # the (k + 1)th largest lower bound over all blocks
-    certain = bounds.withColumn("r", F.row_number().over(by_lower)).filter(F.col("r") <= k + 1).groupBy("query_id").agg(F.when(F.count(F.lit(1)) > k, F.min("lower")).alias("least"))
-    left = bounds.join(certain, "query_id").filter(F.col("least").isNull() | (F.col("upper") >= F.col("least"))).withColumn("r", F.row_number().over(by_upper)).select("query_id", "vector", "upper", "r")
-    left = durable(left)
+    certain = bounds.withColumn("r", F.row_number().over(by_lower)).filter(F.col("r") <= k + 1).groupBy("query_id").agg(F.count(F.lit(1)).alias("vectors"), F.min("lower").alias("least"), F.max("first").alias("last"))
+    possible = (F.col("vectors") <= k) | (F.col("upper") > F.col("least")) | ((F.col("upper") == F.col("least")) & (F.col("first") <= F.col("last")))
+    left = durable(bounds.join(certain, "query_id").filter(possible).select("query_id", "vector", "first", "upper"))
+    wide = sum(max(abs(a), abs(b)) ** 2 for a, b in zip(lows, highs, strict=True)) >= 1 << 62
+    number = "decimal(38,0)" if wide else "long"
 
     def exact(candidates: DataFrame) -> DataFrame:
         read = candidates.join(distinct, "vector").join(asked.withColumnRenamed("v", "q"), "query_id")
-        score = F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda a, x: a + x)
+        score = F.aggregate(F.zip_with("q", "v", lambda a, b: (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(number) if wide else a * b), F.lit(0).cast(number), lambda a, x: (a + x).cast(number))
+        score = F.greatest(F.least(score, F.lit((1 << 63) - 1).cast(number)), F.lit(-(1 << 63)).cast(number)).cast("long")
         return read.select("query_id", score.alias("score"), F.explode("ids").alias("vec_id")).filter("vec_id != query_id")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    first = durable(exact(left.filter(F.col("r") <= k + 1)).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k))
-    bar = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
-    more = left.filter(F.col("r") > k + 1).join(bar, "query_id", "left").filter(F.col("bar").isNull() | (F.col("upper") >= F.col("bar"))).select("query_id", "vector")
-    both = first.select("query_id", "score", "vec_id").unionByName(exact(more).select("query_id", "score", "vec_id"))
-    return both.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    first = left.withColumn("r", F.row_number().over(by_upper)).filter(F.col("r") <= k + 1).select("query_id", "vector")
+    bar = exact(first).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("bar"))
+    read = left.join(durable(bar), "query_id", "left").filter(F.col("bar").isNull() | (F.col("upper") >= F.col("bar"))).select("query_id", "vector")
+    ranked = exact(read).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def search(embeddings: DataFrame, every: int = 100, k: int = K) -> DataFrame:
     """`top_scores` of the vectors whose id is divisible by `every`, against all vectors.
 
-    Null vectors, vectors with a null or non-finite component, and null ids take no part. Vectors must
-    have one length. An empty table gives an empty result. Columns other than vec_id and embedding are
-    not read.
+    Null vectors, vectors with a null or non-finite component or one of LARGEST / SCALE or more, and null ids take no
+    part. Shorter vectors count as filled with zeros. Rows that repeat an id are as in `top_scores`. An empty table
+    gives an empty result. Columns other than vec_id and embedding are not read.
     """
     sound = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), integers(F.col("embedding")).alias("v")).filter("vec_id IS NOT NULL AND v IS NOT NULL")
     return top_scores(sound, sound.filter(F.col("vec_id") % every == 0), k)

@@ -157,3 +157,33 @@ def test_search_with_copies_ties_and_unsound_vectors(spark, monkeypatch):
     assert found == expected
     assert vector_search.search(vectors.limit(0)).count() == 0
     assert vector_search.search(vectors.filter("vec_id = 0")).count() == 0
+
+
+def brute_scores(rows, k):
+    """Ranks by (score, id) over distinct rows; a query id has the greatest of its vectors."""
+    sound = {(i, tuple(int(x * 1024 // 1) for x in v)) for i, v in rows}
+    width = max((len(v) for _, v in sound), default=0)
+    sound = {(i, v + (0,) * (width - len(v))) for i, v in sound}
+    queries = {i: max(v for j, v in sound if j == i) for i, _ in sound if i % 100 == 0}
+    out = []
+    for q, asked in queries.items():
+        best = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(asked, v, strict=True)))), i) for i, v in sound if i != q)[:k]
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(0, [1.0, 2.0])] * 14 + [(5, [3.0, 1.0]), (6, [3.0, 1.0])],  # repeated rows of the query's own vector
+        [(0, [1.0, 2.0]), (0, [2.0, 1.0]), (1, [0.5, 0.5]), (2, [0.25, 4.0]), (2, [0.5, 1.0])],  # ids with several vectors
+        [(0, [1.0]), (1, [1.0, 5.0]), (2, []), (3, [2.0, 0.0, -7.0]), (100, [0.5, 0.5, 0.5])],  # unequal lengths
+        [(0, [1e9, -3.0]), (1, [4e9, 1e12]), (2, [-4e9, 1.0]), (100, [4e12, 4e12]), (3, [4e12, 4e12])],  # large components
+        [(0, [0.0, 0.0])] + [(i, [float(i % 7), 1.0]) for i in range(1, 90)],  # everything ties
+    ],
+)
+def test_search_of_odd_vectors_agrees_with_brute_force(spark, monkeypatch, rows):
+    for name, value in (("DATA_BLOCK", 8), ("QUERY_BLOCK", 1), ("BLOCKS_IN_TURN", 2), ("QUERIES_AT_ONCE", 1)):
+        monkeypatch.setattr(vector_search, name, value)
+    vectors = spark.createDataFrame([*rows, (7, [1e17, 1.0])], "vec_id bigint, embedding array<double>")
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in vector_search.search(vectors, 100, 3).collect()) == brute_scores(rows, 3)
