@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ CAPACITY = 2048
 END_ID = 1
 SEED = 13
 #: Texts of this many bytes, and this many cached words, are held by a Python worker at once.
-BATCH_BYTES, CACHED_WORDS = 4_000_000, 1_000_000
+BATCH_BYTES, CACHED_WORDS = 4_000_000, 1_500_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -41,7 +42,7 @@ class WordIds:
     The tokenizer never joins characters across ASCII white space, so the ids of a text are those of its
     words, one after the other; and it never joins letters with punctuation, so the ids of letters that
     punctuation follows are those of the letters and those of the punctuation. Texts of Latin-1 alone are
-    put in small letters first, as the tokenizer does. The cache is emptied when it is full.
+    put in small letters first, as the tokenizer does. When the cache is full, it keeps the words of the last batch.
     """
 
     def __init__(self, path: str) -> None:
@@ -53,6 +54,7 @@ class WordIds:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[bytes, bytes] = {}
+        self.recent: set[bytes] = set()
 
     def _encode(self, words: list[bytes]) -> None:
         for word, found in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
@@ -76,7 +78,8 @@ class WordIds:
         letters, others, compound = set(), set(), []
         for word in new:
             core = word.rstrip(b".,;:!?")
-            if not (core.isalpha() or core.decode().isalpha()):
+            # small letters count: one of them may stand for a letter and a mark, which joins the punctuation
+            if not (core.isalpha() or core.decode().lower().isalpha()):
                 others.add(word)
             elif len(core) == len(word):
                 letters.add(word)
@@ -98,13 +101,10 @@ class WordIds:
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         if len(self.words) > CACHED_WORDS:
-            self.words.clear()
+            self.words = {word: self.words[word] for word in self.recent}
         split = [self._split(x) for x in texts]
-        new: set[bytes] = set()
-        for words in split:
-            new.update(words)
-        new -= self.words.keys()
-        if new:
+        known, self.recent = self.words, set(chain.from_iterable(split))
+        if new := {word for word in self.recent if word not in known}:
             self._learn(new)
         get = self.words.__getitem__
         for words in split:
