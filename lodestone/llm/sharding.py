@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bucket_bits, durable, hex_bucket, seeded, table, with_running_total
+from lodestone.llm.common import bucket_bits, durable, hex_bucket, numbered, seeded, table, unused, with_running_total
 
 SHARDS = 40
 SEED = 7
+#: Rows of a shard that one task writes.
+FILE_ROWS = 100_000
 
 
 def stratum_of(source: Column) -> Column:
@@ -16,8 +18,8 @@ def stratum_of(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
 
 
-def interleaved_shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id", stratum_col: str = "source", text_col: str = "text") -> DataFrame:
-    """For each row: doc_id, stratum, size, text_crc32, shard, slot.
+def interleaved_shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id", stratum_col: str = "source", text_col: str = "text", number_col: str | None = None) -> DataFrame:
+    """For each row: doc_id, stratum, size, text_crc32, shard, slot, and `number` if a column is named for it.
 
     Rows are shuffled by a seeded hash inside their stratum and numbered 1..n; row k stands at the
     fraction (k - 1 + phase) / n, with a seeded phase for each stratum, so that strata of one row spread
@@ -26,7 +28,7 @@ def interleaved_shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED
     two. Both numberings are distributed running counts over small buckets: no stratum, and no run, is
     held by one task, and texts are not shuffled.
 
-    Null text has size 16 and the CRC of no bytes; null sources form a stratum. Rows that repeat an id
+    Null text has size 16 and the CRC of no bytes; very long texts count whole; null sources form a stratum. Rows that repeat an id
     get places of their own. With fewer rows than shards some shards are empty; an empty table gives an
     empty result. Other columns are not read.
     """
@@ -37,6 +39,7 @@ def interleaved_shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED
         stratum_of(F.col(stratum_col)).alias("stratum"),
         (F.octet_length(F.coalesce(text_col, F.lit(""))) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce(text_col, F.lit("")).cast("binary")).alias("text_crc32"),
+        *([] if number_col is None else [F.col(number_col).alias("number")]),
     ).withColumn("u", seeded(seed, "doc_id"))
     rows = rows.withColumns({"bucket": hex_bucket("u", bits), "one": F.lit(1)})
     keys = docs.select(stratum_of(F.col(stratum_col)).alias("stratum"), hex_bucket(seeded(seed, F.col(id_col).cast("string")), bits).alias("bucket"), F.lit(1).alias("one"))
@@ -53,17 +56,23 @@ def interleaved_shards(docs: DataFrame, n_shards: int = SHARDS, seed: int = SEED
     shard = F.expr(f"(position - 1) * {n_shards} div {max(1, total)}")
     first = F.expr(f"(shard * {total} + {n_shards - 1}) div {n_shards}")
     placed = placed.withColumn("shard", shard).withColumn("slot", F.col("position") - 1 - first)
-    return placed.select("doc_id", "stratum", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"))
+    return placed.select("doc_id", "stratum", "size", "text_crc32", F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), *([] if number_col is None else ["number"]))
 
 
 def shard_documents(docs: DataFrame, path: str, n_shards: int = SHARDS, seed: int = SEED) -> None:
-    """Writes the documents under `path`, one folder for each shard, in slot order.
+    """Writes the documents under `path`, a folder `shard=k` for each shard, with the slot as a last column.
 
-    Documents find their place by id, so ids must be unique here; a shard is one task's work.
+    Rows are numbered first and find their place by number, so null and repeated ids keep all their rows. A file has
+    FILE_ROWS rows of a shard at most, in slot order. Where documents have columns shard or slot, ours get a `_` more.
+    An empty table writes no shard.
     """
-    places = interleaved_shards(docs, n_shards, seed).select("doc_id", "shard", "slot")
-    placed = docs.join(places, "doc_id").repartition(n_shards, "shard").sortWithinPartitions("shard", "slot")
-    placed.drop("slot").write.partitionBy("shard").parquet(path)
+    rows = numbered(docs)
+    flat = rows.select("number", *[F.col("row")[c].alias(c) for c in ("doc_id", "source", "text")])
+    places = interleaved_shards(flat, n_shards, seed, number_col="number").select("number", "shard", "slot", F.expr(f"slot div {FILE_ROWS}").alias("file"))
+    shard, slot = unused("shard", docs.columns), unused("slot", docs.columns)
+    files = max(1, -(-rows.count() // FILE_ROWS) + n_shards)
+    placed = rows.join(places, "number").repartition(files, "shard", "file").sortWithinPartitions("shard", "slot")
+    placed.select("row.*", F.col("slot").alias(slot), F.col("shard").alias(shard)).write.partitionBy(shard).parquet(path)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
