@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import bucket_bits, durable, hex_bucket, salted_lookup, seeded, table, with_running_total
+from lodestone.llm.common import bucket_bits, durable, hex_bucket, numbered, salted_lookup, seeded, table, with_running_total
 from lodestone.llm.sharding import stratum_of
 
 SEED = 11
@@ -67,22 +67,24 @@ def leaf_budgets(leaves: DataFrame, tokens: int, weights: dict[str, dict[str, in
     return leaves.join(budgets.drop("root"), list(levels)).drop("root", "capacity")
 
 
-def mixture(docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, weights: dict | None = None, seed: int = SEED, id_col: str = "doc_id", domain: Column | None = None) -> DataFrame:
-    """The copies that a mixture takes: doc_id, domain, lang, source, tokens, epoch, budget (its leaf's).
+def mixture(docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, weights: dict | None = None, seed: int = SEED, id_col: str = "doc_id", domain: Column | None = None, number_col: str | None = None) -> DataFrame:
+    """The copies that a mixture takes: doc_id, domain, lang, source, tokens, epoch, budget (its leaf's), and `number`
+    if a column is named for it.
 
     The budget is `percent` hundredths of all tokens. A leaf whose budget is n times its tokens and a rest
     gives n whole epochs, and of the next one the prefix whose tokens stay within the rest, in an order
     that seed, epoch and id decide. The order's running token sums are distributed, whatever a leaf's
     share of the rows; only ids and counts are shuffled, never texts.
 
-    Null text has no tokens; null domains, languages and sources are names of their own, written `-`
+    Null text has no tokens; very long texts count whole; null domains, languages and sources are names of their own, written `-`
     (others have `=` before them). Documents without tokens come with the prefix that they stand in.
     Rows that repeat an id are taken as rows of their own, side by side in the order. An empty table
     gives an empty result. Other columns are not read.
     """
     domain = domain_of(F.col("source")) if domain is None else domain
+    number = [] if number_col is None else ["number"]
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), stratum_of(domain).alias("domain"), stratum_of(F.col("lang")).alias("lang"), stratum_of(F.col("source")).alias("source"), words(F.col("text")).alias("tokens")
+        *[F.col(number_col).alias(n) for n in number], F.col(id_col).alias("doc_id"), stratum_of(domain).alias("domain"), stratum_of(F.col("lang")).alias("lang"), stratum_of(F.col("source")).alias("source"), words(F.col("text")).alias("tokens")
     )
     rows = durable(rows)
     leaves = rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs"))
@@ -94,21 +96,22 @@ def mixture(docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, weigh
     rows = salted_lookup(rows, durable(budgets), list(LEVELS), "docs", total, ["doc_id"])
     rows = rows.withColumn("u", seeded(seed, "whole", "doc_id")).withColumn("bucket", hex_bucket("u", bits))
     rows = durable(rows.drop("docs"))
-    rows = with_running_total(rows, rows, list(LEVELS), "bucket", ["u", F.col("doc_id").asc_nulls_first(), "tokens"], "tokens", "so_far", bits)
+    rows = with_running_total(rows, rows, list(LEVELS), "bucket", ["u", F.col("doc_id").asc_nulls_first(), "tokens", *number], "tokens", "so_far", bits)
     last = F.when(F.col("so_far") <= F.col("rest"), F.col("whole")).otherwise(F.col("whole") - 1)
     rows = rows.withColumn("last", last).filter("last >= 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
-    return rows.select("doc_id", *LEVELS, "tokens", F.col("epoch").cast("int").alias("epoch"), "budget")
+    return rows.select("doc_id", *LEVELS, "tokens", F.col("epoch").cast("int").alias("epoch"), "budget", *number)
 
 
 def mixed_documents(docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, weights: dict | None = None, seed: int = SEED, id_col: str = "doc_id") -> DataFrame:
     """The documents of the mixture with all their columns, a row for each epoch that takes them.
 
-    Documents find their copies by id. Rows that repeat an id stay together: each comes as often as the
-    most frequent of them is taken.
+    Rows are numbered first and taken by number, so null and repeated ids come as often as the mixture says. Columns
+    may have any names.
     """
-    copies = mixture(docs, percent, epochs, weights, seed, id_col).groupBy(F.col("doc_id").alias("_id")).agg(F.max("epoch").alias("_last"))
-    joined = docs.join(copies, F.col(id_col).eqNullSafe(F.col("_id")))
-    return joined.withColumn("_epoch", F.explode(F.sequence(F.lit(0), "_last"))).drop("_id", "_last", "_epoch")
+    rows = numbered(docs)
+    flat = rows.select("number", *[F.col("row")[c].alias(a) for c, a in ((id_col, "doc_id"), ("source", "source"), ("lang", "lang"), ("text", "text"))])
+    copies = mixture(flat, percent, epochs, weights, seed, number_col="number").select("number")
+    return rows.join(copies, "number").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

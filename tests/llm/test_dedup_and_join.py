@@ -78,6 +78,17 @@ def test_exact_groups_of_odd_rows(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, 2), (False, 5), (False, 6), (False, 8), (True, 0)]
 
 
+def test_exact_dedup_keeps_the_best_row_of_each_text(spark):
+    rows = [(3, "long  text"), (5, "A"), (5, "longtext"), (3, "longtext"), (7, "A"), (None, "B"), (None, "B"), (9, None), (8, "")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, n int")
+    docs = docs.withColumns({name: F.col("n") for name in ("_keep", "row", "key", "h", "points")})
+    kept = exact_dedup.exact_dedup(docs)
+    assert kept.columns == docs.columns
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert found == [(False, 3, "long  text"), (False, 5, "A"), (False, 8, ""), (True, 0, "B")]
+    assert exact_dedup.exact_dedup(docs.limit(0)).count() == 0
+
+
 def test_colliding_hashes_do_not_join_texts(spark):
     docs = spark.createDataFrame([(i, f"t{i % 6}") for i in range(24)], "doc_id bigint, text string")
     found = exact_dedup.exact_groups(docs, hashed=lambda t: F.lit("same"))

@@ -44,6 +44,66 @@ def test_shards_of_odd_rows(spark):
     assert sharding.interleaved_shards(odd(spark).limit(0)).count() == 0
 
 
+HELPERS = ("_id", "_last", "_epoch", "_keep", "_first", "shard", "slot", "row", "number", "key", "Slot_")
+
+
+def clashing(spark):
+    """Null ids, repeated ids and repeated rows, beside columns with the names of helpers."""
+    rows = [(i % 4 if i % 5 else None, f"text of row {i % 7}", "en", f"s{i % 3}", i) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n int")
+    return docs.withColumns({name: F.col("n") for name in HELPERS})
+
+
+def test_writing_shards_keeps_every_row_and_column(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "FILE_ROWS", 3)
+    docs = clashing(spark)
+    sharding.shard_documents(docs, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*docs.columns, "shard_", "slot__"}
+    assert sorted(r.n for r in back.collect()) == list(range(30)) and all(r.shard == r.n for r in back.collect())
+    by_shard = defaultdict(list)
+    for r in back.collect():
+        by_shard[r["shard_"]].append(r["slot__"])
+    assert sorted(map(len, by_shard.values())) == [7, 7, 8, 8] and all(sorted(s) == list(range(len(s))) for s in by_shard.values())
+
+
+def test_mixed_documents_take_each_row_as_often_as_the_mixture(spark):
+    docs = clashing(spark)
+    for percent, epochs in ((200, 2), (150, 2), (70, 1)):
+        mixed = mixing.mixed_documents(docs, percent, epochs)
+        assert mixed.columns == docs.columns
+        wanted = mixing.mixture(docs, percent, epochs, number_col="n").groupBy("number").count()
+        budget = sum(r.tokens for r in mixing.mixture(docs, percent, epochs).collect())
+        assert sum(len(r.text.split()) for r in mixed.collect()) == budget <= 120 * percent // 100
+        assert sum(r["count"] for r in wanted.collect()) == mixed.count()
+    assert Counter(r.n for r in mixing.mixed_documents(docs, 200, 2).collect()) == dict.fromkeys(range(30), 2)
+
+
+def poured(budget, children):
+    """Shares a budget in rounds: what one child can't take is offered to the others again."""
+    got, open_ = dict.fromkeys(children, 0), dict(children)
+    while open_ and budget > 0:
+        weights = sum(w for w, _ in open_.values())
+        full = [c for c, (w, capacity) in open_.items() if capacity * weights <= budget * w]
+        for c in full:
+            got[c] = open_.pop(c)[1]
+        budget -= sum(got[c] for c in full)
+        if not full:
+            return got | {c: min(capacity, budget * w // weights) for c, (w, capacity) in open_.items()}
+    return got
+
+
+def test_water_filling_agrees_with_pouring_in_rounds(spark):
+    rnd = random.Random(4)
+    cases = {f"p{p:02}": (rnd.randint(0, 400), {f"c{c}": (rnd.randint(1, 5), rnd.choice([0, rnd.randint(1, 120)])) for c in range(rnd.randint(1, 6))}) for p in range(40)}
+    rows = [(p, c, w, capacity, min(budget, sum(x for _, x in children.values()))) for p, (budget, children) in cases.items() for c, (w, capacity) in children.items()]
+    nodes = spark.createDataFrame(rows, "parent string, child string, weight bigint, capacity bigint, above bigint")
+    found = defaultdict(dict)
+    for r in mixing.water_fill(nodes, ["parent"], "above", "child", "budget").collect():
+        found[r.parent][r.child] = r.budget
+    assert found == {p: poured(min(budget, sum(x for _, x in children.values())), children) for p, (budget, children) in cases.items()}
+
+
 def test_mixture_agrees_with_sql(spark, sf_dir, duck):
     assert assert_same(mixing.query(spark, sf_dir), duck, mixing.ORACLE)
 
@@ -134,6 +194,20 @@ def test_fill_finds_the_best_multiset():
         assert all(n <= counts[k] for k, n in chosen.items())
 
 
+def test_word_ids_are_the_tokenizer_s():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    ids, rnd = packing.WordIds(packing.tokenizer_path()), random.Random(11)
+    longer = [chr(c) for c in range(0x250) if len(chr(c).lower()) > 1] + ["\u01c5", "\ufb01", "\u1e9e", "\u00df"]
+    parts = [*"aBzÄéñß12", *longer, *".,;:!?'-_()", " ", "\n", "\t", "\x00", "\x1c", "\x85", "\xa0", "\u2028", "\u0301", "你", "🙂", "</w>", "<unk>", "[CLS]", "don't", "Word"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(6000)] + ["İ!", "İ", "aİ?."]
+    for at in range(0, len(texts), 500):
+        some = texts[at : at + 500]
+        for text, found in zip(some, ids(some), strict=True):
+            assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_packing_of_odd_rows(spark):
     found = packing.pack(odd(spark).filter("doc_id IS NOT NULL").drop("n")).collect()
     assert sum(r.length for r in found if r.doc_id == 3) == 1
