@@ -13,11 +13,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import seeded, table
+from lodestone.llm.common import durable, seeded, table
 from lodestone.llm.logistic import fit_logistic, predict
 
 #: Labelled rows that the model is fitted on, at most: those first in a seeded order.
 TRAIN_ROWS = 8000
+#: Parts of these rows, each of which is read with stems from the others when weights are learned.
+FOLDS = 5
 SEED = 17
 #: A text is rejected from this score on.
 THRESHOLD = 0.7
@@ -31,28 +33,104 @@ WEIGHT_SMOOTHING = 0.5
 HELD_STEMS = 200_000
 CACHED_WORDS = 400_000
 
-# Closed classes of the grammar.
-TARGETS = frozenset("you your yours yourself he she him her they them their this that these those people everyone du dich ihr euch sie er tu toi vous il elle ils eux usted ustedes ellos ella".split())
-THREATS = frozenset("kill hurt destroy burn shoot beat stab hang crush smash punish".split())
+# The closed classes of the grammar, in English, German, French and Spanish.
+PERSONS = frozenset("you your yours yourself he she him her they them people everyone du ihr sie er tu toi vous il elle ils eux usted ustedes ellos ella".split())
+#: Pronouns that are objects wherever they stand, so also before a verb.
+OBJECTS = frozenset("dich euch ihn te os".split())
+POINTERS = frozenset("this that these those their".split())
+THREATS = frozenset(
+    "kill hurt destroy burn shoot beat stab hang crush smash punish murder töten töte umbringen verletzen schlagen schlage erschießen verbrennen zerstören"
+    " tuer tuerai blesser frapper frapperai brûler détruire étrangler matar mataré herir golpear quemar destruir destrozar".split()
+)
 NEGATIONS = frozenset("not no never nor without isn't aren't wasn't weren't don't doesn't didn't won't nicht kein keine nie ne pas jamais nunca jamás tampoco".split())
 REPORTS = frozenset("said says say called calls wrote writes quoted quotes claimed claims reported reports alleged according sagte sagt schrieb dit disait écrit dijo dice escribió".split())
-#: Tokens that a negation reaches, and that may stand between threat and target.
+CLOSED = {"threat": THREATS, "person": PERSONS, "object": OBJECTS, "pointer": POINTERS, "negation": NEGATIONS, "report": REPORTS}
+#: Tokens that a negation reaches, and by which a threat and its target may be apart.
 NEGATION_REACH, THREAT_REACH = 4, 4
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;:\n]+")
-#: What the grammar reports of a document, in this order.
-FEATURES = ("insults", "targeted", "threats", "negated", "reported", "strongest", "words")
+#: What the grammar reports of a document, in this order, and the weights that labels start from.
+FEATURES = {"insults": 0.5, "targeted": 0.5, "threats": 8.0, "negated": -0.5, "reported": -0.5, "strongest": 0.5, "words": 0.0}
+
+#: The tape that a clause is read as: a symbol for each word, then the end.
+SYMBOLS = ("other", "insult", *CLOSED, "end")
+Arcs = dict[tuple[int, str], tuple[int, str]]
+
+
+def negation() -> Arcs:
+    """A negation turns insults within its reach into denied ones, and threats into nothing."""
+    arcs = {}
+    for state in range(NEGATION_REACH + 1):
+        for symbol in SYMBOLS:
+            out = {"insult": "denied", "threat": "other"}.get(symbol, symbol) if state else symbol
+            arcs[state, symbol] = (NEGATION_REACH if symbol == "negation" else max(0, state - 1), out)
+    return arcs
+
+
+def reported_speech() -> Arcs:
+    """After a verb of speech, insults are reported ones, and threats nothing."""
+    after = {"insult": "told", "denied": "told", "threat": "other"}
+    arcs = {(0, symbol): (int(symbol == "report"), symbol) for symbol in (*SYMBOLS, "denied")}
+    return arcs | {(1, symbol): (1, after.get(symbol, symbol)) for symbol in (*SYMBOLS, "denied")}
+
+
+def threat() -> Arcs:
+    """A threat verb close before a person, or close after an object, gives a menace in the place of the later word.
+
+    A state is how far the last verb still reaches, and the last object.
+    """
+    wide, arcs = THREAT_REACH + 1, {}
+    for verb in range(wide):
+        for thing in range(wide):
+            for symbol in (*SYMBOLS, "denied", "told"):
+                fits = (symbol in ("person", "object") and verb) or (symbol == "threat" and thing)
+                ahead = (THREAT_REACH if symbol == "threat" and not fits else max(0, verb - 1), THREAT_REACH if symbol == "object" and not fits else max(0, thing - 1))
+                if fits:
+                    ahead = (0, 0)
+                arcs[verb * wide + thing, symbol] = (ahead[0] * wide + ahead[1], "menace" if fits else symbol)
+    return arcs
+
+
+def target() -> Arcs:
+    """The end of a clause says whether anyone was addressed in it."""
+    addressed = (*CLOSED.keys() & {"person", "object", "pointer"}, "menace")
+    symbols = (*SYMBOLS, "denied", "told", "menace")
+    return {(state, symbol): (int(state or symbol in addressed), "addressed" if state and symbol == "end" else symbol) for state in (0, 1) for symbol in symbols}
+
+
+def composed(*machines: Arcs) -> list[dict[str, tuple[int, str]]]:
+    """The one transducer that reads as these would, each reading what the one before it writes: arcs of each state.
+
+    States are those tuples of states that can be reached from all zeros, which is the first.
+    """
+    start = (0,) * len(machines)
+    names, table, at = {start: 0}, [], [start]
+    for states in at:
+        row = {}
+        for symbol in SYMBOLS:
+            ahead, out = [], symbol
+            for machine, state in zip(machines, states, strict=True):
+                state, out = machine[state, out]
+                ahead.append(state)
+            if tuple(ahead) not in names:
+                names[tuple(ahead)] = len(at)
+                at.append(tuple(ahead))
+            row[symbol] = (names[tuple(ahead)], out)
+        table.append(row)
+    return table
+
+
+#: Negation and reported speech change what the machines after them read.
+CLAUSES = composed(negation(), reported_speech(), threat(), target())
 
 
 @dataclass
 class Grammar:
-    """The composed transducers: insult stems with weights learned from labels, closed classes, feature weights.
+    """The composed transducer CLAUSES with its weights: insult stems learned from labels, and a weight for each feature.
 
-    A clause is read once, left to right. The state is the product of four small machines: whether a
-    target was met, how far a negation still reaches, whether reported speech has begun, and how far back
-    a threat verb lies. On an insult the output is its weight under one of: plain, targeted, negated,
-    reported; a threat verb close to a target outputs a threat, unless negated or reported.
+    A clause is read once, from left to right. Insults carry the weight of their stem, and come out as denied, as told,
+    or as they are; the end of the clause says whether the latter were targeted. Threats come out as menaces of weight 1.
     """
 
     stems: dict[str, float]
@@ -69,32 +147,25 @@ class Grammar:
         return next((word[:n] for n in range(STEM[0], min(STEM[1], len(word)) + 1) if word[:n] in self.stems), None)
 
     def classify(self, word: str, once: Container[str] = ()) -> tuple[str, float]:
-        """The class of a lower-case word; `once` has the stems that its text has one time only."""
+        """The symbol and the weight of a lower-case word; `once` has the stems that its text has one time only."""
+        for symbol, words in CLOSED.items():
+            if word in words:
+                return symbol, 0.0
         if (stem := self.stem(word)) is not None:
             return "insult", self.single.get(stem, self.stems[stem]) if stem in once else self.stems[stem]
-        for kind, words in (("threat", THREATS), ("target", TARGETS), ("negation", NEGATIONS), ("report", REPORTS)):
-            if word in words:
-                return kind, 0.0
         return "other", 0.0
 
     def _triggers(self, chunk: str) -> bool:
         return any(self.classify(w)[0] in ("insult", "threat") for w in WORD.findall(chunk))
 
-    def read(self, clause: list[str], once: Container[str] = ()) -> Iterator[tuple[str, float]]:
-        """Runs the transducers over the words of a clause; kinds and weights of what they match."""
-        targets = {i for i, w in enumerate(clause) if w in TARGETS}
-        negated = reported = 0
-        for i, word in enumerate(clause):
-            kind, weight = self.classify(word, once)
-            if kind == "negation":
-                negated = NEGATION_REACH + 1
-            elif kind == "report":
-                reported = 1
-            elif kind == "insult":
-                yield "reported" if reported else "negated" if negated else "targeted" if targets else "insults", weight
-            elif kind == "threat" and not reported and not negated and any(0 < j - i <= THREAT_REACH for j in targets):
-                yield "threats", 1.0
-            negated = max(0, negated - 1)
+    def read(self, clause: list[str], once: Container[str] = ()) -> list[tuple[str, float]]:
+        """Runs the transducer over the words of a clause; kinds and weights of what it matches."""
+        state, found = 0, []
+        for symbol, weight in (*[self.classify(w, once) for w in clause], ("end", 0.0)):
+            state, out = CLAUSES[state][symbol]
+            found.append((out, weight))
+        kinds = {"insult": "targeted" if found[-1][0] == "addressed" else "insults", "denied": "negated", "told": "reported", "menace": "threats"}
+        return [(kinds[out], 1.0 if out == "menace" else weight) for out, weight in found if out in kinds]
 
     def features(self, text: str | None) -> list[float]:
         """FEATURES of a whole text; zeros if no clause matches."""
@@ -113,7 +184,7 @@ class Grammar:
             once = {stem for stem, n in times.items() if n == 1}
             out["words"] = len(text.split()) if clauses else 0.0
             for clause in clauses:
-                if found := list(self.read(clause, once)):
+                if found := self.read(clause, once):
                     for kind, weight in found:
                         out[kind] += weight
                     out["strongest"] = max(out["strongest"], sum(w for kind, w in found if kind in ("insults", "targeted", "threats")))
@@ -129,62 +200,57 @@ def _held_out(doc_id: str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED) -> DataFrame:
-    """text and toxic (0 or 1) of at most `rows` labelled documents that are not held out."""
+    """text, toxic (0 or 1) and fold (below FOLDS) of at most `rows` labelled documents that are not held out."""
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~_held_out("doc_id")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = usable.orderBy(seeded(seed, "doc_id"), "doc_id").limit(rows)  # bounded, so it may be broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("double").alias("toxic"))
+    fold = F.crc32(seeded(seed + 1, "doc_id").cast("binary")) % FOLDS
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("double").alias("toxic"), fold.cast("int").alias("fold"))
 
 
 def stem_counts(train: DataFrame) -> DataFrame:
-    """stem, and of the documents with it one time (once) and more times (more): toxic ones and all.
+    """fold, stem, and of the documents with it one time (once) and more times (more): toxic ones and all.
 
     Words of the closed classes have no stems.
     """
-    closed = TARGETS | THREATS | NEGATIONS | REPORTS
+    closed = frozenset().union(*CLOSED.values())
     low, high = STEM
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["stem", "once_toxic", "once", "more_toxic", "more"]
-        held: dict[str, list[float]] = {}
+        columns = ["fold", "stem", "once_toxic", "once", "more_toxic", "more"]
+        held: dict[tuple[int, str], list[float]] = {}
         for batch in batches:
-            for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
+            for text, toxic, fold in zip(batch["text"], batch["toxic"], batch["fold"], strict=True):
                 times: Counter[str] = Counter()
                 for word, n in Counter(WORD.findall((text or "").lower())).items():
                     if word not in closed:
                         for k in range(low, min(high, len(word)) + 1):
                             times[word[:k]] += n
                 for stem, n in times.items():
-                    row = held.setdefault(stem, [0.0] * 4)
+                    row = held.setdefault((fold, stem), [0.0] * 4)
                     at = 2 if n > 1 else 0
                     row[at] += toxic
                     row[at + 1] += 1
                 if len(held) > HELD_STEMS:
-                    yield pd.DataFrame([(s, *row) for s, row in held.items()], columns=columns)
+                    yield pd.DataFrame([(*k, *row) for k, row in held.items()], columns=columns)
                     held.clear()
-        yield pd.DataFrame([(s, *row) for s, row in held.items()], columns=columns)
+        yield pd.DataFrame([(*k, *row) for k, row in held.items()], columns=columns)
 
-    counts = train.mapInPandas(count, "stem string, once_toxic double, once double, more_toxic double, more double")
-    return counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in counts.columns[1:]])
+    counts = train.mapInPandas(count, "fold int, stem string, once_toxic double, once double, more_toxic double, more double")
+    return counts.groupBy("fold", "stem").agg(*[F.sum(c).alias(c) for c in counts.columns[2:]])
 
 
-def learn_stems(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Beginnings of words that come with toxic documents: their weights in texts that have them often, and once.
-
-    Weights are smoothed log-odds against the mean. With SMOOTHING, a stem is taken if it reaches LEAST_ODDS where
-    it occurs, or where it occurs more than once. Of nested stems the one with the
-    highest odds is taken, and the longest of those, so a family of words is not split.
-    """
-    toxic, count = train.agg(F.coalesce(F.sum("toxic"), F.lit(0.0)), F.count(F.lit(1))).first()
-    if not 0 < toxic < count:
+def chosen_stems(counts: DataFrame, toxic: float, rows: int) -> tuple[dict[str, float], dict[str, float]]:
+    """Stems by their counts among `rows` documents of which `toxic` are toxic, as `learn_stems` has them."""
+    if not 0 < toxic < rows:
         return {}, {}
-    share = toxic / count
+    share = toxic / rows
 
     def odds(a, n, smoothing=SMOOTHING):
         p = (a + smoothing * share) / (n + smoothing)
         return F.log(p / (1 - p)) - math.log(share / (1 - share))
 
     a1, n1, a2, n2 = (F.col(c) for c in ("once_toxic", "once", "more_toxic", "more"))
-    found = stem_counts(train).select("stem", F.greatest(odds(a1 + a2, n1 + n2), odds(a2, n2)).alias("odds"), odds(a1, n1, WEIGHT_SMOOTHING).alias("single"), odds(a2, n2, WEIGHT_SMOOTHING).alias("often"))
+    found = counts.select("stem", F.greatest(odds(a1 + a2, n1 + n2), odds(a2, n2)).alias("odds"), odds(a1, n1, WEIGHT_SMOOTHING).alias("single"), odds(a2, n2, WEIGHT_SMOOTHING).alias("often"))
     found = found.filter(F.col("odds") >= LEAST_ODDS).collect()  # bounded by the training rows
     often: dict[str, float] = {}
     single: dict[str, float] = {}
@@ -198,23 +264,45 @@ def learn_stems(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     return often, single
 
 
+def learn_stems(train: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
+    """Beginnings of words that come with toxic documents: their weights in texts that have them often, and once.
+
+    Weights are smoothed log-odds against the mean. With SMOOTHING, a stem is taken if it reaches LEAST_ODDS where
+    it occurs, or where it occurs more than once. Of nested stems the one with the
+    highest odds is taken, and the longest of those, so a family of words is not split.
+    """
+    toxic, rows = train.agg(F.coalesce(F.sum("toxic"), F.lit(0.0)), F.count(F.lit(1))).first()
+    return chosen_stems(stem_counts(train.select("text", "toxic", F.lit(0).alias("fold"))), toxic, rows)
+
+
 def train_grammar(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED) -> Grammar:
-    """Learns the stems, then the weights of FEATURES, from the same bounded rows.
+    """Learns the stems from bounded rows, and the weights of FEATURES from the same rows, read with other stems.
 
-    Without usable labels, or with one class only, no stems are found and every score is the share of
-    toxic labels, or 0.5 without any.
+    Rows are in FOLDS folds; for the weights, each is read with stems learned from the others alone. A weight starts
+    from its value in FEATURES, so what the labels never show keeps that. Without usable labels, or with one class
+    only, no stems are found, and every text without a threat gets the share of toxic labels, or 0.5 without any.
     """
-    train = training_rows(docs, labels, rows, seed)
-    stems, single = learn_stems(train)
-    grammar = Grammar(stems, single=single)
+    train = durable(training_rows(docs, labels, rows, seed))
+    counts = durable(stem_counts(train))
+    sums = {r["fold"]: (r["toxic"], r["n"]) for r in train.groupBy("fold").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).collect()}
+    toxic, n = (sum(s[i] for s in sums.values()) for i in (0, 1))
+
+    def stems_without(fold: int | None) -> Grammar:
+        a, rows = sums.get(fold, (0.0, 0))
+        kept = counts if fold is None else counts.filter(F.col("fold") != fold)
+        often, single = chosen_stems(kept.groupBy("stem").agg(*[F.sum(c).alias(c) for c in counts.columns[2:]]), toxic - a, n - rows)
+        return Grammar(often, single=single)
+
+    grammar, others = stems_without(None), [stems_without(fold) for fold in range(FOLDS)]
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"x": [grammar.features(t) for t in batch["text"]], "y": batch["toxic"]})
+            yield pd.DataFrame({"x": [others[f].features(t) for t, f in zip(batch["text"], batch["fold"], strict=True)], "y": batch["toxic"]})
 
     found = train.mapInPandas(features, "x array<double>, y double").collect()  # at most `rows`
     x = np.array([r["x"] for r in found], dtype=float).reshape(-1, len(FEATURES))
-    grammar.weights = fit_logistic(x, np.array([r["y"] for r in found], dtype=float)).tolist()
+    y = np.array([r["y"] for r in found], dtype=float)
+    grammar.weights = fit_logistic(x, y, prior=np.array(list(FEATURES.values()))).tolist()
     return grammar
 
 
@@ -232,7 +320,7 @@ def toxicity(grammar: Grammar):
 def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score and predicted of each row, learned from labels that are not held out.
 
-    Only the text makes a score. Null, empty and unmatched texts get the score of a text without any match. Null
+    Only the text makes a score; very long texts are read whole. Null, empty and unmatched texts get the score of a text without any match. Null
     ids count as held out: never. Repeated rows are kept. An empty table gives an empty result. Columns other than
     doc_id and text are not read.
     """

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 
+import pandas as pd
 import pytest
 from oracle import assert_same
 from pyspark.sql import functions as F
@@ -100,10 +102,39 @@ def test_the_grammar_reads_clauses():
     assert read("you are not an idiot") == ["negated"]
     assert read("he said you idiot") == ["reported"]
     assert read("we will hurt you") == ["threats"]
-    assert read("we will not hurt you") == []
+    assert read("we will not hurt you") == read("she said we will hurt you") == read("we will hurt") == []
+    assert read("ich werde dich töten") == read("je vais te tuer") == read("te voy a matar") == ["threats"]
+    assert read("you fool and idiot said idiot") == ["targeted", "reported"] and read("never again did anyone call him an idiot") == ["targeted"]
     assert g.features(None) == g.features("") == [0.0] * len(toxicity.FEATURES)
 
 
+def test_the_composed_table_reads_as_its_machines_do_one_after_the_other():
+    rnd, machines = random.Random(2), (toxicity.negation(), toxicity.reported_speech(), toxicity.threat(), toxicity.target())
+    for _ in range(300):
+        tape = [rnd.choice(toxicity.SYMBOLS[:-1]) for _ in range(rnd.randint(0, 14))] + ["end"]
+        state, found = 0, []
+        for symbol in tape:
+            state, out = toxicity.CLAUSES[state][symbol]
+            found.append(out)
+        for machine in machines:  # each reads the whole tape that the one before it wrote
+            at, written = 0, []
+            for symbol in tape:
+                at, out = machine[at, symbol]
+                written.append(out)
+            tape = written
+        assert found == tape
+
+
+def test_threats_negation_and_reports_change_scores(spark):
+    sf = "/root/testdata/sf0.01"
+    grammar = toxicity.train_grammar(*(spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels")))
+    score = lambda text: float(grammar.scores(pd.Series([text]))[0])
+    for text in ("we will kill you", "wir werden dich töten", "je vais te tuer", "te voy a matar", "you idiot, what an idiot"):
+        assert score(text) >= toxicity.THRESHOLD, text
+    for text in ("you are not an idiot", "he said you idiot", "we will not kill you", "she said we will kill you", "we kill time", ""):
+        assert score(text) < 0.3, text
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (None, 1, 1), (4, 1, None)], NO_LABELS)
     found = toxicity.toxicity_scores(odd(spark), labels).collect()
