@@ -37,9 +37,9 @@ BITS = 1 << 24
 
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
-_SPREAD = "range int, batch long, tokens binary, places binary, ids array<long>, sizes array<long>, keys array<binary>, blocks int"
+_SPREAD = "range int, batch long, tokens binary, places binary, ids array<long>, marks array<long>, sizes array<long>, keys array<binary>, blocks int"
 _COUNTED = _SPREAD + ", levels binary"
-_FOUND = "kind int, doc_id long, n long, key binary, node long, token long, others array<array<long>>"
+_FOUND = "kind int, doc_id long, mark long, n long, key binary, node long, token long, others array<array<long>>"
 
 
 def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
@@ -129,11 +129,11 @@ def _spread(docs: DataFrame, ranges: int, words: int) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _SPREAD.split(", ")]
-        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int32()]
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.binary()), pa.int32()]
         for number, batch in enumerate(text_batches(batches)):
             counts, tokens = shingle_sets(batch.column(1).to_pylist(), words)
             keys = [_key(s) if len(s) else None for s in _cut(counts, tokens)]
-            ids = batch.column(0).to_pylist()
+            ids, marks = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             own = _distinct(keys)
             taken = np.zeros(len(counts), dtype=bool)
             taken[own] = True
@@ -146,11 +146,11 @@ def _spread(docs: DataFrame, ranges: int, words: int) -> DataFrame:
             stops = np.r_[starts[1:], len(part)][: len(starts)]
             # the same rows in the same partition get the same name, should the task run again
             name = xxh3_64_intdigest(repr((TaskContext.get().partitionId(), number, ids)).encode() + b"".join(k or b"" for k in keys)) - (1 << 63)
-            rows = [(int(r), name, low[a:b].tobytes(), _steps(of[a:b]), None, None, None, None) for r, a, b in zip(there, starts, stops, strict=True)]
-            rows.append((name % ranges, name, None, None, ids, counts.tolist(), keys, len(rows)))
+            rows = [(int(r), name, low[a:b].tobytes(), _steps(of[a:b]), None, None, None, None, None) for r, a, b in zip(there, starts, stops, strict=True)]
+            rows.append((name % ranges, name, None, None, ids, marks, counts.tolist(), keys, len(rows)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
-    return docs.select("doc_id", "text").mapInArrow(spread, _SPREAD)
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(spread, _SPREAD)
 
 
 def _counted(part: pa.Table) -> pa.Table:
@@ -196,7 +196,7 @@ def _prefixes(part: pa.Table, percent: int) -> pa.Table:
     held = [r for r in rows if r["ids"] is None]
     if len(held) != batch["blocks"]:
         raise RuntimeError("a batch has come apart: its documents were not read in the same order twice")
-    out = [(0, i, n, k, None if k is None else _node(k), None, None) for i, n, k in zip(batch["ids"], batch["sizes"], batch["keys"], strict=True)]
+    out = [(0, i, m, n, k, None if k is None else _node(k), None, None) for i, m, n, k in zip(batch["ids"], batch["marks"], batch["sizes"], batch["keys"], strict=True)]
     own = _distinct(batch["keys"])
     if own and held:
         n = np.array([batch["sizes"][i] for i in own], dtype=np.int64)
@@ -218,10 +218,10 @@ def _prefixes(part: pa.Table, percent: int) -> pa.Table:
             prefixes.append(np.split(tokens[at].astype(np.int64), np.searchsorted(of[at], sets[1:])) if len(sets) else [])
         for k, i in enumerate(sets.tolist()):
             node = _node(batch["keys"][own[i]])
-            out += [(1, None, int(n[i]), None, node, t, None) for t in prefixes[0][k].tolist()]
-            out.append((2, None, int(n[i]), None, node, None, [p[k].tolist() for p in prefixes[1:]]))
+            out += [(1, None, None, int(n[i]), None, node, t, None) for t in prefixes[0][k].tolist()]
+            out.append((2, None, None, int(n[i]), None, node, None, [p[k].tolist() for p in prefixes[1:]]))
     names = [c.split()[0] for c in _FOUND.split(", ")]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64()))]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.int64()))]
     return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
 
@@ -324,7 +324,7 @@ def _overlaps(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def _stars(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
-    """Links that join the same ids as the pairs do: each id with the least of those it is joined with."""
+    """Links that join the same nodes as the pairs do: each node with the least of those it is joined with."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -341,18 +341,18 @@ def _stars(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
 
 
 def _sets_of(rows: list[dict], words: int) -> tuple[list[int], list[np.ndarray]]:
-    """The ids and sets of gathered rows; a text that only shares its id with the wanted one is left out."""
-    ids, sets, seen = [], [], set()
+    """The nodes and sets of gathered rows; a text that only shares its id with the wanted one is left out."""
+    nodes, sets, seen = [], [], set()
     for row, tokens in zip(rows, _cut(*shingle_sets([r["text"] for r in rows], words)), strict=True):
-        if row["node"] not in seen and len(tokens) and _node(_key(tokens)) == row["node"]:
+        if len(tokens) and _node(_key(tokens)) == row["node"] and row["node"] not in seen:
             seen.add(row["node"])
-            ids.append(row["doc_id"])
+            nodes.append(row["node"])
             sets.append(tokens)
-    return ids, sets
+    return nodes, sets
 
 
 def _compared(blocks: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (u, v) among the sets of x, or between those of x and y: as many as join the same documents."""
+    """Links (u, v) of nodes among the sets of x, or between those of x and y: as many as join the same documents."""
     sides = len(blocks.columns)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,7 +388,7 @@ def _across(placed: DataFrame, pairs: DataFrame, frequent: DataFrame) -> DataFra
 
 
 def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, frequent: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Links (u, v) of ids, on whole sets, for candidate `pairs` (a, b) and `frequent` (token, node, least).
+    """Links (u, v) of nodes, on whole sets, for candidate `pairs` (a, b) and `frequent` (token, node, least).
 
     Candidates are gathered by the components of their graph, so that a text travels once, not once for each pair. A
     component too large for one task is cut into blocks; each block is compared in itself and with the same few
@@ -410,8 +410,8 @@ def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, freque
     leaders = leaders.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("block", named("part"))
     own = many.select("doc_id", "node", F.col("block").alias("place")).unionByName(leaders.select("doc_id", "node", F.col("block").alias("place"))).distinct()
     inside = durable(_compared(_gathered(docs, own).select("x"), words, percent))
-    labels = components(inside).select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
-    labelled = durable(many.join(labels, "doc_id", "left").select("node", "doc_id", "block", F.coalesce("label", "doc_id").alias("label")))
+    labels = components(inside).withColumnRenamed("component", "label")
+    labelled = durable(many.join(labels, "node", "left").select("node", "doc_id", "block", F.coalesce("label", "node").alias("label")))
     asked = durable(_across(labelled, pairs, frequent))
     blocks = asked.select(F.explode(F.array("i", "j")).alias("block")).distinct()
     rest = durable(_gathered(docs, labelled.join(blocks, "block", "left_semi").select("doc_id", "node", F.col("block").alias("place"))))
@@ -435,23 +435,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id and a text get the same values. An empty table gives an empty result. Other columns are not read. The rows of
     a partition must come in the same order when they are read again, as those of files do.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _with_components(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), words, percent).drop("component", "mark")
+
+
+def _with_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """As `near_duplicates`, with a node that names the component (null without shingles), and `mark`, a hash of the text."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = durable(documents_and_prefixes(docs, words, percent))
-    rows = found.filter("kind = 0").select("doc_id", "n", "key", "node")
+    rows = found.filter("kind = 0").select("doc_id", "mark", "n", "key", "node")
     classes = durable(rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("first"), F.max("n").alias("n"), F.first("node").alias("node"), F.count(F.lit(1)).alias("copies")))
     pairs, frequent = candidates(found.filter("kind = 1").select("token", "node", "n"), found.filter("kind = 2").select("node", "others"), percent)
     links = verified_links(docs, classes.filter("first IS NOT NULL"), pairs, frequent, words, percent)
-    joined = classes.drop("node").join(components(links).withColumnRenamed("node", "first"), "first", "left").select("key", "copies", F.coalesce("component", "first").alias("component_id"))
-    with_set = salted_lookup(rows.filter("key IS NOT NULL").drop("node"), durable(joined), ["key"], "copies", rows.count(), ["doc_id"])
-    alone = rows.filter("key IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return with_set.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
+    joined = durable(classes.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node")))
+    least = durable(joined.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("sets")))
+    joined = salted_lookup(joined.select("key", "copies", "node", "component"), least, ["component"], "sets", joined.count(), ["node"])
+    with_set = salted_lookup(rows.filter("key IS NOT NULL").drop("node"), durable(joined.select("key", "copies", "component", "component_id")), ["key"], "copies", rows.count(), ["doc_id", "mark"])
+    alone = rows.filter("key IS NULL").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component"), "mark")
+    return with_set.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "component", "mark").unionByName(alone)
 
 
-def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` whose id names their component, with all their columns: one document of each."""
-    found = near_duplicates(docs, words=words, percent=percent)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of `docs` for each component, with all its columns: that with the smallest id.
+
+    Of several texts with that id in a component one stays, and of rows that repeat both, too. Rows without an id are
+    no one's near copies, so they stay, each text once, unless an equal text has an id. Rows without words stay, each
+    id and text once. Columns may have any names.
+    """
+    found = _with_components(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), words, percent)
+    best = found.filter("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark")).alias("x"))
+    staying = best.select("x.doc_id", "x.mark").unionByName(found.filter("component IS NULL").select("doc_id", "mark").distinct())
+    key = lambda id_, mark: F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), mark)
+    rows = docs.select(F.struct("*").alias("row")).select("row", key(F.col("row")[id_col].cast("long"), F.xxhash64(F.col("row")[text_col])).alias("key"))
+    return rows.dropDuplicates(["key"]).join(staying.select(key(F.col("doc_id"), F.col("mark")).alias("key")), "key", "left_semi").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,8 +119,8 @@ def test_a_set_is_gathered_once_however_many_copies_the_bitmap_hits(spark, monke
     nodes = {i: r.node for i, text in ((0, shared), (500, rows[-1][1])) for r in found if r.doc_id == (1 if text == shared else i)}
     places = spark.createDataFrame([(i, nodes[i], 7) for i in (0, 500)], "doc_id bigint, node bigint, place bigint")
     (block,) = jaccard_join._gathered(docs, places).collect()
-    ids, sets = jaccard_join._sets_of([r.asDict() for r in block.x], 4)
-    assert len(block.x) == 3 and sorted(ids) == [0, 500] and all(len(s) == 3 for s in sets)
+    found, sets = jaccard_join._sets_of([r.asDict() for r in block.x], 4)
+    assert len(block.x) == 3 and sorted(found) == sorted(nodes.values()) and all(len(s) == 3 for s in sets)
 
 
 def test_shingle_sets_of_a_batch_are_those_of_each_text():
@@ -141,6 +141,18 @@ def test_near_duplicates_of_odd_rows(spark):
     assert kept.columns == odd(spark).columns and 2 not in [r.doc_id for r in kept.collect()]
 
 
+def test_one_row_of_each_component_stays_whatever_ids_repeat(spark):
+    base = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen"
+    rows = [(3, base), (5, base + " more"), (5, "quite another text that has the same id"), (3, base + " else"), (9, "alone"), (9, "alone"), (None, base), (None, "no id and no other")]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "doc_id bigint, text string, n int")
+    docs = docs.withColumns({name: F.col("n") for name in ("_first", "row", "key", "mark")})
+    kept = jaccard_join.without_near_duplicates(docs, 4, 80)
+    assert kept.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert (5, rows[2][1]) in found and (9, "alone") in found
+    assert sum(i == 3 for i, _ in found) == 1 and (None, rows[-1][1]) in found and len(found) == 4
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (3, 2)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "u bigint, v bigint")).collect()}
