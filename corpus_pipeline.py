@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
-from lodestone.llm.common import shared_folder, table
+from lodestone.llm.common import discard_since, shared_folder, table, tables_written
 
 #: The mixture takes so many hundredths of the remaining tokens, each document once at most.
 MIX_PERCENT, MIX_EPOCHS = 90, 1
@@ -44,18 +44,22 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("jaccard_join", drop_near_copies), ("mixture", mix), ("packing", pack)]
 
-#: SQL can't express the toxicity grammar; its operators have tests, the pipeline as a whole and its own settings have none yet.
+#: SQL can't express the toxicity grammar; tests/llm/test_pipeline.py holds each stage and the run against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies STAGES to the documents; each stage's result is written and read again by the next.
 
-    An empty documents table gives an empty result.
+    The stages' tables stay in the shared folder, the last one as the result; what the operators wrote for themselves is
+    removed as soon as their stage is written. Null and repeated ids, null and empty texts, very long texts and further
+    columns are handled as each operator says. An empty documents table gives an empty result.
     """
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
+        mark = tables_written()
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
+        discard_since(spark, mark)
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
     return docs.select(F.col("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
