@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Container, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ SMOOTHING, LEAST_ODDS = 10.0, 1.3
 WEIGHT_SMOOTHING = 0.5
 #: Stems whose counts one task holds before it passes them on.
 HELD_STEMS = 200_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 
 # The closed classes of the grammar, in English, German, French and Spanish.
 PERSONS = frozenset("you your yours yourself he she him her they them people everyone du ihr sie er tu toi vous il elle ils eux usted ustedes ellos ella".split())
@@ -45,6 +46,7 @@ THREATS = frozenset(
 NEGATIONS = frozenset("not no never nor without isn't aren't wasn't weren't don't doesn't didn't won't nicht kein keine nie ne pas jamais nunca jamás tampoco".split())
 REPORTS = frozenset("said says say called calls wrote writes quoted quotes claimed claims reported reports alleged according sagte sagt schrieb dit disait écrit dijo dice escribió".split())
 CLOSED = {"threat": THREATS, "person": PERSONS, "object": OBJECTS, "pointer": POINTERS, "negation": NEGATIONS, "report": REPORTS}
+SYMBOL_OF = {word: symbol for symbol, words in CLOSED.items() for word in words}
 #: Tokens that a negation reaches, and by which a threat and its target may be apart.
 NEGATION_REACH, THREAT_REACH = 4, 4
 
@@ -137,52 +139,60 @@ class Grammar:
     weights: list[float] = field(default_factory=list)
     #: Weights of stems that a text has once; a stem that is not here weighs the same as if it came often.
     single: dict[str, float] = field(default_factory=dict)
-    _known: dict[str, tuple[str, float] | None] = field(default_factory=dict, repr=False)
+    #: What recent chunks of text and words were found to be.
+    _chunks: dict[str, tuple[str, ...]] = field(default_factory=dict, repr=False)
+    _words: dict[str, tuple[str, str | None]] = field(default_factory=dict, repr=False)
 
     def __getstate__(self) -> dict:
-        return {"stems": self.stems, "weights": self.weights, "single": self.single, "_known": {}}
-
-    def stem(self, word: str) -> str | None:
-        """The insult stem that a lower-case word begins with."""
-        return next((word[:n] for n in range(STEM[0], min(STEM[1], len(word)) + 1) if word[:n] in self.stems), None)
-
-    def classify(self, word: str, once: Container[str] = ()) -> tuple[str, float]:
-        """The symbol and the weight of a lower-case word; `once` has the stems that its text has one time only."""
-        for symbol, words in CLOSED.items():
-            if word in words:
-                return symbol, 0.0
-        if (stem := self.stem(word)) is not None:
-            return "insult", self.single.get(stem, self.stems[stem]) if stem in once else self.stems[stem]
-        return "other", 0.0
-
-    def _triggers(self, chunk: str) -> bool:
-        return any(self.classify(w)[0] in ("insult", "threat") for w in WORD.findall(chunk))
+        return {"stems": self.stems, "weights": self.weights, "single": self.single, "_chunks": {}, "_words": {}}
+
+    def _stem(self, word: str) -> str | None:
+        stems = self.stems
+        for n in range(STEM[0], min(STEM[1], len(word)) + 1):
+            if word[:n] in stems:
+                return word[:n]
+        return None
+
+    def symbol(self, word: str) -> tuple[str, str | None]:
+        """The symbol of a lower-case word, and the insult stem that it begins with."""
+        if (found := self._words.get(word)) is None:
+            symbol = SYMBOL_OF.get(word)
+            stem = self._stem(word) if symbol is None else None
+            found = self._words[word] = symbol or ("other" if stem is None else "insult"), stem
+        return found
+
+    def _triggers(self, chunk: str) -> tuple[str, ...]:
+        """The words of a chunk of text that may begin a match."""
+        return tuple([w for w in WORD.findall(chunk) if w in THREATS or w not in SYMBOL_OF and self._stem(w)])
 
     def read(self, clause: list[str], once: Container[str] = ()) -> list[tuple[str, float]]:
         """Runs the transducer over the words of a clause; kinds and weights of what it matches."""
         state, found = 0, []
-        for symbol, weight in (*[self.classify(w, once) for w in clause], ("end", 0.0)):
+        for word in clause:
+            symbol, stem = self.symbol(word)
             state, out = CLAUSES[state][symbol]
-            found.append((out, weight))
-        kinds = {"insult": "targeted" if found[-1][0] == "addressed" else "insults", "denied": "negated", "told": "reported", "menace": "threats"}
-        return [(kinds[out], 1.0 if out == "menace" else weight) for out, weight in found if out in kinds]
+            if out in ("insult", "denied", "told", "menace"):
+                found.append((out, 1.0 if stem is None else self.single.get(stem, self.stems[stem]) if stem in once else self.stems[stem]))
+        addressed = CLAUSES[state]["end"][1] == "addressed"
+        kinds = {"insult": "targeted" if addressed else "insults", "denied": "negated", "told": "reported", "menace": "threats"}
+        return [(kinds[out], weight) for out, weight in found]
 
     def features(self, text: str | None) -> list[float]:
         """FEATURES of a whole text; zeros if no clause matches."""
         out = dict.fromkeys(FEATURES, 0.0)
         text = (text or "").lower()
-        known = self._known
+        known = self._chunks
         if len(known) > CACHED_WORDS:
             known.clear()
+            self._words.clear()
         chunks = set(text.split())
-        for chunk in chunks:
-            if chunk not in known:
-                known[chunk] = self._triggers(chunk)
-        if any(map(known.__getitem__, chunks)):
-            clauses = [WORD.findall(c) for c in CLAUSE.split(text) if any(map(known.get, c.split())) or self._triggers(c)]
-            times = Counter(stem for clause in clauses for stem in map(self.stem, clause) if stem)
+        for chunk in [c for c in chunks if c not in known]:
+            known[chunk] = self._triggers(chunk)
+        if triggers := set(chain.from_iterable(map(known.__getitem__, chunks))):
+            clauses = [WORD.findall(c) for c in CLAUSE.split(text) if any(t in c for t in triggers)]
+            times = Counter(stem for clause in clauses for word in clause if (stem := self.symbol(word)[1]))
             once = {stem for stem, n in times.items() if n == 1}
-            out["words"] = len(text.split()) if clauses else 0.0
+            out["words"] = len(text.split())
             for clause in clauses:
                 if found := self.read(clause, once):
                     for kind, weight in found:
