@@ -2,41 +2,30 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _leaves(value, path: str) -> Iterator[tuple[str, str | None]]:
-    stack = [(path, value)]
-    while stack:
-        at, x = stack.pop()
-        if isinstance(x, dict):
-            stack += [(f"{at}.{k}" if at else k, v) for k, v in reversed(x.items()) if not k.startswith("$comment")]
-        elif isinstance(x, list):
-            stack += [(f"{at}[{i}]", v) for i, v in reversed(list(enumerate(x)))]
-        else:
-            yield at, None if x is None else x if isinstance(x, str) else json.dumps(x)
-
-
 def flattened(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """key, path and leaf for every leaf of each JSON text, however deep; no rows for null or broken texts."""
-    kind = rows.schema[key].dataType.simpleString()
-
-    def flatten(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, t in zip(batch[key], batch[text], strict=True):
-                try:
-                    out += [(k, p, v) for p, v in _leaves(json.loads(t), "")]
-                except (TypeError, ValueError):
-                    continue
-            yield pd.DataFrame(out, columns=[key, "path", "leaf"])
-
-    return rows.select(key, text).mapInPandas(flatten, f"{key} {kind}, path string, leaf string")
+    """key, path and leaf for every leaf of each JSON text, however deep; no rows for null or broken texts.
+
+    Texts are parsed once into variants, which are taken apart level by level; properties whose names begin with
+    `$comment` are left out. A null leaf is null, an empty object or array has no leaf.
+    """
+    spark = rows.sparkSession
+    level = rows.select(F.col(key).alias("_key"), F.lit("").alias("_path"), F.try_parse_json(text).alias("_v")).filter("_v IS NOT NULL")
+    inner = F.schema_of_variant("_v").rlike("^(OBJECT|ARRAY)")
+    leaves = []
+    while True:
+        leaves.append(level.filter(~inner).select(F.col("_key").alias(key), F.col("_path").alias("path"), F.try_variant_get("_v", "$", "string").alias("leaf")))
+        nested = level.filter(inner)
+        if not nested.limit(1).count():
+            return reduce(DataFrame.unionByName, leaves)
+        step = F.when(F.col("key").isNull(), F.concat("_path", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat("_path", F.when(F.col("_path") == "", F.lit("")).otherwise(F.lit(".")), "key"))
+        found = nested.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).filter(F.col("key").isNull() | ~F.coalesce(F.startswith("key", F.lit("$comment")), F.lit(False)))
+        level = found.select("_key", step.alias("_path"), F.col("value").alias("_v"))
 
 
 def searched(leaves: DataFrame, needle: str) -> DataFrame:

@@ -56,3 +56,26 @@ def major_version(text: Column) -> Column:
 def id_prefix(member: Column) -> Column:
     """What stands before the first colon of a member id."""
     return F.substring_index(member, ":", 1)
+
+
+def label(text: Column) -> Column:
+    """The trimmed text if it has two characters or more and not digits alone; else null."""
+    out = F.regexp_replace(text, r"^[ \t\n\r]+|[ \t\n\r]+$", "")
+    return F.when((F.length(out) >= 2) & ~out.rlike("^[0-9]+$"), out)
+
+
+def matches_any(text: Column, patterns: tuple[str, ...]) -> Column:
+    """Whether any of the patterns is found, in one pass."""
+    return text.rlike("|".join(f"(?:{p})" for p in patterns))
+
+
+def escaped(literal: str) -> str:
+    """A pattern that finds the literal and nothing else."""
+    return "".join(c if c.isalnum() else "\\" + c for c in literal)
+
+
+def code_only(text: Column) -> Column:
+    """Source text with each comment and each string literal as one space, whichever begins first; escapes are known."""
+    comments = (r"/\*[^*]*\*+(?:[^/*][^*]*\*+)*/", r"//[^\n]*")
+    literals = [rf"{q}(?:\\.|[^{q}\\])*{q}" for q in ('"', "'", "`")]
+    return F.regexp_replace(text, "|".join((*comments, *literals)), " ")

@@ -43,12 +43,12 @@ def coverage_ratio(rows: DataFrame, group: list[str], hit: Column) -> DataFrame:
 
 def run_summary(rows: DataFrame, columns: list[str], measure: str) -> DataFrame:
     """Counts and sums by each column and overall, in one pass: facet, value, n, total."""
-    sets = ", ".join(f"({c})" for c in columns) + ", ()"
-    facet = "CASE " + " ".join(f"WHEN grouping({c}) = 0 THEN '{c}'" for c in columns) + " ELSE 'all' END"
-    rows.createOrReplaceTempView("_run_rows")
-    return rows.sparkSession.sql(
-        f"SELECT {facet} AS facet, coalesce({', '.join(f'CAST({c} AS STRING)' for c in columns)}) AS value, count(*) AS n, round(sum({measure}), 2) AS total FROM _run_rows GROUP BY GROUPING SETS ({sets})"
-    )
+    facet = F.lit("all")
+    for c in columns:
+        facet = F.when(F.grouping(c) == 0, F.lit(c)).otherwise(facet)
+    value = F.coalesce(*[F.col(c).cast("string") for c in columns])
+    found = rows.groupingSets([[c] for c in columns] + [[]], *columns).agg(facet.alias("facet"), F.count(F.lit(1)).alias("n"), F.round(F.sum(measure), 2).alias("total"))
+    return found.select("facet", value.alias("value"), "n", "total")
 
 
 def validation_totals(checked: DataFrame) -> DataFrame:

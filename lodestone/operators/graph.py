@@ -2,26 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _durable(df: DataFrame) -> DataFrame:
-    """A table in the folder that the cluster names for checkpoints, or in a temporary one where it names none.
-
-    Not a checkpoint: that carries the optimizer's constraints along, which grow from round to round.
-    """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from lodestone.tables import discard, written
 
 
 def reach(edges: DataFrame, entries: DataFrame) -> DataFrame:
@@ -30,13 +18,13 @@ def reach(edges: DataFrame, entries: DataFrame) -> DataFrame:
     Breadth first, a join for each level; nodes already seen are left out, so a level's cost is that of
     its own edges. A level's nodes are counted on the executors.
     """
-    edges = edges.select("from", "to").distinct()
-    frontier = _durable(entries.select("node").distinct().withColumn("depth", F.lit(0).cast("bigint")))
+    edges = written(edges.select("from", "to").distinct())
+    frontier = written(entries.select("node").distinct().withColumn("depth", F.lit(0).cast("bigint")))
     seen, depth = frontier, 0
     while frontier.limit(1).count():
         depth += 1
         found = frontier.select(F.col("node").alias("from")).join(edges, "from").select(F.col("to").alias("node")).distinct()
-        frontier = _durable(found.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth).cast("bigint")))
+        frontier = written(found.join(seen, "node", "left_anti").withColumn("depth", F.lit(depth).cast("bigint")))
         seen = seen.unionByName(frontier)
     return seen
 
@@ -55,22 +43,23 @@ def topo_levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """node and level: 0 without dependencies, else one more than the highest of the nodes it depends on.
 
     Edges lead from a node to what it depends on; those that leave `nodes` are ignored, as are loops of one
-    node. Null levels are the cyclic remainder: nodes that a cycle keeps from ever being ready.
+    node. Null levels are the cyclic remainder: nodes that a cycle keeps from ever being ready. Each level writes one
+    table, of the nodes that are left with the number of their open needs; a chain of n nodes takes n levels.
     """
     nodes = nodes.select("node").distinct()
     names = nodes.withColumnRenamed("node", "to")
-    waiting = edges.select(F.col("from").alias("node"), "to").filter("node != to").distinct().join(nodes, "node", "left_semi").join(names, "to", "left_semi")
-    waiting, left, done, level = _durable(waiting), _durable(nodes), None, 0
-    while True:
-        ready = _durable(left.join(waiting.select("node"), "node", "left_anti").withColumn("level", F.lit(level).cast("bigint")))
-        if not ready.limit(1).count():
-            break
-        done = ready if done is None else done.unionByName(ready)
-        left = _durable(left.join(ready, "node", "left_anti"))
-        waiting = _durable(waiting.join(ready.select(F.col("node").alias("to")), "to", "left_anti"))
+    needs = edges.select(F.col("from").alias("node"), "to").filter("node != to").distinct().join(nodes, "node", "left_semi").join(names, "to", "left_semi")
+    needs, level, done = written(needs), 0, []
+    left = written(nodes.join(needs.groupBy("node").agg(F.count(F.lit(1)).alias("open")), "node", "left").select("node", F.coalesce("open", F.lit(0)).alias("open")))
+    while left.filter("open = 0").limit(1).count():
+        ready = left.filter("open = 0").select("node")
+        done.append(ready.withColumn("level", F.lit(level).cast("bigint")))
+        met = needs.join(ready.withColumnRenamed("node", "to"), "to").groupBy("node").agg(F.count(F.lit(1)).alias("met"))
+        left = written(left.filter("open > 0").join(met, "node", "left").select("node", (F.col("open") - F.coalesce("met", F.lit(0))).alias("open")))
         level += 1
-    rest = left.withColumn("level", F.lit(None).cast("bigint"))
-    return rest if done is None else done.unionByName(rest)
+    discard(needs)
+    rest = left.select("node", F.lit(None).cast("bigint").alias("level"))
+    return reduce(DataFrame.unionByName, done, rest)
 
 
 def cyclic_remainder(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import text as T
 from lodestone.functions.json_paths import flattened, harvested, searched
 from lodestone.operators import audit, diff, edges, graph, incremental, lookup, sections
-from lodestone.operators.integrity import dangling_report
+from lodestone.operators.integrity import dangling_report, keyed
 from lodestone.session import share_package
 
 QUERIES: dict = {}
@@ -28,11 +28,14 @@ def _query(oracle: str):
     return add
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
     share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_read = read_table
+
 #: (relation, table, column, owner, key, shift): a shift makes references that dangle.
 RELATIONS = (
     ("lineitem.order", "lineitem", "l_orderkey", "orders", "o_orderkey", 0),
@@ -57,11 +60,10 @@ FROM (SELECT {c} + {shift} AS ref FROM {t}) r LEFT JOIN (SELECT DISTINCT {k} AS
 )
 def integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References and how many of them dangle, for each relation."""
-    parts = [
-        dangling_report(name, _read(spark, sf_dir, t).select((F.col(c) + shift).cast("bigint").alias("ref")), _read(spark, sf_dir, o).select(F.col(k).cast("bigint").alias("id")))
-        for name, t, c, o, k, shift in RELATIONS
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    read = lambda t: _read(spark, sf_dir, t)
+    refs = [keyed(read(t), {r[0]: F.col(r[2]) + r[5] for r in RELATIONS if r[1] == t}, "ref") for t in dict.fromkeys(r[1] for r in RELATIONS)]
+    ids = [keyed(read(t), {r[0]: F.col(r[4]) for r in RELATIONS if r[3] == t}, "id") for t in dict.fromkeys(r[3] for r in RELATIONS)]
+    return dangling_report([r[0] for r in RELATIONS], reduce(DataFrame.unionByName, refs), reduce(DataFrame.unionByName, ids))
 
 
 # ---- edges -------------------------------------------------------------------------------------------------
@@ -104,14 +106,14 @@ def dependency_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.dependency_usage(uses, _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("dependency")))
 
 
-@_query("""SELECT 'out' AS direction, n_regionkey AS node, count(*) AS n, string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) AS ends FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 2
-UNION ALL SELECT 'in', c_nationkey, count(*), string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) FROM customer GROUP BY 2""")
+@_query("""WITH e AS (SELECT 'out' AS direction, n_regionkey AS node, c_custkey AS other FROM customer JOIN nation ON c_nationkey = n_nationkey UNION ALL SELECT 'in', c_nationkey, c_custkey FROM customer)
+SELECT *, count(*) OVER (PARTITION BY direction, node) AS degree FROM e""")
 def mirrored_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges grouped by either end."""
-    customers = _read(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("node"))
+    """Edges by either end, a row for each, with the degree of that end; no end's edges are gathered."""
+    customers = _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("other"), F.col("c_nationkey").alias("node"))
     regions = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("node"), "n_regionkey")
-    listed = lambda rows, side: rows.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list("c_custkey")).alias("e")).select(F.lit(side).alias("direction"), "node", "n", edges.listed(F.col("e")).alias("ends"))
-    return listed(customers.join(regions, "node").select("c_custkey", F.col("n_regionkey").alias("node")), "out").unionByName(listed(customers, "in"))
+    both = customers.join(regions, "node").select(F.lit("out").alias("direction"), F.col("n_regionkey").alias("node"), "other").unionByName(customers.select(F.lit("in").alias("direction"), "node", "other"))
+    return both.join(both.groupBy("direction", "node").agg(F.count(F.lit(1)).alias("degree")), ["direction", "node"])
 
 
 # ---- graphs ------------------------------------------------------------------------------------------------
@@ -205,11 +207,11 @@ def severity_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.parse_status(_read(spark, sf_dir, "events").select("user_id"), warnings, "user_id")
 
 
-@_query("""SELECT event_type AS code, count(*) AS n, string_agg(DISTINCT user_id::VARCHAR, ',' ORDER BY user_id::VARCHAR) AS units FROM events WHERE event_type IN ('error', 'purchase') GROUP BY 1""")
+@_query("""SELECT event_type AS code, count(*) AS n, count(DISTINCT user_id) AS units FROM events WHERE event_type IN ('error', 'purchase') GROUP BY 1""")
 def gap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Warnings above info by code, with the units that have them."""
+    """Warnings above info by code, with the number of units that have them."""
     found = _event_warnings(spark, sf_dir).filter("severity <> 'info'")
-    return found.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("user_id").cast("string"))), ",").alias("units"))
+    return found.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("units"))
 
 
 #: Constructs of a page and the patterns that find them in text.
@@ -576,13 +578,15 @@ def section_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sections.merged_sections(new, edited.unionByName(untouched), ["unit"])
 
 
-@_query("""WITH r AS (SELECT p_brand, string_agg(p_name, chr(10) ORDER BY p_partkey) AS body FROM part GROUP BY 1) SELECT p_brand AS brand, substr(sha256(body), 1, 8) AS hash, length(body) AS chars FROM r""")
+@_query("""WITH r AS (SELECT l_orderkey AS unit, string_agg(l_linenumber || ' ' || l_partkey, chr(10) ORDER BY l_linenumber, l_partkey) AS body FROM lineitem GROUP BY 1)
+SELECT unit, substr(sha256(body), 1, 8) AS hash, length(body) AS chars FROM r""")
 def rendered_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ordered rows rendered into a fenced section, and its body read back."""
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x.getField("p_name")), "\n")
-    made = _read(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("brand")).agg(body.alias("body"))
-    read = made.select("brand", sections.section_body(sections.fenced(F.lit("parts"), F.col("body")), "parts").alias("body"))
-    return read.select("brand", sections.body_hash(F.col("body")).alias("hash"), F.length("body").cast("bigint").alias("chars"))
+    """Each order's lines, sorted, rendered into a fenced section, and its body read back."""
+    line = F.struct("l_linenumber", "l_partkey")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: F.concat_ws(" ", x.getField("l_linenumber"), x.getField("l_partkey"))), "\n")
+    made = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("unit")).agg(body.alias("body"))
+    read = made.select("unit", sections.section_body(sections.fenced(F.lit("lines"), F.col("body")), "lines").alias("body"))
+    return read.select("unit", sections.body_hash(F.col("body")).alias("hash"), F.length("body").cast("bigint").alias("chars"))
 
 
 @_query("""SELECT c_custkey AS unit, c_mktsegment AS kind, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS orders, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey = c_custkey) AS lines,

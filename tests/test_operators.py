@@ -44,10 +44,9 @@ def test_unreachable_and_leaves(spark):
 
 
 def test_dangling_counts_null_references(spark):
-    refs = spark.createDataFrame([(1,), (1,), (2,), (None,)], "ref bigint")
-    ids = spark.createDataFrame([(1,)], "id bigint")
-    assert tuple(dangling_report("r", refs, ids).first()) == ("r", 4, 2, 2, 1)
-    assert tuple(dangling_report("r", refs.limit(0), ids).first()) == ("r", 0, 0, 0, 0)
+    refs = spark.createDataFrame([("r", 1), ("r", 1), ("r", 2), ("r", None)], "relation string, ref bigint")
+    ids = spark.createDataFrame([("r", 1), ("s", 2)], "relation string, id bigint")
+    assert sorted(map(tuple, dangling_report(["r", "none"], refs, ids).collect())) == [("none", 0, 0, 0, 0), ("r", 4, 2, 2, 1)]
 
 
 def test_edge_dedupe_keeps_the_first(spark):
@@ -99,3 +98,17 @@ def test_flattened_skips_comments_and_broken_texts(spark):
 def test_a_check_of_nothing_does_not_pass(spark):
     assert audit.validation_totals(spark.createDataFrame([], "status string")).first().passed is False
     assert audit.validation_totals(spark.createDataFrame([("ok",), ("legacy",)], "status string")).first().passed is True
+
+
+def test_levels_follow_the_longest_of_several_paths(spark):
+    links = [("a", "b"), ("b", "c"), ("c", "d"), ("a", "d"), ("a", "e"), ("e", "d"), ("f", "a"), ("f", "d")]
+    nodes = spark.createDataFrame([(n,) for n in "abcdefg"], "node string")
+    found = {r.node: r.level for r in graph.topo_levels(nodes, spark.createDataFrame(links, "from string, to string")).collect()}
+    assert found == {"d": 0, "g": 0, "c": 1, "e": 1, "b": 2, "a": 3, "f": 4}
+
+
+def test_flattened_takes_nested_documents_apart(spark):
+    doc = '{"a": {"b": [1, [true, null], {"c": "x"}], "$comment": 5, "$commentary": {"z": 1}}, "d": [], "e": {}, "f": 2.5}'
+    rows = spark.createDataFrame([(1, doc), (2, "[3]"), (3, '"s"'), (4, None), (5, "{")], "id int, doc string")
+    expected = [(1, "a.b[0]", "1"), (1, "a.b[1][0]", "true"), (1, "a.b[1][1]", None), (1, "a.b[2].c", "x"), (1, "f", "2.5"), (2, "[0]", "3"), (3, "", "s")]
+    assert sorted(map(tuple, flattened(rows, "id", "doc").collect())) == expected

@@ -5,17 +5,20 @@ from __future__ import annotations
 import pytest
 from oracle import assert_same
 
-from lodestone.plans import table_lane
+from lodestone.plans import facts_lane, table_lane
 
+ALL = table_lane.QUERIES | facts_lane.QUERIES
+SQL = table_lane.ORACLES | facts_lane.ORACLES
 
-@pytest.mark.parametrize("name", sorted(table_lane.QUERIES))
+
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_query_agrees_with_its_sql(spark, sf_dir, duck, name):
-    assert_same(table_lane.QUERIES[name](spark, sf_dir), duck, table_lane.ORACLES[name])
+    assert_same(ALL[name](spark, sf_dir), duck, SQL[name])
 
 
 def test_entry_has_rows(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() == len(table_lane.RELATIONS)
-    assert set(table_lane.QUERIES) <= set(entry.queries())
+    assert set(ALL) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
