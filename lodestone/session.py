@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,9 +30,16 @@ def local_session(name: str = "lodestone", cpus: int | None = None, **settings:
 
 
 def share_package(spark: SparkSession) -> None:
-    """Lets Python workers that start later import this package from where the driver has it, wherever they run."""
+    """Lets Python workers that start later import this package.
+
+    In local mode they find it where the driver has it. On a cluster Spark sends it to them, once, as a zip file.
+    """
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    context = spark.sparkContext
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root in paths:
+        return
+    context.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if not context.master.startswith("local["):
+        archive = os.path.join(tempfile.mkdtemp(), "lodestone")
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "lodestone"))
