@@ -11,6 +11,7 @@ from lodestone.functions import text as T
 from lodestone.functions.json_paths import flattened, harvested, searched
 from lodestone.operators import audit, diff, edges, graph, incremental, lookup, sections
 from lodestone.operators.integrity import dangling_report, keyed
+from lodestone.operators.mentions import mentions
 from lodestone.session import share_package
 
 QUERIES: dict = {}
@@ -426,13 +427,10 @@ _NORM_SQL = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]', ' ', 'g
 w AS (SELECT *, list_filter(string_split(needle, ' '), lambda x: length(x) > 3) AS words FROM n)
 SELECT item_id, doc_id FROM w JOIN h ON contains(hay, needle) OR (len(words) > 0 AND len(list_filter(words, lambda x: contains(hay, x))) >= ceil(len(words) * 0.7))""")
 def mentioned_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J13, STR06: benchmark items that a document mentions, as a phrase or by seven tenths of its long words.
-
-    Substrings have no join key, so every item is compared with every text; `mentioned_words` scales.
-    """
+    """J13, STR06: benchmark items that a document mentions, as a phrase or by seven tenths of its long words."""
     needles = _read(spark, sf_dir, "benchmark").select("item_id", T.normalised(F.col("text")).alias("needle"))
     texts = _read(spark, sf_dir, "documents").select("doc_id", T.normalised(F.col("text")).alias("hay"))
-    return texts.join(needles, T.mentioned_in(F.col("needle"), F.col("hay"))).select("item_id", "doc_id")
+    return mentions(needles, texts)
 
 
 @_query(f"""WITH n AS (SELECT item_id, list_distinct(list_filter(string_split({_NORM_SQL.format('text')}, ' '), lambda x: length(x) > 3)) AS words FROM benchmark),

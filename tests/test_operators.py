@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as T
 from lodestone.functions.json_paths import flattened
 from lodestone.operators import audit, diff, edges, graph, incremental, lookup, sections
 from lodestone.operators.integrity import dangling_report
+from lodestone.operators.mentions import mentions
 
 
 def _edges(spark, *pairs):
@@ -112,3 +115,18 @@ def test_flattened_takes_nested_documents_apart(spark):
     rows = spark.createDataFrame([(1, doc), (2, "[3]"), (3, '"s"'), (4, None), (5, "{")], "id int, doc string")
     expected = [(1, "a.b[0]", "1"), (1, "a.b[1][0]", "true"), (1, "a.b[1][1]", None), (1, "a.b[2].c", "x"), (1, "f", "2.5"), (2, "[0]", "3"), (3, "", "s")]
     assert sorted(map(tuple, flattened(rows, "id", "doc").collect())) == expected
+
+
+def test_mentions_are_those_of_comparing_every_pair(spark):
+    rnd = random.Random(6)
+    syllables = ["ka", "lo", "mi", "tre", "s", "unda"]
+    word = lambda: "".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 4)))
+    items = [(i, " ".join(word() for _ in range(rnd.randint(1, 5)))) for i in range(60)] + [(60, ""), (61, "ka s"), (62, "s")]
+    texts = [(i, " ".join(word() for _ in range(rnd.randint(0, 12)))) for i in range(80)]
+
+    def mentioned(needle, hay):
+        words = [w for w in needle.split(" ") if len(w) > 3]
+        return needle in hay or (words and 10 * sum(w in hay for w in words) >= 7 * len(words))
+
+    found = mentions(spark.createDataFrame(items, "item_id int, needle string"), spark.createDataFrame(texts, "doc_id int, hay string"))
+    assert sorted(map(tuple, found.collect())) == sorted((i, d) for i, n in items for d, h in texts if mentioned(n, h))
