@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import exact_dedup, jaccard_join, mixing, packing, toxicity
-from lodestone.llm.common import discard_since, shared_folder, table, tables_written
+from lodestone.llm.common import table
+from lodestone.tables import discard_since, shared_folder, tables_written
 
 #: The mixture takes so many hundredths of the remaining tokens, each document once at most.
 MIX_PERCENT, MIX_EPOCHS = 90, 1
