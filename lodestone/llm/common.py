@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.session import share_package
+from lodestone.tables import shared_folder, written
 
 #: A key with more than 1/CELLS of all rows is hot; there are at most CELLS such keys.
 CELLS = 1024
@@ -23,66 +22,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints and tables that all executors see: the one that `spark.checkpoint.dir` names.
-
-    Only in local mode, as in tests, a temporary one is made where none is named; on a cluster that is an error, since
-    executors do not share the driver's disk.
-    """
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-
-
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a checkpoint in the shared folder."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
-#: Tables that `written` wrote and nothing has removed yet.
-_WRITTEN: list[str] = []
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a table in the shared folder: for loops, since a checkpoint carries the optimizer's
-    constraints along, which grow from round to round, and for whole rows, since it is compressed."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Deletes a folder in whatever file system it is."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def discard(*tables: DataFrame) -> None:
-    """Deletes what `written` wrote for these."""
-    for df in tables:
-        for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            remove(df.sparkSession, name)
-            _WRITTEN[:] = [path for path in _WRITTEN if not name.endswith(path.rsplit("/", 1)[1])]
-
-
-def tables_written() -> int:
-    """A mark for `discard_since`."""
-    return len(_WRITTEN)
-
-
-def discard_since(spark: SparkSession, mark: int) -> None:
-    """Deletes every table written since the mark; whatever was to be read from them must have been read."""
-    while len(_WRITTEN) > mark:
-        remove(spark, _WRITTEN.pop())
-
-
 def unused(name: str, columns: list[str]) -> str:
     """The name, lengthened until no column has it, whatever the letters' case."""
     taken = {c.lower() for c in columns}

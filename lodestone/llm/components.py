@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.llm.common import discard, salted_lookup, written
+from lodestone.llm.common import salted_lookup
+from lodestone.tables import discard, written
 
 
 def _with_least(edges: DataFrame) -> tuple[DataFrame, DataFrame]:

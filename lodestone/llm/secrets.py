@@ -188,7 +188,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda m: m.getField("kind") == kind)).cast("long")
     base = F.filter("spans", lambda m: m.getField("kind") != "markov")
-    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS], F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"))
+    counts = {k: count(k).alias(f"n_{k}") for k in KINDS}
+    return found.select("doc_id", *[counts[k] for k in KINDS if k != "markov"], F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"), counts["markov"])
 
 
 QUERIES = {"op1_secrets": query}

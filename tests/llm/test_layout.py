@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -32,6 +33,28 @@ def test_shards_are_even_and_hold_the_mixture(spark, sf_dir):
         assert all(abs(counts[s] - sum(counts.values()) / 7) < 2.1 for s in range(7))
 
 
+def test_shards_are_those_of_sorting_everything(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
+    docs = docs.unionByName(spark.createDataFrame([(None, None, None), (3, "src0", "again"), (3, "src0", "again"), (7_000, "alone", "")], docs.schema))
+    strata = defaultdict(list)
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        u = hashlib.md5(f"{sharding.SEED}:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()
+        strata["-" if r.source is None else "=" + r.source].append((u, r.doc_id is not None, r.doc_id or 0, zlib.crc32(data), len(data) + 16))
+    rows = []
+    for name, members in strata.items():
+        phase = int(hashlib.md5(f"{sharding.SEED + 1}:{name}".encode()).hexdigest()[:8], 16) / 2**32
+        rows += [((k + phase) / len(members), name, *m) for k, m in enumerate(sorted(members))]
+    rows.sort()
+    shards, total = 9, len(rows)
+    expected = []
+    for position, (_, name, _, _, doc_id, crc, size) in enumerate(rows):
+        shard = position * shards // total
+        expected.append((doc_id, name, size, crc, shard, position - -(-shard * total // shards)))
+    found = [(r.doc_id or 0, r.stratum, r.size, r.text_crc32, r.shard, r.slot) for r in sharding.interleaved_shards(docs, shards).collect()]
+    assert sorted(found) == sorted(expected)
+
+
 def test_shards_do_not_depend_on_the_partitions(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     place = lambda d: {r.doc_id: (r.shard, r.slot) for r in sharding.interleaved_shards(d).collect()}
@@ -130,12 +153,13 @@ def test_token_counts_agree_with_a_unigram_tokenizer(spark, sf_dir):
 
     vocabulary = token_counts.read_vocabulary(token_counts.vocabulary_path())
     other = Tokenizer(models.Unigram([("<unk>", 0.0), *[(f"<0x{i:02X}>", 0.0) for i in range(256)], *vocabulary], 0, True))
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", F.substring("text", 1, 4000).alias("text"))
-    docs = docs.unionByName(spark.createDataFrame([(-1, "  two  spaces "), (-2, "你好\n\nwörld\t🙂"), (-3, ""), (-4, None)], "doc_id bigint, text string"))
-    found = {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs).collect()}
-    for r in docs.collect():
-        marked = "▁" + r.text.replace(" ", "▁") if r.text else ""
-        assert found[r.doc_id] == (len(other.encode(marked, add_special_tokens=False).ids) if marked else 0)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    odd_rows = [(-1, "  two  spaces "), (-2, "你好\n\nwörld\t🙂"), (-3, ""), (-4, None), (None, "no id"), (-5, "twice"), (-5, "twice"), (-6, "long word " * 9000)]
+    docs = docs.unionByName(spark.createDataFrame(odd_rows, "doc_id bigint, text string")).withColumns({"n_tokens": F.lit("clash"), "score": F.lit(0)})
+    count = lambda text: len(other.encode("▁" + text.replace(" ", "▁"), add_special_tokens=False).ids) if text else 0
+    found = Counter((r.doc_id, r.n_tokens) for r in token_counts.token_counts(docs).collect())
+    assert found == Counter((r.doc_id, count(r.text)) for r in docs.collect())
+    assert token_counts.token_counts(docs.limit(0)).count() == 0
 
 
 def test_ties_go_to_the_piece_that_starts_first():
