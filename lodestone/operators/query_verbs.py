@@ -19,14 +19,24 @@ def refs(calls: DataFrame, access: DataFrame, usage: DataFrame, unit: str, targe
     return callers.unionByName(accesses).unionByName(users).distinct()
 
 
+def all_callees(calls: DataFrame) -> DataFrame:
+    """unit, from, id and ord: what every site calls, once each, with the place of the first call."""
+    return calls.groupBy("unit", "from", F.col("to").alias("id")).agg(F.min("ord").alias("ord"))
+
+
 def callees(calls: DataFrame, unit: str, source: str) -> DataFrame:
     """What `source` calls, in order of first call."""
-    return calls.filter((F.col("unit") == unit) & (F.col("from") == source)).groupBy("to").agg(F.min("ord").alias("ord")).orderBy("ord").select(F.col("to").alias("id"))
+    return all_callees(calls.filter((F.col("unit") == unit) & (F.col("from") == source))).orderBy("ord").select("id")
+
+
+def all_accesses(access: DataFrame) -> DataFrame:
+    """unit, site, field, mode and places: the fields that every site reads and writes."""
+    return access.groupBy("unit", "site", "field", "mode").agg(F.count(F.lit(1)).alias("places"))
 
 
 def accesses(access: DataFrame, unit: str, site: str) -> DataFrame:
     """Fields that a site reads and writes."""
-    return access.filter((F.col("unit") == unit) & (F.col("site") == site)).select("field", "mode").distinct()
+    return all_accesses(access.filter((F.col("unit") == unit) & (F.col("site") == site))).select("field", "mode")
 
 
 def symbol(symbols: DataFrame, unit: str, name: str) -> DataFrame:
@@ -34,10 +44,14 @@ def symbol(symbols: DataFrame, unit: str, name: str) -> DataFrame:
     return symbols.filter((F.col("unit") == unit) & (F.col("id") == name)).drop("source").limit(1)
 
 
+def all_nodes(nodes: DataFrame) -> DataFrame:
+    """unit, id and bucket: every template node with the first bucket that has it."""
+    return nodes.groupBy("unit", "id").agg(F.min_by("bucket", "bucket_ord").alias("bucket"))
+
+
 def node(nodes: DataFrame, unit: str, name: str) -> DataFrame:
     """A template node's row from the first bucket that has it."""
-    found = nodes.filter((F.col("unit") == unit) & (F.col("id") == name))
-    return found.groupBy("unit", "id").agg(F.min_by("bucket", "bucket_ord").alias("bucket"))
+    return all_nodes(nodes.filter((F.col("unit") == unit) & (F.col("id") == name)))
 
 
 def outline(symbols: DataFrame, calls: DataFrame, access: DataFrame) -> DataFrame:

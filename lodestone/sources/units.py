@@ -9,8 +9,8 @@ from lodestone.functions.text import base_name
 
 # Decorators that make a unit, in order of precedence, with the kinds they make.
 DECORATORS = (("Component", "component"), ("NgModule", "module"), ("Directive", "directive"), ("Pipe", "pipe"), ("Injectable", "service"))
-#: Folders that are not walked.
-SKIPPED = ("node_modules", "dist", "build", "coverage", ".git")
+# Folders that are not walked.
+SKIPPED = ("node_modules", ".git", "dist", "target", ".angular", "coverage", ".cache", "e2e", "cypress")
 
 
 def read_sources(spark: SparkSession, path: str, pattern: str = "*.ts") -> DataFrame:
@@ -21,6 +21,11 @@ def read_sources(spark: SparkSession, path: str, pattern: str = "*.ts") -> DataF
     return rows.filter(~F.col("path").rlike(rf"/({skipped})/|\.(spec|d)\.ts$"))
 
 
+def with_status(asked: DataFrame, sources: DataFrame) -> DataFrame:
+    """The paths that were asked for, with text and status: one that `sources` lacks is `unreadable`, not an error."""
+    return asked.select("path").join(sources.select("path", "text"), "path", "left").withColumn("status", F.when(F.col("text").isNull(), "unreadable").otherwise("read"))
+
+
 def without_comments(text: Column) -> Column:
     """Without block comments and comment lines."""
     return F.regexp_replace(F.regexp_replace(text, r"(?s)/\*.*?\*/", " "), r"(?m)^\s*//.*$", "")
@@ -43,10 +48,11 @@ def _each(sources: DataFrame, pattern: str, groups: dict[str, int]) -> DataFrame
 
 
 def imports(sources: DataFrame) -> DataFrame:
-    """path, ord, module and group of every import: angular, rxjs, internal or third-party."""
+    """path, ord, module, group (angular, rxjs, internal or third-party), package (of third parties) and relative of every import."""
     found = _each(sources, r"\b(?:import|export)\b[^;'\"]*?\bfrom\s*['\"]([^'\"]+)['\"]", {"module": 1})
     group = F.when(F.col("module").startswith("@angular/"), "angular").when(F.col("module").rlike("^rxjs(/|$)"), "rxjs").when(F.col("module").rlike(r"^(\.|app/)"), "internal").otherwise("thirdParty")
-    return found.withColumn("group", group)
+    package = F.when(group == "thirdParty", F.substring_index("module", "/", 1))
+    return found.withColumn("group", group).withColumn("package", package).withColumn("relative", F.col("module").rlike(r"^\.\.?/"))
 
 
 def injected(sources: DataFrame) -> DataFrame:
@@ -66,3 +72,47 @@ def public_api(sources: DataFrame) -> DataFrame:
 def test_titles(sources: DataFrame) -> DataFrame:
     """path, ord and title of every test case."""
     return _each(sources, r"\b(?:it|test|xit|fit)(?:\.\w+)?\s*\(\s*(['\"`])([\s\S]*?)\1", {"title": 2})
+
+
+def element_selectors(found: DataFrame) -> DataFrame:
+    """Units with a selector, and whether it names an element; attribute and class selectors are reported, not joined."""
+    return found.filter("selector IS NOT NULL").withColumn("is_element", ~F.col("selector").rlike(r"^[\[.]"))
+
+
+def route_paths(sources: DataFrame) -> DataFrame:
+    """path, ord and route of every `path` property that is a plain string."""
+    return _each(sources, r"[{,]\s*path\s*:\s*(['\"])([^'\"\n]*)\1", {"route": 2})
+
+
+def declared_templates(sources: DataFrame) -> DataFrame:
+    """path, kind and what the component's decorator says of its template.
+
+    kind is absent (no component), none, inline (template has the text, start_line its first line from 0) or external
+    (url has the file).
+    """
+    code = F.col("text")
+    quoted = r"\s*:\s*(?:'([^']*)'|\"([^\"]*)\"|`([^`]*)`)"
+    found = lambda name: F.coalesce(*[F.nullif(F.regexp_extract(code, rf"\b{name}{quoted}", g), F.lit("")) for g in (1, 2, 3)])
+    before = F.regexp_extract(code, r"(?s)^(.*?)\btemplate\s*:", 1)
+    kind = F.when(~code.rlike(r"@Component\s*\("), "absent").when(code.rlike(rf"\btemplate{quoted}"), "inline").when(code.rlike(rf"\btemplateUrl{quoted}"), "external").otherwise("none")
+    line = F.when(kind == "inline", F.regexp_count(before, F.lit("\n"))).cast("bigint")
+    return sources.select("path", kind.alias("kind"), F.when(kind == "inline", found("template")).alias("template"), F.when(kind == "external", found("templateUrl")).alias("url"), line.alias("start_line"))
+
+
+def read_templates(declared: DataFrame, files: DataFrame) -> DataFrame:
+    """path, template and status of every declared template, with external ones from `files` (path, text).
+
+    A declared file that is not there gives an empty text and the status `template-not-found`. Urls are taken relative
+    to the source's folder, without parent steps.
+    """
+    folder = F.regexp_extract("path", "^(.*/)?[^/]*$", 1)
+    asked = declared.withColumn("file", F.when(F.col("kind") == "external", F.concat(folder, F.regexp_replace("url", r"^\./", ""))))
+    there = files.select(F.col("path").alias("file"), F.col("text").alias("_text"))
+    status = F.when((F.col("kind") == "external") & F.col("_text").isNull(), "template-not-found").otherwise(F.col("kind"))
+    return asked.join(there, "file", "left").select("path", F.coalesce("template", "_text", F.lit("")).alias("template"), status.alias("status"))
+
+
+def with_specs(sources: DataFrame, specs: DataFrame) -> DataFrame:
+    """Sources with the text of the spec beside them, null where there is none, by the name that a spec must have."""
+    named = sources.withColumn("spec_path", F.regexp_replace("path", r"\.ts$", ".spec.ts"))
+    return named.join(specs.select(F.col("path").alias("spec_path"), F.col("text").alias("spec")), "spec_path", "left")

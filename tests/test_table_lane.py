@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from oracle import assert_same
 
-from lodestone.plans import facts_lane, table_lane
+from lodestone.plans import facts_lane, source_lane, table_lane
 
-ALL = table_lane.QUERIES | facts_lane.QUERIES
-SQL = table_lane.ORACLES | facts_lane.ORACLES
+ALL = table_lane.QUERIES | facts_lane.QUERIES | source_lane.QUERIES
+SQL = table_lane.ORACLES | facts_lane.ORACLES | source_lane.ORACLES
 
 
 @pytest.mark.parametrize("name", sorted(ALL))
