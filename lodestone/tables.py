@@ -26,12 +26,12 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Cuts the lineage with a table in the shared folder: for loops, since a checkpoint carries the optimizer's
     constraints along, which grow from round to round, and for whole rows, since it is compressed."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
