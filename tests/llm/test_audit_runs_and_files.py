@@ -227,8 +227,8 @@ def test_ids_are_those_of_whole_texts(tokenizer):
     rng = random.Random(3)
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(25))) for _ in range(4000)]
     ids_of = token_files.SpacedIds(token_files.tokenizer_path())
-    for _ in range(2):
-        assert list(ids_of(texts)) == [token_files.pack_ids(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    for some in (texts, texts[:1], [*texts[:9], None, "", "a b"], texts):
+        assert list(ids_of(some)) == [token_files.pack_ids(tokenizer.encode(t or "", add_special_tokens=False).ids) for t in some]
 
 
 def cost(lengths, counts):
