@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,8 @@ END_ID = 2
 LONGEST = 20
 #: A block ends with the document that reaches so many ids; a checkpoint is set every so many ids.
 BLOCK_IDS, CHECKPOINT = 1 << 18, 256
-#: Bytes of ids in one partition of the sort, and bound of the bytes of cached words in a Python worker.
-PARTITION_BYTES, CACHED_BYTES = 48_000_000, 500_000_000
+#: Bytes of ids in one partition of the sort, and of cached words in a Python worker.
+PARTITION_BYTES, CACHED_BYTES = 48_000_000, 420_000_000
 #: What a cached word takes besides its characters and ids.
 WORD_BYTES = 180
 #: What may follow letters as a piece of its own; an apostrophe may begin another one.
@@ -60,6 +62,7 @@ class SpacedIds:
         self.begins[[i for token, i in vocabulary.items() if token.startswith(("Ġ", "Ċ"))]] = True
         #: by word, with its line feed but without its space: its ids; none for words that can't be parted from their neighbours
         self.words: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
         self.held = 0
 
     def _one(self, text: str) -> bytes:
@@ -84,6 +87,9 @@ class SpacedIds:
     def _learn(self, new: set[str]) -> None:
         plain, compound = set(), []
         for word in new:
+            if word.isalpha():
+                plain.add(word)
+                continue
             letters = word[1:] if word[:1] == "\n" else word
             if not letters or letters[0].isspace() or letters[-1].isspace():
                 self.words[word] = b""
@@ -95,21 +101,26 @@ class SpacedIds:
                 compound.append((word, core))
             else:
                 plain.add(word)
+        before = len(self.words)
         self._encode([w for w in plain if w not in self.words])
         ids_of = {tail: self._one(tail) for tail in {word[len(core) :] for word, core in compound}}
         for word, core in compound:
             self.words[word] = self.words[core] + ids_of[word[len(core) :]]
-        self.held += 2 * (len(new) * WORD_BYTES + sum(map(len, new)) * 4)
-
-    def _text(self, words: list[str]) -> bytes:
-        found = list(map(self.words.__getitem__, words))
-        if b"" not in found:
-            found[0] = self._one(words[0])
-            return b"".join(found)
+        # an id takes four bytes, and stands for a byte of the word at least
+        self.held += (len(self.words) - before) * WORD_BYTES + sum(map(len, new)) * 5
+
+    def _first(self, word: str) -> bytes:
+        """The ids of a text's first word, which has no space before it."""
+        if word not in self.firsts:
+            self.firsts[word] = self._one(word)
+            self.held += WORD_BYTES + len(word) * 5
+        return self.firsts[word]
+
+    def _parted(self, words: list[str], found: list[bytes]) -> bytes:
+        """The ids of words of which some can't be parted from their neighbours: these go with the words on both sides."""
         out, k = [], 0
         while k < len(words):
             last = k
-            # a word that can't be parted goes with the words on both sides
             while last + 1 < len(words) and not (found[last] and found[last + 1]):
                 last += 1
             if k == last and k:
@@ -121,14 +132,26 @@ class SpacedIds:
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [x.replace("\n", " \n").split(" ") if x else [] for x in texts]
-        recent = set(chain.from_iterable(split))
         if self.held > CACHED_BYTES:
+            recent = set(chain.from_iterable(split))
             self.words = {word: ids for word, ids in self.words.items() if word in recent}
+            self.firsts = {}
             self.held = sum(len(w) + len(i) + WORD_BYTES for w, i in self.words.items())
-        if new := recent.difference(self.words):
+        known = self.words
+        found = [list(map(known.get, words)) for words in split]
+        # what is not there yet is None, what can't be parted is empty
+        lacking = set(chain.from_iterable(compress(words, map(not_, ids)) for words, ids in zip(split, found, strict=True)))
+        if new := lacking.difference(known):
             self._learn(new)
-        for words in split:
-            yield self._text(words) if words else b""
+        for words, ids in zip(split, found, strict=True):
+            for k in compress(range(len(words)), map(not_, ids)):
+                ids[k] = known[words[k]]
+            if not all(ids):
+                yield self._parted(words, ids)
+            else:
+                if words:
+                    ids[0] = self._first(words[0])
+                yield b"".join(ids)
 
 
 _LOADED: dict[str, SpacedIds] = {}
@@ -183,24 +206,34 @@ class Code:
         first = np.cumsum(spans) - spans
         self.codes = np.zeros(len(lengths), np.int64)
         self.codes[order] = first >> (self.width - self.lengths[order])
-        #: for every `width` bits: the id whose code they begin with, and its length
-        self.ids = np.zeros(1 << self.width, np.uint32)
-        self.steps = np.ones(1 << self.width, np.int64)
-        self.ids[: spans.sum()] = np.repeat(order, spans)
-        self.steps[: spans.sum()] = np.repeat(self.lengths[order], spans)
+        #: for every `width` bits: 32 times the id whose code they begin with, and its length
+        self.table = np.ones(1 << self.width, np.uint32)
+        self.table[: spans.sum()] = np.repeat(order << 5 | self.lengths[order], spans)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits of all codes, and the bit offset of every CHECKPOINT-th id."""
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        at = ends - lengths
-        # a code of 20 bits that starts at any bit of a byte ends within four bytes
-        words = self.codes[ids] << (32 - lengths - (at & 7))
-        out = np.zeros((int(ends[-1]) + 7 >> 3) + 4 if len(ids) else 4)
-        for k in range(4):
-            # codes share bytes but no bits, so their sum is their union
-            out += np.bincount((at >> 3) + k, weights=words >> (24 - 8 * k) & 255, minlength=len(out))
-        return out[:-4].astype(np.uint8).tobytes(), at[::CHECKPOINT]
+        if not len(ids):
+            return b"", np.zeros(0, np.int64)
+        # two codes of 20 bits at most are joined first, so that half as many are put in place
+        odd = np.uint64(len(ids) & 1)
+        even = ids if not odd else np.append(ids, ids[-1])
+        second = self.lengths[even[1::2]].astype(np.uint64)
+        codes = self.codes[even[::2]].astype(np.uint64) << second | self.codes[even[1::2]].astype(np.uint64)
+        first = self.lengths[even[::2]].astype(np.uint64)
+        ends = np.cumsum(first + second)
+        at = ends - first - second
+        if odd:
+            codes[-1] >>= second[-1]
+            ends[-1] -= second[-1]
+        # in 64-bit words: each code is shifted to its last bit's place, and what that leaves out belongs to the word before
+        word, room = ends - np.uint64(1) >> np.uint64(6), np.uint64(63) - (ends - np.uint64(1) & np.uint64(63))
+        words = np.zeros(int(word[-1]) + 1, np.uint64)
+        # codes share words but no bits, so their sum is their union; every word has a code's end, as codes are shorter
+        words[:] = np.add.reduceat(codes << room, np.searchsorted(word, np.arange(len(words), dtype=np.uint64)))
+        over = np.flatnonzero(at >> np.uint64(6) != word)
+        words[word[over].astype(np.int64) - 1] += codes[over] >> np.uint64(64) - room[over]
+        bits, step = words.astype(">u8").tobytes()[: int(ends[-1]) + 7 >> 3], CHECKPOINT // 2
+        return bits, at[::step].astype(np.int64)
 
     def decode(self, data: bytes, checkpoints: np.ndarray, n: int) -> np.ndarray:
         """The n ids that the bits hold from the first checkpoint on; all stretches between checkpoints are decoded side by side."""
@@ -209,52 +242,71 @@ class Code:
         out = np.zeros((CHECKPOINT, len(checkpoints)), np.uint32)
         at, shift, mask, last = checkpoints.astype(np.int64), 32 - self.width, (1 << self.width) - 1, len(words) - 1
         for k in range(min(CHECKPOINT, n)):
-            bits = words[at >> 3].astype(np.int64) >> (shift - (at & 7)) & mask
-            out[k] = self.ids[bits]
+            found = self.table[words[at >> 3] >> (shift - (at & 7)) & mask]
+            out[k] = found
             # the last stretch may be shorter than the others: it stays within the padding
-            at = np.minimum(at + self.steps[bits], last * 8)
-        return out.T.ravel()[:n]
+            at = np.minimum(at + (found & 31), last * 8)
+        return (out.T.ravel()[:n]) >> 5
 
 
 BLOCKS = "part int, block int, before long, n_ids long, doc_ids array<bigint>, doc_lengths array<bigint>, checkpoints array<bigint>, bits binary, bits_crc32 long"
 
 
+def id_type(path: str, end_id: int) -> str:
+    """16 bits for an id where the vocabulary allows it."""
+    return "<u2" if max(len(spaced_ids(path).begins), end_id + 1) <= 1 << 16 else "<u4"
+
+
 def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """doc_id, n_tokens, ids_crc32 and ids (little-endian, 16 bits where the vocabulary allows it) of each text and its end."""
+    """doc_id, n_tokens, ids_crc32 and ids (of `id_type`) of each text and its end; counts is null.
+
+    The last row of each task has counts alone, if it had texts: how often each id below their number occurs there, as
+    little-endian 64-bit numbers.
+    """
+    kind = id_type(path, end_id)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end = spaced_ids(path), pack_ids([end_id])
-        narrow = len(ids_of.begins) <= 1 << 16
-        for batch in text_batches(batches):
-            found = [ids + end for ids in ids_of(batch.column(1).to_pylist())]
-            ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if narrow else x for x in found]
-            columns = [pa.array([len(x) // 4 for x in found], pa.int64()), pa.array([zlib.crc32(x) for x in found], pa.int64()), pa.array([narrow] * len(found)), pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_crc32", "narrow", "ids"])
+        counts = np.zeros(max(len(ids_of.begins), end_id + 1), "<i8")
+
+        def rows(*values: list) -> pa.RecordBatch:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], ["doc_id", "n_tokens", "ids_crc32", "ids", "counts"])
+
+        # lists of words and ids hold no cycles, so looking for some takes time alone
+        gc.disable()
+        try:
+            for batch in text_batches(batches):
+                found = [ids + end for ids in ids_of(batch.column(1).to_pylist())]
+                whole = np.frombuffer(b"".join(found), "<u4")
+                counts += np.bincount(whole, minlength=len(counts))
+                ends = np.cumsum([len(x) // 4 for x in found]).tolist()
+                packed, size = whole.astype(kind).tobytes(), int(kind[-1])
+                ids = [packed[a * size : b * size] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                yield rows(batch.column(0).to_pylist(), [len(x) // 4 for x in found], [zlib.crc32(x) for x in found], ids, [None] * len(ids))
+        finally:
+            gc.enable()
+        if counts.any():
+            yield rows([None], [None], [None], [None], [counts.tobytes()])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids_crc32 long, narrow boolean, ids binary")
-
-
-def _unpacked(ids: bytes, narrow: bool) -> np.ndarray:
-    return np.frombuffer(ids, "<u2" if narrow else "<u4")
+    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids_crc32 long, ids binary, counts binary")
 
 
 def id_counts(rows: DataFrame, ids: int) -> np.ndarray:
-    """How often each id below `ids` occurs: each task sends one row for each id that it has."""
+    """How often each id below `ids` occurs in all: the sum of the counts of `token_ids`, which tasks sum first."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(ids, np.int64)
         for batch in batches:
-            for narrow, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total += np.bincount(_unpacked(data, narrow), minlength=ids) if len(data) > 4 * ids else 0
-                if len(data) <= 4 * ids:
-                    np.add.at(total, _unpacked(data, narrow), 1)
+            for counts in batch.column(0).to_pylist():
+                total += np.frombuffer(counts, "<i8")
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
     counts = np.zeros(ids, np.int64)
     # at most one row for each id of the vocabulary
-    for r in rows.select("narrow", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for r in rows.filter("counts IS NOT NULL").select("counts").mapInArrow(add, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[r["id"]] = r["n"]
     return counts
 
@@ -272,6 +324,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     path = path or tokenizer_path()
     spark = docs.sparkSession
     rows = written(token_ids(docs, path, end_id).withColumn("number", F.monotonically_increasing_id()), "zstd")
+    kind = id_type(path, end_id)
     counts = id_counts(rows, max(len(spaced_ids(path).begins), end_id + 1))
     lengths = code_lengths(counts)
     used = np.flatnonzero(lengths).tolist()
@@ -288,8 +341,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, kinds, strict=True)], names)
 
         for batch in batches:
-            for doc, narrow, ids in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                held.append(_unpacked(ids, narrow))
+            for doc, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(np.frombuffer(ids, kind))
                 docs.append(doc)
                 sizes.append(len(held[-1]))
                 n += sizes[-1]
@@ -304,8 +357,8 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), longs, longs, longs, pa.binary(), pa.int64()]
     order = [F.col("doc_id").asc_nulls_first(), "ids_crc32", "number"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(counts.sum()) * 2 // PARTITION_BYTES)
-    sorted_rows = rows.select("doc_id", "narrow", "ids", "ids_crc32", "number").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    sorted_rows.select("doc_id", "narrow", "ids").mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
+    sorted_rows = rows.filter("ids IS NOT NULL").select("doc_id", "ids", "ids_crc32", "number").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    sorted_rows.select("doc_id", "ids").mapInArrow(encode, BLOCKS).write.option("compression", "none").parquet(f"{folder}/blocks")
     discard(rows)
 
 
