@@ -48,6 +48,41 @@ def dir_name(path: Column) -> Column:
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
 
+def _folded(path: Column) -> Column:
+    """The names of a path, those that `..` takes back removed; steps above the start stay, steps above the root don't."""
+    step = lambda done, name: (
+        F.when(name.isin("", "."), done)
+        .when((name == "..") & (F.size(done) > 0) & (F.element_at(F.concat(F.array(F.lit("")), done), -1) != ".."), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+        .when((name == "..") & F.startswith(path, F.lit("/")), done)
+        .otherwise(F.concat(done, F.array(name)))
+    )
+    return F.aggregate(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), F.expr("cast(array() as array<string>)"), step)
+
+
+def folded_path(path: Column) -> Column:
+    """A path without `.`, `..` and repeated separators, `.` if nothing is left; backslashes separate too."""
+    slashed = F.replace(path, F.lit("\\"), F.lit("/"))
+    out = F.array_join(_folded(slashed), "/")
+    return F.when(F.startswith(slashed, F.lit("/")), F.concat(F.lit("/"), out)).when(out == "", ".").otherwise(out)
+
+
+def joined_path(folder: Column, path: Column) -> Column:
+    """The path as seen from the folder; an absolute one is itself. A folder may be empty."""
+    return folded_path(F.when(F.startswith(path, F.lit("/")) | (folder == ""), path).otherwise(F.concat(folder, F.lit("/"), path)))
+
+
+def relative_path(folder: Column, path: Column) -> Column:
+    """How to get from the folder to the path, both absolute or both not; null where the way up has no known names."""
+    start, goal = _folded(folder), _folded(path)
+    same = F.zip_with(start, goal, lambda a, b: F.coalesce(a == b, F.lit(False)))
+    shared = F.coalesce(F.nullif(F.array_position(same, F.lit(False)), F.lit(0)) - 1, F.size(same)).cast("int")
+    up = F.slice(start, shared + 1, F.size(start))
+    steps = F.concat(F.transform(up, lambda _: F.lit("..")), F.slice(goal, shared + 1, F.size(goal)))
+    way = F.when(F.size(steps) == 0, ".").otherwise(F.array_join(steps, "/"))
+    unknown = F.array_contains(up, "..") | (F.startswith(folder, F.lit("/")) != F.startswith(path, F.lit("/")))
+    return F.when(~unknown, way)
+
+
 def major_version(text: Column) -> Column:
     """The first number in a version or range; null without one."""
     return F.nullif(F.regexp_extract(text, "([0-9]+)", 1), F.lit("")).cast("bigint")
@@ -72,10 +107,3 @@ def matches_any(text: Column, patterns: tuple[str, ...]) -> Column:
 def escaped(literal: str) -> str:
     """A pattern that finds the literal and nothing else."""
     return "".join(c if c.isalnum() else "\\" + c for c in literal)
-
-
-def code_only(text: Column) -> Column:
-    """Source text with each comment and each string literal as one space, whichever begins first; escapes are known."""
-    comments = (r"/\*[^*]*\*+(?:[^/*][^*]*\*+)*/", r"//[^\n]*")
-    literals = [rf"{q}(?:\\.|[^{q}\\])*{q}" for q in ('"', "'", "`")]
-    return F.regexp_replace(text, "|".join((*comments, *literals)), " ")

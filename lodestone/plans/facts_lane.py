@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import text as T
 from lodestone.operators import facts, incremental
 from lodestone.plans.table_lane import read_table
+from lodestone.sources import tokens
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -161,12 +162,23 @@ def prose_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", F.length(T.prose(made)).cast("bigint").alias("prose"))
 
 
-@_query(r"""SELECT p_partkey, regexp_replace(src, '/\*[^*]*\*+(?:[^/*][^*]*\*+)*/|//[^\n]*|"(?:\\.|[^"\\])*"|''(?:\\.|[^''\\])*''|`(?:\\.|[^`\\])*`', ' ', 'g') AS code
-FROM (SELECT p_partkey, 'a = "' || p_name || ' // no" + b; // ' || p_brand || chr(10) || '/* ' || p_type || ' "x */ c(''' || p_name || ''') `t ' || p_size || '`' AS src FROM part)""")
+#: Pieces of source text with what is left of each; SQL joins the second halves and never looks for comments or literals.
+_PIECES = (
+    ("'a = '", "'a = '"),
+    ("concat('\"', p_name, ' // no ', chr(92), '\" /* ', repeat(p_type, p_size * 40), '\"')", "' '"),
+    ("concat(' + b; // ', p_brand, ' \"open', chr(10))", "concat(' + b; ', chr(10))"),
+    ("concat('/* ', p_type, ' it', chr(39), 's \"x ', repeat('* ', p_size * 60), '*/ c(')", "' c('"),
+    ("concat(chr(39), p_name, chr(92), chr(92), chr(39))", "' '"),
+    ("concat(') / d `t ', p_size, ' ', chr(92), '` ', chr(10), '${ e }`')", "') / d  '"),
+    ("CASE p_partkey % 4 WHEN 0 THEN concat('f /* open ', p_name) WHEN 1 THEN concat('g \"open ', p_name, chr(92)) WHEN 2 THEN concat('h // ', p_name) ELSE ';' END", "CASE p_partkey % 4 WHEN 0 THEN 'f ' WHEN 1 THEN 'g  ' WHEN 2 THEN 'h ' ELSE ';' END"),
+)
+_OF_PART = lambda side: "concat(" + ", ".join(p[side] for p in _PIECES).replace("p_size * 40", "CAST(p_size * 40 AS INT)").replace("p_size * 60", "CAST(p_size * 60 AS INT)") + ")"
+
+
+@_query(f"SELECT p_partkey, {_OF_PART(1)} AS code FROM part")
 def code_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR04: source text with comments and string literals as a space each, whichever begins first."""
-    made = F.concat(F.lit('a = "'), "p_name", F.lit(' // no" + b; // '), "p_brand", F.lit("\n/* "), "p_type", F.lit(' "x */ c(\''), "p_name", F.lit("') `t "), F.col("p_size").cast("string"), F.lit("`"))
-    return read_table(spark, sf_dir, "part").select("p_partkey", T.code_only(made).alias("code"))
+    """STR04: source text without comments and with string literals as a space each, whichever begins first, however long, and open ones."""
+    return read_table(spark, sf_dir, "part").select("p_partkey", tokens.code_only(F.expr(_OF_PART(0))).alias("code"))
 
 
 @_query("""SELECT page_id, len(regexp_extract_all(url, '\\.')) AS dots, length(url) - length(replace(url, 'e.c', '')) AS removed FROM pages""")

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import base_name
+from lodestone.functions.text import base_name, dir_name, joined_path
+from lodestone.sources.tokens import code_tokens
 
 # Decorators that make a unit, in order of precedence, with the kinds they make.
 DECORATORS = (("Component", "component"), ("NgModule", "module"), ("Directive", "directive"), ("Pipe", "pipe"), ("Injectable", "service"))
+# What the name of an injectable's file says of its kind.
+INFIXES = ((".guard.", "guard"), (".interceptor.", "interceptor"), (".resolver.", "route-resolver"))
 # Folders that are not walked.
 SKIPPED = ("node_modules", ".git", "dist", "target", ".angular", "coverage", ".cache", "e2e", "cypress")
 
@@ -31,13 +34,65 @@ def without_comments(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?s)/\*.*?\*/", " "), r"(?m)^\s*//.*$", "")
 
 
+def _neighbours(tokens: DataFrame, n: int = 4) -> DataFrame:
+    """Tokens with the one before (before) and the next ones (next1 to next4), of those at hand in each source."""
+    order = Window.partitionBy("path").orderBy("ord")
+    one = F.struct("kind", "value", "depth", "ord", "close")
+    return tokens.withColumns({"before": F.lag("value").over(order), **{f"next{k}": F.lead(one, k).over(order) for k in range(1, n + 1)}})
+
+
+def decorated_classes(sources: DataFrame) -> DataFrame:
+    """path, class_no, class_name, and the decorators (ord, name, called) before each class that isn't inside brackets, in order.
+
+    What stands between two such classes belongs to the later one; decorators that no class follows have a null name.
+    """
+    tokens = _neighbours(code_tokens(sources, 0), 2)
+    named = (F.col("next1.kind") == "name") & ~F.coalesce(F.col("next1.value").isin("extends", "implements"), F.lit(False))
+    is_class = (F.col("kind") == "name") & (F.col("value") == "class") & named & ~F.col("before").eqNullSafe(".")
+    before = Window.partitionBy("path").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    marked = tokens.withColumn("is_class", is_class).withColumn("class_no", F.coalesce(F.count(F.when(F.col("is_class"), 1)).over(before), F.lit(0)))
+    decorator = F.when((F.col("value") == "@") & (F.col("kind") == "sign") & (F.col("next1.kind") == "name"), F.struct("ord", F.col("next1.value").alias("name"), F.col("next2.value").eqNullSafe("(").alias("called")))
+    name = F.max(F.when(F.col("is_class"), F.col("next1.value")))
+    return marked.groupBy("path", "class_no").agg(name.alias("class_name"), F.array_sort(F.collect_list(decorator)).alias("decorators"))
+
+
+def argument_properties(sources: DataFrame) -> DataFrame:
+    """path, decorator (its ord), ord, name, kind, value, line of each property with a plain literal in the object that is a decorator's first argument.
+
+    A property lies in the bracket that opens the object, which follows the decorator's name and bracket at once; a
+    literal is the whole value if a comma or the object's end follows it.
+    """
+    found = _neighbours(code_tokens(sources, 2), 3).filter("depth = 2 AND kind = 'name'")
+    alone = (F.col("next1.value") == ":") & F.col("next2.kind").isin("text", "plain") & F.col("next3.value").isin(",", "}")
+    return found.filter(alone & F.col("before").isin("{", ",")).select("path", (F.col("parent") - 3).alias("decorator"), "ord", F.col("value").alias("name"), F.col("next2.kind").alias("kind"), F.col("next2.value").alias("value"), F.col("line").alias("line"))
+
+
+def _unit_classes(sources: DataFrame) -> DataFrame:
+    """path, class_name, kind and decorators of the first decorated class of each source that makes a unit."""
+    names = F.transform("decorators", lambda d: d["name"])
+    kind = F.coalesce(*[F.when(F.array_contains(names, d), F.lit(k)) for d, k in DECORATORS])
+    by_name = F.coalesce(*[F.when(F.contains(base_name(F.col("path")), F.lit(infix)), F.lit(k)) for infix, k in INFIXES], F.lit("service"))
+    classes = decorated_classes(sources).withColumn("kind", F.when(kind == "service", by_name).otherwise(kind)).filter("kind IS NOT NULL")
+    first = F.min_by(F.struct("class_name", "kind", "decorators"), "class_no")
+    return classes.groupBy("path").agg(first.alias("c")).select("path", "c.*")
+
+
+def _decorated_properties(classes: DataFrame, sources: DataFrame, decorators: tuple[str, ...]) -> DataFrame:
+    """The literal properties of the classes' decorators of these names: containment of each property in its argument."""
+    each = classes.select("path", F.explode(F.filter("decorators", lambda d: d["called"] & d["name"].isin(*decorators))).alias("d"))
+    return each.select("path", F.col("d.ord").alias("decorator")).join(argument_properties(sources), ["path", "decorator"])
+
+
 def units(sources: DataFrame) -> DataFrame:
-    """unit_id, kind, class_name, selector, path: the first exported class of each file that has a unit's decorator."""
-    code = sources.withColumn("code", without_comments(F.col("text"))).filter(F.col("code").rlike("@(" + "|".join(d for d, _ in DECORATORS) + r")\s*\("))
-    kind = F.coalesce(*[F.when(F.col("code").rlike(rf"@{d}\s*\("), F.lit(k)) for d, k in DECORATORS])
-    kind = F.when(kind == "service", F.coalesce(F.nullif(F.regexp_extract(base_name(F.col("path")), r"\.(guard|interceptor|store)\.ts$", 1), F.lit("")), kind)).otherwise(kind)
-    found = code.select("path", kind.alias("kind"), F.regexp_extract("code", r"\bclass\s+([A-Za-z_$][\w$]*)", 1).alias("class_name"), F.nullif(F.regexp_extract("code", r"selector\s*:\s*['\"`]([^'\"`]+)['\"`]", 1), F.lit("")).alias("selector"))
-    return found.filter("class_name <> ''").select(F.concat_ws(":", "kind", "path", "class_name").alias("unit_id"), "kind", "class_name", "selector", "path")
+    """unit_id, kind, class_name, selector, path: the first class of each file that has a unit's decorator.
+
+    Only classes outside brackets count, with the decorators before them, of which DECORATORS says the order of precedence;
+    a selector is a quoted property of the argument of Component or Directive, not of any other object.
+    """
+    classes = _unit_classes(sources).filter("class_name IS NOT NULL")
+    selectors = _decorated_properties(classes, sources, ("Component", "Directive")).filter("name = 'selector' AND kind = 'text'")
+    selectors = selectors.groupBy("path").agg(F.min_by("value", "ord").alias("selector"))
+    return classes.join(selectors, "path", "left").select(F.concat_ws(":", "kind", "path", "class_name").alias("unit_id"), "kind", "class_name", "selector", "path")
 
 
 def _each(sources: DataFrame, pattern: str, groups: dict[str, int]) -> DataFrame:
@@ -69,9 +124,52 @@ def public_api(sources: DataFrame) -> DataFrame:
     return decorated.unionByName(called).withColumn("direction", F.lower("direction"))
 
 
-def test_titles(sources: DataFrame) -> DataFrame:
-    """path, ord and title of every test case."""
-    return _each(sources, r"\b(?:it|test|xit|fit)(?:\.\w+)?\s*\(\s*(['\"`])([\s\S]*?)\1", {"title": 2})
+def _titled_calls(specs: DataFrame) -> DataFrame:
+    """path, name, ord, close, title, line, start and end of every call of a plain name with a literal first argument."""
+    tokens = _neighbours(code_tokens(specs), 2)
+    called = (F.col("kind") == "name") & (F.col("next1.value") == "(") & (F.col("next1.kind") == "sign") & F.col("next2.kind").isin("text", "plain")
+    calls = tokens.filter(called & ~F.coalesce(F.col("before").isin(".", "function", "new"), F.lit(False)))
+    ends = tokens.select("path", F.col("ord").alias("close"), F.col("end").alias("until"))
+    found = calls.select("path", F.col("value").alias("name"), "ord", F.col("next1.close").alias("close"), F.col("next2.value").alias("title"), "line", "start")
+    # a call that never closes goes on to the end of its source
+    return found.join(ends, ["path", "close"], "left").withColumn("close", F.coalesce("close", F.lit(2**31 - 1)))
+
+
+def test_titles(specs: DataFrame) -> DataFrame:
+    """path, ord and title of every test case that has a literal title, also those that are skipped or focused."""
+    cases = _titled_calls(specs).filter(F.col("name").isin("it", "test", "xit", "fit"))
+    members = _neighbours(code_tokens(specs), 4).filter("kind = 'name' AND value IN ('it', 'test') AND next1.value = '.' AND next2.kind = 'name' AND next3.value = '(' AND next4.kind IN ('text', 'plain')")
+    both = cases.select("path", "ord", "title").unionByName(members.select("path", "ord", F.col("next4.value").alias("title")))
+    order = Window.partitionBy("path").orderBy("ord")
+    return both.withColumn("ord", F.row_number().over(order) - 1)
+
+
+def test_cases(specs: DataFrame, members: DataFrame, dependencies: DataFrame) -> DataFrame:
+    """path, id, suite_path, title, line, targets and mocks of every `it` with a literal title, numbered in order of place.
+
+    A case's suites are the calls of `describe` whose brackets hold it, outermost first; a case inside another one isn't
+    one. targets are the ids of the `members` (path, name, id) whose name is a word of the case's text, mocks the
+    `dependencies` (path, name) likewise, whatever the case of letters; both sorted. Words join by equality: no name is
+    compared with every text.
+    """
+    calls = _titled_calls(specs)
+    suites = calls.filter("name = 'describe'").select("path", F.col("ord").alias("s_ord"), F.col("close").alias("s_close"), F.col("title").alias("suite"))
+    its = calls.filter("name = 'it'")
+    outer = its.select("path", F.col("ord").alias("o_ord"), F.col("close").alias("o_close"))
+    within = lambda ord_, close: (F.col("ord") > F.col(ord_)) & (F.col("ord") < F.col(close))
+    inside = its.join(outer, "path").filter(within("o_ord", "o_close")).select("path", "ord").distinct()
+    cases = its.join(inside, ["path", "ord"], "left_anti")
+    held = cases.join(suites, "path").filter(within("s_ord", "s_close")).groupBy("path", "ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("s_ord", "suite"))), lambda s: s["suite"]).alias("suite_path"))
+    texts = cases.join(specs.select("path", "text"), "path").select("path", "ord", F.expr("substring(text, start + 1, coalesce(until, length(text)) - start)").alias("body"))
+    # ASCII words and the letters that a name may have, as the pattern's word ends see them
+    words = texts.select("path", "ord", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(r"([A-Za-z0-9_]+)"), F.lit(1)))).alias("word"))
+    targets = words.join(members.select("path", F.col("name").alias("word"), "id"), ["path", "word"]).groupBy("path", "ord").agg(F.array_sort(F.collect_set("id")).alias("targets"))
+    small = words.select("path", "ord", F.lower("word").alias("word")).distinct()
+    mocks = small.join(dependencies.select("path", F.lower("name").alias("word"), "name"), ["path", "word"]).groupBy("path", "ord").agg(F.array_sort(F.collect_set(F.concat(F.lit("dep:"), "name"))).alias("mocks"))
+    rows = cases.join(held, ["path", "ord"], "left").join(targets, ["path", "ord"], "left").join(mocks, ["path", "ord"], "left")
+    number = F.row_number().over(Window.partitionBy("path").orderBy("ord"))
+    none = F.expr("cast(array() as array<string>)")
+    return rows.select("path", F.concat(F.lit("test:"), number.cast("string")).alias("id"), *[F.coalesce(c, none).alias(c) for c in ("suite_path", "targets", "mocks")], "title", "line")
 
 
 def element_selectors(found: DataFrame) -> DataFrame:
@@ -85,28 +183,28 @@ def route_paths(sources: DataFrame) -> DataFrame:
 
 
 def declared_templates(sources: DataFrame) -> DataFrame:
-    """path, kind and what the component's decorator says of its template.
+    """path, kind and what the unit's component decorator says of its template.
 
-    kind is absent (no component), none, inline (template has the text, start_line its first line from 0) or external
-    (url has the file).
+    kind is absent (the unit is no component), none, inline (template has the text, start_line its first line from 0) or
+    external (url has the file). The first property that says so counts: `template` with a literal without
+    substitutions, or `templateUrl` with a quoted one. Comments and other objects say nothing.
     """
-    code = F.col("text")
-    quoted = r"\s*:\s*(?:'([^']*)'|\"([^\"]*)\"|`([^`]*)`)"
-    found = lambda name: F.coalesce(*[F.nullif(F.regexp_extract(code, rf"\b{name}{quoted}", g), F.lit("")) for g in (1, 2, 3)])
-    before = F.regexp_extract(code, r"(?s)^(.*?)\btemplate\s*:", 1)
-    kind = F.when(~code.rlike(r"@Component\s*\("), "absent").when(code.rlike(rf"\btemplate{quoted}"), "inline").when(code.rlike(rf"\btemplateUrl{quoted}"), "external").otherwise("none")
-    line = F.when(kind == "inline", F.regexp_count(before, F.lit("\n"))).cast("bigint")
-    return sources.select("path", kind.alias("kind"), F.when(kind == "inline", found("template")).alias("template"), F.when(kind == "external", found("templateUrl")).alias("url"), line.alias("start_line"))
+    classes = _unit_classes(sources).filter("kind = 'component'")
+    said = _decorated_properties(classes, sources, ("Component",)).filter("name = 'template' OR (name = 'templateUrl' AND kind = 'text')")
+    first = said.groupBy("path").agg(F.min_by(F.struct("name", "value", "line"), "ord").alias("p"))
+    rows = sources.select("path").join(classes.select("path", F.lit(True).alias("component")), "path", "left").join(first, "path", "left")
+    kind = F.when(F.col("component").isNull(), "absent").when(F.col("p").isNull(), "none").when(F.col("p.name") == "template", "inline").otherwise("external")
+    inline, external = kind == "inline", kind == "external"
+    return rows.select("path", kind.alias("kind"), F.when(inline, F.col("p.value")).alias("template"), F.when(external, F.col("p.value")).alias("url"), F.when(inline, F.col("p.line")).cast("bigint").alias("start_line"))
 
 
 def read_templates(declared: DataFrame, files: DataFrame) -> DataFrame:
     """path, template and status of every declared template, with external ones from `files` (path, text).
 
-    A declared file that is not there gives an empty text and the status `template-not-found`. Urls are taken relative
-    to the source's folder, without parent steps.
+    Urls are seen from the source's folder, with `.` and `..` folded. A declared file that is not there gives an empty text
+    and the status `template-not-found`; so does one above a relative root, which no file can have.
     """
-    folder = F.regexp_extract("path", "^(.*/)?[^/]*$", 1)
-    asked = declared.withColumn("file", F.when(F.col("kind") == "external", F.concat(folder, F.regexp_replace("url", r"^\./", ""))))
+    asked = declared.withColumn("file", F.when(F.col("kind") == "external", joined_path(dir_name(F.col("path")), F.col("url"))))
     there = files.select(F.col("path").alias("file"), F.col("text").alias("_text"))
     status = F.when((F.col("kind") == "external") & F.col("_text").isNull(), "template-not-found").otherwise(F.col("kind"))
     return asked.join(there, "file", "left").select("path", F.coalesce("template", "_text", F.lit("")).alias("template"), status.alias("status"))
