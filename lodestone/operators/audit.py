@@ -56,3 +56,26 @@ def validation_totals(checked: DataFrame) -> DataFrame:
     total = lambda status: F.count(F.when(F.col("status") == status, 1))
     found = checked.agg(F.count(F.when(F.col("status").isin("ok", "failed"), 1)).alias("checked"), total("failed").alias("failed"), total("skipped").alias("skipped"), total("legacy").alias("legacy"))
     return found.withColumn("passed", (F.col("checked") > 0) & (F.col("failed") == 0))
+
+
+def run_record(results: DataFrame, questions: DataFrame, risks: DataFrame) -> DataFrame:
+    """One row that sums up a run: units, by_status and by_tier (maps of counts), blocking, non_blocking, risks (by severity) and elapsed_ms.
+
+    `results` has unit, status, tier and elapsed_ms; `questions` (unit, blocking) and `risks` (unit, severity) count for
+    completed units alone. Risks without a severity are low; other names than high, medium and low are not counted.
+    Nulls of tier are left out. Groups are few: their counts, not their units, meet in one row.
+    """
+    done = results.filter("status = 'completed'").select("unit").distinct()
+    counted = lambda rows, name: rows.filter(F.col(name).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    as_map = lambda rows, out: rows.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "n")))).alias(out))
+    severity = F.coalesce(F.lower("severity"), F.lit("low"))
+    known = risks.join(done, "unit").select(severity.alias("severity")).filter(F.col("severity").isin("high", "low", "medium"))
+    asked = questions.join(done, "unit").agg(F.count(F.when(F.col("blocking"), 1)).alias("blocking"), F.count(F.when(~F.coalesce("blocking", F.lit(False)), 1)).alias("non_blocking"))
+    whole = results.agg(F.count(F.lit(1)).alias("units"), F.coalesce(F.sum("elapsed_ms"), F.lit(0)).alias("elapsed_ms"))
+    one = [whole, as_map(counted(results, "status"), "by_status"), as_map(counted(results, "tier"), "by_tier"), asked, as_map(counted(known, "severity"), "risks")]
+    # each has one row, which the same number joins
+    rows = [df.withColumn("_one", F.lit(1)) for df in one]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.join(more, "_one")
+    return out.drop("_one")

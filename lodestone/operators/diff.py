@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,25 @@ def golden_diff(expected: DataFrame, actual: DataFrame, keys: list[str], value:
     return both.withColumn("status", status).filter(F.col("_a").isNull() | F.col("_e").isNull() | ~F.col("expected").eqNullSafe(F.col("actual"))).select(*keys, "expected", "actual", "status")
 
 
+# Fixed values of the documents: what differs between any two runs: everything below some properties, properties whose
+# names begin so, and properties where they end a path.
+VOLATILE_BELOW = ("files", "manifest", "provenance")
+VOLATILE_BEGINNINGS = ("warnings",)
+VOLATILE_ENDS = ("generatedAt", "inputHash", "loc.file", "resolverVersion", "templateFile", "unit.id", "unit.path", "unitId")
+
+
+def volatile(path: Column) -> Column:
+    """Whether a path of a leaf (names joined by dots, positions in brackets) says nothing about what was found."""
+    names = lambda some: "|".join(n.replace(".", r"\.") for n in some)
+    return path.rlike(rf"\.({names(VOLATILE_BELOW)})(\.|\[)|\.({names(VOLATILE_BEGINNINGS)})|\.({names(VOLATILE_ENDS)})$")
+
+
+def stable_diff(expected: DataFrame, actual: DataFrame, key: str) -> DataFrame:
+    """`golden_diff` of leaves (key, path, leaf) whose paths aren't `volatile`; names match below the top alone, which a run's own record has."""
+    stable = lambda leaves: leaves.filter(~volatile(F.col("path")))
+    return golden_diff(stable(expected), stable(actual), [key, "path"], "leaf")
+
+
 def pair_equivalence(projections: DataFrame, pairs: DataFrame, may_differ: DataFrame) -> DataFrame:
     """For each pair (left, right) and projection name whether both sides have the same value.
 

@@ -40,6 +40,27 @@ def nearest_ancestor(rows: DataFrame, key: str, path: str, marked: DataFrame, ou
     return rows.join(found, key, "left")
 
 
+# Fixed values of manifests: the dependencies that tell a version, best first.
+VERSION_KEYS = (("dependencies", "@angular/core"), ("devDependencies", "@angular/core"), ("dependencies", "@angular/compiler"), ("devDependencies", "@angular/compiler"))
+
+
+def declared_versions(manifests: DataFrame) -> DataFrame:
+    """prefix (a folder) and version of the manifests (path, text) that declare one, by the first of VERSION_KEYS that they have.
+
+    Broken manifests and those without any of them claim nothing.
+    """
+    document = F.from_json("text", "dependencies map<string, string>, devDependencies map<string, string>")
+    version = F.coalesce(*[F.nullif(F.element_at(document.getField(part), name), F.lit("")) for part, name in VERSION_KEYS])
+    return manifests.select(F.regexp_extract("path", "^(?:(.*)/)?[^/]*$", 1).alias("prefix"), version.alias("version")).filter("version IS NOT NULL")
+
+
+def nearest_versions(rows: DataFrame, key: str, path: str, manifests: DataFrame) -> DataFrame:
+    """key and version of the nearest folder above each path whose manifest declares one; null without any."""
+    declared = declared_versions(manifests)
+    found = nearest_ancestor(rows, key, path, declared, "prefix")
+    return found.join(declared, "prefix", "left").select(key, "version")
+
+
 def located(sources: list[DataFrame], key: str, value: str) -> DataFrame:
     """One row per key: `value` from the first of `sources` that has the key."""
     ranked = [s.select(key, F.col(value), F.lit(i).alias("_source")) for i, s in enumerate(sources)]

@@ -9,13 +9,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestone.functions.text import code_only
+from lodestone.sources.tokens import code_only
 
 # Fixed values of the analysed framework: names that requests, navigations, hooks, timers and stores have.
 HTTP_VERBS = ("get", "post", "put", "patch", "delete")
 NAVIGATIONS = ("navigate", "navigateByUrl")
 ROUTE_READS = ("queryParams", "params", "data")
 HOOKS = ("ngOnInit", "ngOnDestroy", "ngOnChanges", "ngDoCheck", "ngAfterContentInit", "ngAfterContentChecked", "ngAfterViewInit", "ngAfterViewChecked")
+#: Tokens that come with the framework, by what they serve; all others are a project's own.
+FRAMEWORK_TOKENS = {
+    "requests": ("HttpClient", "HttpHeaders", "HttpParams"),
+    "routing": ("ActivatedRoute", "ActivatedRouteSnapshot", "Router"),
+    "views": ("ChangeDetectorRef", "DestroyRef", "ElementRef", "Injector", "NgZone", "Renderer2", "TemplateRef", "ViewContainerRef"),
+    "forms": ("FormBuilder", "NonNullableFormBuilder", "UntypedFormBuilder"),
+}
 DOM_ROOTS = ("document", "window")
 STORES = ("localStorage", "sessionStorage")
 TIMERS = ("setTimeout", "setInterval", "requestAnimationFrame")
@@ -24,6 +31,12 @@ PER_STREAM = {"ngOnDestroy-unsubscribe": "Subscription.unsubscribe", "takeUntilD
 TEST_FRAMEWORKS = (("jest", "jest"), ("jasmine", "jasmine-karma"), ("vitest", "vitest"))
 
 
+def token_origin(token: Column) -> Column:
+    """`angular` for a token that comes with the framework, whole names alone, else `internal`; null for a null token."""
+    known = [name for names in FRAMEWORK_TOKENS.values() for name in names]
+    return F.when(token.isin(*known), "angular").when(token.isNotNull(), "internal")
+
+
 def calls_with_token(calls: DataFrame, deps: DataFrame) -> DataFrame:
     """Calls on injected dependencies, with the token of each."""
     return calls.join(deps.withColumnRenamed("property", "owner"), ["unit", "owner"])
@@ -82,16 +95,33 @@ def public_methods(methods: DataFrame) -> DataFrame:
     return methods.filter((F.col("visibility") == "public") & ~F.col("name").isin(*HOOKS))
 
 
+#: What a source says when it ends its streams: a call of `name` as a member, a plain use of `name`, a call of `inject` for
+#: `name` with or without type arguments, and a template pipe of `name`, whatever white space stands between.
+def _member_call(name: str) -> str:
+    return rf"\.\s*{name}\s*\("
+
+
+def _injected(name: str) -> str:
+    return rf"\binject\s*(?:<[^()]*>)?\s*\(\s*{name}\b"
+
+
+def _piped(name: str) -> str:
+    return rf"(?<!\|)\|(?!\|)\s*{name}\b"
+
+
 def cleanup_strategy(destroys: Column, body: Column, template: Column) -> Column:
-    """How a unit cleans up, by the first of the rules that fits; `destroys` says whether it has the destroy hook."""
-    manual = F.when(F.contains(body, F.lit(".unsubscribe()")), "ngOnDestroy-unsubscribe").otherwise("none")
-    return (
-        F.when(destroys, manual)
-        .when(F.contains(body, F.lit("takeUntilDestroyed")), "takeUntilDestroyed")
-        .when(body.rlike(r"inject\(\s*DestroyRef\s*\)"), "DestroyRef")
-        .when(F.coalesce(template.rlike(r"\|\s*async"), F.lit(False)), "async-pipe-only")
-        .otherwise("none")
+    """How a unit cleans up; `destroys` says whether it has the destroy hook.
+
+    A unit with the hook ends its streams there or not at all. Of the others, the first that holds: a stream that ends with
+    the unit by `takeUntilDestroyed`, an injected `DestroyRef`, streams that only the template reads.
+    """
+    ways = (
+        ("takeUntilDestroyed", ~destroys & body.rlike(r"\btakeUntilDestroyed\b")),
+        ("DestroyRef", ~destroys & body.rlike(_injected("DestroyRef"))),
+        ("async-pipe-only", ~destroys & template.rlike(_piped("async"))),
+        ("ngOnDestroy-unsubscribe", destroys & body.rlike(_member_call("unsubscribe"))),
     )
+    return F.coalesce(*[F.when(holds, F.lit(name)) for name, holds in ways], F.lit("none"))
 
 
 def stream_strategy(cleanup: Column) -> Column:

@@ -1,63 +1,147 @@
-"""Order-free views of a unit's tier documents, so that units written in different ways can be compared."""
+"""Views of units' tier documents that do not depend on order, so that units written in different ways can be compared.
+
+A view is a list of items at a place in one tier's document. Items are maps of the fields that matter; equal items are
+counted, so that two units agree in a view if they have the same items equally often.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The part of each tier's document that projections read.
-SHAPES = {
-    "signature": "publicApi struct<inputs array<struct<name string, required boolean, alias string>>, outputs array<struct<name string, payloadType string>>, twoWayBindings array<struct<name string>>, publicMethods array<string>>, "
-    "injectedDependencies array<struct<propertyName string, token string, visibility string, modifiers map<string, boolean>>>, lifecycle struct<implementedHooks array<string>>, stateOutline struct<fields array<struct<name string, visibility string>>>",
-    "dependencies": "callGraph struct<calls map<string, array<string>>, unreachableMethods array<string>>, fieldAccess struct<writes map<string, array<string>>>",
-    "functions": "forms struct<approach string, groups array<struct<controls array<struct<path string, syncValidators array<string>, disabledExpression string>>>>>, symbols map<string, struct<ast struct<subscriptions array<struct<unsubscribeStrategy string>>>>>, tests struct<cases array<struct<title string>>>",
-    "template": "ast struct<controlFlow array<struct<construct string, trackBy string>>, eventBindings array<struct<event string, handlerMethod string>>, pipesUsed array<struct<name string>>, elements array<struct<tag string>>>",
+# Fixed values of the analysed framework: the constructs of templates by what they do.
+CONSTRUCTS = {
+    "conditional": ("*ngIf", "@if"),
+    "defer": ("@defer",),
+    "loop": ("*ngFor", "@for"),
+    "switch": ("@switch", "ngSwitch"),
 }
-
-# Fixed values of the analysed framework: constructs that ask the same question, and the branches of constructs.
-PRIMARY = {"@if": "conditional", "*ngIf": "conditional", "@for": "loop", "*ngFor": "loop", "@switch": "switch", "ngSwitch": "switch", "@defer": "defer"}
-BRANCHES = {"@else": "else", "@else if": "else", "@case": "case", "*ngSwitchCase": "case", "@default": "default", "*ngSwitchDefault": "default", "@empty": "empty"}
-
-
-def _classes(names: dict[str, str]) -> str:
-    """SQL: the class of each control flow construct, repeated as often as it occurs; others are left out."""
-    pairs = ", ".join(f"'{construct}', '{kind}'" for construct, kind in names.items())
-    return f"filter(transform(template.ast.controlFlow, c -> element_at(map({pairs}), c.construct)), k -> k IS NOT NULL)"
-
-
-#: Name of a projection and the SQL of its values over the tiers' columns. Null lists count as empty.
-PROJECTIONS = {
-    "inputs": "transform(signature.publicApi.inputs, i -> concat_ws(' ', i.name, if(coalesce(i.required, false), 'required', 'optional'), coalesce(i.alias, '-')))",
-    "outputs": "transform(signature.publicApi.outputs, o -> concat(o.name, ':', coalesce(o.payloadType, '-')))",
-    "twoWay": "signature.publicApi.twoWayBindings.name",
-    "publicMethods": "signature.publicApi.publicMethods",
-    "deps": "transform(signature.injectedDependencies, d -> concat_ws(' ', concat(d.propertyName, ':', d.token), d.visibility, array_join(array_sort(map_keys(map_filter(coalesce(d.modifiers, map()), (k, v) -> v))), ',')))",
-    "lifecycleHooks": "signature.lifecycle.implementedHooks",
-    "fields": "transform(signature.stateOutline.fields, f -> concat_ws(' ', f.name, f.visibility))",
-    "callEdges": "flatten(transform(map_entries(dependencies.callGraph.calls), e -> coalesce(transform(e.value, t -> concat(e.key, ' -> ', t)), array())))",
-    "fieldWrites": "flatten(transform(map_entries(dependencies.fieldAccess.writes), e -> coalesce(transform(e.value, t -> concat(e.key, ' writes ', t)), array())))",
-    "unreachable": "dependencies.callGraph.unreachableMethods",
-    "controlFlowPrimary": _classes(PRIMARY),
-    "controlFlowBranches": _classes(BRANCHES),
-    "loopTracking": "transform(filter(template.ast.controlFlow, c -> contains(lower(c.construct), 'for')), c -> if(coalesce(c.trackBy, '') = '', 'untracked', 'tracked'))",
-    "templateHandlers": "transform(template.ast.eventBindings, e -> concat(e.event, ' -> ', coalesce(e.handlerMethod, '?')))",
-    "pipes": "template.ast.pipesUsed.name",
-    "elementTags": "template.ast.elements.tag",
-    "formApproach": "array(coalesce(functions.forms.approach, 'none'))",
-    "formConstraints": "flatten(transform(functions.forms.groups, g -> coalesce(transform(g.controls, c -> concat(c.path, ' [', array_join(coalesce(c.syncValidators, array()), ','), ']', if(coalesce(c.disabledExpression, '') = '', '', ' disabled'))), array())))",
-    "leakRisk": "flatten(transform(map_values(functions.symbols), s -> coalesce(transform(s.ast.subscriptions, x -> if(coalesce(x.unsubscribeStrategy, 'none') = 'none', 'possible', 'none')), array())))",
-    "testTitles": "functions.tests.cases.title",
+# Fixed values of the analysed framework: the parts of constructs.
+BRANCHES = {
+    "case": ("*ngSwitchCase", "@case"),
+    "default": ("*ngSwitchDefault", "@default"),
+    "else": ("@else", "@else if"),
+    "empty": ("@empty",),
 }
 
 
-def projections(tiers: DataFrame) -> DataFrame:
-    """unit, name and value (a sorted list as one text) of every projection, from tiers (unit, tier, text).
+@dataclass(frozen=True)
+class View:
+    """Where items are and what of them is compared.
+
+    `place` leads to a list, or to lists in lists (`[]`) or to all values of a map (`{}`). `fields` are kept of each item,
+    with what stands for a field that isn't there; without fields an item is a text. `links` says that the place has a map
+    of lists, whose items are pairs. `flags` are kept as whether they say anything but the given text, `sets` as their
+    sorted members or, of a map, the names that are true. `classes` keeps the class of the field `construct` and drops
+    items that have none. An item of which a field says `nothing` is none.
+    """
+
+    tier: str
+    place: str
+    fields: dict[str, str] = field(default_factory=dict)
+    links: bool = False
+    flags: dict[str, str] = field(default_factory=dict)
+    sets: tuple[str, ...] = ()
+    classes: dict[str, tuple[str, ...]] | None = None
+    nothing: str | None = None
+
+
+#: The names are those that manifests of pairs use.
+VIEWS = {
+    "inputs": View("signature", "publicApi.inputs[]", {"name": "", "required": "false", "alias": "-"}),
+    "outputs": View("signature", "publicApi.outputs[]", {"name": "", "payloadType": "-"}),
+    "twoWay": View("signature", "publicApi.twoWayBindings[]", {"name": ""}),
+    "publicMethods": View("signature", "publicApi.publicMethods[]"),
+    "deps": View("signature", "injectedDependencies[]", {"propertyName": "", "token": "", "visibility": "-"}, sets=("modifiers",)),
+    "lifecycleHooks": View("signature", "lifecycle.implementedHooks[]"),
+    "fields": View("signature", "stateOutline.fields[]", {"name": "", "visibility": "-"}),
+    "callEdges": View("dependencies", "callGraph.calls", links=True),
+    "fieldWrites": View("dependencies", "fieldAccess.writes", links=True),
+    "unreachable": View("dependencies", "callGraph.unreachableMethods[]"),
+    "controlFlowPrimary": View("template", "ast.controlFlow[]", classes=CONSTRUCTS),
+    "controlFlowBranches": View("template", "ast.controlFlow[]", classes=BRANCHES),
+    "loopTracking": View("template", "ast.controlFlow[]", classes={"loop": CONSTRUCTS["loop"]}, flags={"trackBy": ""}),
+    "templateHandlers": View("template", "ast.eventBindings[]", {"event": "", "handlerMethod": "?"}),
+    "pipes": View("template", "ast.pipesUsed[]", {"name": ""}),
+    "elementTags": View("template", "ast.elements[]", {"tag": ""}),
+    "formApproach": View("functions", "forms", {"approach": "none"}, nothing="none"),
+    "formConstraints": View("functions", "forms.groups[].controls[]", {"path": ""}, flags={"disabledExpression": ""}, sets=("syncValidators",)),
+    "leakRisk": View("functions", "symbols{}.ast.subscriptions[]", flags={"unsubscribeStrategy": "none"}),
+    "testTitles": View("functions", "tests.cases[]", {"title": ""}),
+}
+
 
-    Each document is parsed once, into the part that projections read; a tier that is missing or broken counts as empty.
+def _got(value: Column, path: str, kind: str) -> Column:
+    return F.try_variant_get(value, "$" + path, kind)
+
+
+def _elements(document: Column, place: str) -> Column:
+    """An array of variants: what is at a place, with the lists and maps on the way taken apart; nulls are no items."""
+    found = F.array(document)
+    for step in place.replace("[]", ".[]").replace("{}", ".{}").split("."):
+        if step == "[]":
+            found = F.flatten(F.transform(found, lambda v: F.coalesce(_got(v, "", "array<variant>"), F.array())))
+        elif step == "{}":
+            found = F.flatten(F.transform(found, lambda v: F.coalesce(F.map_values(_got(v, "", "map<string, variant>")), F.array())))
+        else:
+            path = f".{step}"
+            found = F.transform(found, lambda v: _got(v, path, "variant"))  # noqa: B023 - called at once
+        found = F.filter(found, lambda v: v.isNotNull() & ~F.is_variant_null(v))
+    return found
+
+
+def _item(view: View, value: Column) -> Column:
+    """A map of what is compared of one item."""
+    pairs = []
+    if view.classes:
+        kinds = F.create_map(*[F.lit(x) for kind, names in view.classes.items() for name in names for x in (name, kind)])
+        pairs.append(("class", F.element_at(kinds, _got(value, ".construct", "string"))))
+    pairs += [(name, F.coalesce(_got(value, f".{name}", "string"), F.lit(absent))) for name, absent in view.fields.items()]
+    pairs += [(name, (~F.coalesce(_got(value, f".{name}", "string"), F.lit(none)).isin("", none)).cast("string")) for name, none in view.flags.items()]
+    for name in view.sets:
+        true = F.map_filter(F.coalesce(_got(value, f".{name}", "map<string, boolean>"), F.expr("cast(map() as map<string, boolean>)")), lambda _, v: F.coalesce(v, F.lit(False)))
+        pairs.append((name, F.array_join(F.array_sort(F.concat(F.map_keys(true), F.coalesce(_got(value, f".{name}", "array<string>"), F.expr("cast(array() as array<string>)")))), ",")))
+    if not pairs:
+        pairs.append(("name", _got(value, "", "string")))
+    return F.map_from_arrays(F.array(*[F.lit(n) for n, _ in pairs]), F.array(*[c for _, c in pairs]))
+
+
+def _items(view: View, document: Column) -> Column:
+    if view.links:
+        held = F.coalesce(_got(document, f".{view.place}", "map<string, array<string>>"), F.expr("cast(map() as map<string, array<string>>)"))
+        pair = lambda a, b: F.map_from_arrays(F.array(F.lit("from"), F.lit("to")), F.array(a, b))
+        return F.flatten(F.transform(F.map_entries(held), lambda e: F.transform(F.coalesce(e["value"], F.array()), lambda to: pair(e["key"], to))))
+    items = F.transform(_elements(document, view.place), lambda v: _item(view, v))
+    if view.nothing is not None:
+        items = F.filter(items, lambda i: ~F.array_contains(F.map_values(i), view.nothing))
+    return F.filter(items, lambda i: i["class"].isNotNull()) if view.classes else items
+
+
+def projections(tiers: DataFrame, views: dict[str, View] | None = None) -> DataFrame:
+    """unit, name, item (a map) and n of every different item of each view, from tiers (unit, tier, text).
+
+    Each document is parsed once, and its views are taken in one pass. A tier that is missing or broken has no items; so
+    has a unit none in a view of which its document says nothing.
     """
-    parsed = tiers.groupBy("unit").agg(*[F.from_json(F.max(F.when(F.col("tier") == tier, F.col("text"))), shape).alias(tier) for tier, shape in SHAPES.items()])
-    values = [F.to_json(F.array_sort(F.filter(F.coalesce(F.expr(sql), F.expr("array()")), lambda v: v.isNotNull()))).alias(name) for name, sql in PROJECTIONS.items()]
-    return parsed.select("unit", *values).unpivot(["unit"], list(PROJECTIONS), "name", "value")
+    views = views or VIEWS
+    parsed = tiers.withColumn("document", F.try_parse_json("text")).filter("document IS NOT NULL")
+    named = lambda name, view: F.transform(_items(view, F.col("document")), lambda i: F.struct(F.lit(name).alias("name"), i.alias("item")))
+    own = lambda tier: F.flatten(F.array(*[named(name, v) for name, v in views.items() if v.tier == tier]))
+    rows = F.coalesce(*[F.when(F.col("tier") == tier, own(tier)) for tier in dict.fromkeys(v.tier for v in views.values())])
+    each = parsed.select("unit", F.inline(rows))
+    # maps can't be grouped by; their entries can
+    counted = each.groupBy("unit", "name", F.map_entries("item").alias("entries")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("unit", "name", F.map_from_entries("entries").alias("item"), "n")
+
+
+def view_values(items: DataFrame, units: DataFrame, views: dict[str, View] | None = None) -> DataFrame:
+    """unit, name and value for every one of `units` (unit) and every view: its items with their numbers, sorted, as one JSON text."""
+    value = F.to_json(F.array_sort(F.collect_list(F.struct(F.map_entries("item").alias("item"), "n"))))
+    whole = items.groupBy("unit", "name").agg(value.alias("value"))
+    names = F.explode(F.array(*[F.lit(n) for n in views or VIEWS])).alias("name")
+    return units.select("unit").distinct().select("unit", names).join(whole, ["unit", "name"], "left").withColumn("value", F.coalesce("value", F.lit("[]")))
 
 
 def declared_pairs(manifest: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.functions.text import folded_path, relative_path
 from lodestone.operators import diff, lookup, predicates, projections, query_verbs, rendering
 from lodestone.plans.table_lane import read_table
 from lodestone.sources import tier_files, units
@@ -40,21 +41,38 @@ def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "part").select(F.expr(_PATH).alias("path"), F.expr(_TEXT).alias("text"))
 
 
+#: Sources of many shapes: comments and other objects that look like decorators, helper classes, two units in one file.
+_SHAPED_PATH = "concat('src/', p_brand, '/p', p_partkey, CASE p_partkey % 6 WHEN 0 THEN '.component.ts' WHEN 1 THEN '.guard.ts' WHEN 2 THEN '.interceptor.ts' WHEN 3 THEN '.resolver.ts' ELSE '.ts' END)"
+_SHAPED_TEXT = """concat('// @Component({ selector: "no", template: "no" }) class No {}', chr(10),
+CASE p_size % 2 WHEN 0 THEN concat('class Helper { selector = "h"; m() { return { selector: "x" }; } }', chr(10)) ELSE '' END,
+CASE p_size % 3 WHEN 0 THEN concat('const o = { selector: "other", template: `t ${ a({ b: 1 }) } t` };', chr(10)) ELSE '' END,
+CASE p_partkey % 5 WHEN 0 THEN '@Component' WHEN 1 THEN '@Directive' WHEN 2 THEN '@NgModule' WHEN 3 THEN '@Injectable' ELSE concat('@Other', chr(10), '@Pipe') END,
+'({ /* template: "gone" */ providers: [{ selector: "deep" }], ', CASE p_size % 4 WHEN 0 THEN 'selector: "a" + "b", ' ELSE concat('selector: "app-', p_partkey, '", ') END,
+CASE p_size % 5 WHEN 0 THEN concat('template: `<p>', p_name, '</p>`') WHEN 1 THEN concat('templateUrl: "../t/', p_type, '.html"') WHEN 2 THEN concat('templateUrl: "./x/.././', p_type, '.html"') WHEN 3 THEN concat(chr(10), 'template: "it', chr(39), 's ', chr(92), '"', p_size, chr(92), '""') ELSE 'template: start + "end"' END, ' })', chr(10),
+'export abstract class P', p_partkey, ' { @Input() x = "}"; }', chr(10),
+CASE p_partkey % 7 WHEN 0 THEN concat('@Component({ selector: "second", template: "second" })', chr(10), 'export class Second {}') ELSE '' END)"""
+
+
+def _shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "part").select(F.expr(_SHAPED_PATH).alias("path"), F.expr(_SHAPED_TEXT).alias("text"))
+
+
 _UNITS = f"""SELECT kind || ':' || path || ':P' || p_partkey AS unit_id, kind, 'P' || p_partkey AS class_name, selector, path
-FROM (SELECT p_partkey, {_PATH} AS path, CASE p_partkey % 4 WHEN 0 THEN 'component' WHEN 1 THEN 'directive' WHEN 2 THEN 'module' ELSE 'guard' END AS kind,
-CASE p_partkey % 3 WHEN 0 THEN '[p]' WHEN 1 THEN 'app-' || p_partkey END AS selector FROM part)"""
+FROM (SELECT p_partkey, {_SHAPED_PATH} AS path, CASE p_partkey % 5 WHEN 0 THEN 'component' WHEN 1 THEN 'directive' WHEN 2 THEN 'module' WHEN 4 THEN 'pipe'
+  ELSE CASE p_partkey % 6 WHEN 1 THEN 'guard' WHEN 2 THEN 'interceptor' WHEN 3 THEN 'route-resolver' ELSE 'service' END END AS kind,
+CASE WHEN p_partkey % 5 < 2 AND p_size % 4 <> 0 THEN 'app-' || p_partkey END AS selector FROM part)"""
 
 
 @_query(_UNITS)
 def unit_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The unit of each source: the kind of its decorator or file name, class and selector."""
-    return units.units(_sources(spark, sf_dir))
+    return units.units(_shaped(spark, sf_dir))
 
 
 @_query(f"SELECT unit_id, selector, selector LIKE 'app-%' AS is_element FROM ({_UNITS}) WHERE selector IS NOT NULL")
 def element_selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Selectors, those of elements and those that are only reported."""
-    return units.element_selectors(units.units(_sources(spark, sf_dir))).select("unit_id", "selector", "is_element")
+    return units.element_selectors(units.units(_shaped(spark, sf_dir))).select("unit_id", "selector", "is_element")
 
 
 @_query(f"""SELECT {_PATH} AS path, module, kind AS "group", CASE WHEN kind = 'thirdParty' THEN 'lib-x' END AS package, module = './p' AS relative
@@ -70,23 +88,63 @@ def route_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return units.route_paths(_sources(spark, sf_dir))
 
 
-_TEMPLATES = f"""SELECT {_PATH} AS path, CASE WHEN p_partkey % 4 <> 0 THEN 'absent' WHEN p_size % 3 = 0 THEN 'inline' WHEN p_size % 3 = 1 THEN 'external' ELSE 'none' END AS kind,
-CASE WHEN kind = 'inline' THEN '<p>' || p_name || CASE WHEN p_size % 2 = 0 THEN ' | async' ELSE '' END || '</p>' END AS template, CASE WHEN kind = 'external' THEN './' || p_type || '.html' END AS url, CASE WHEN kind = 'inline' THEN 3 END AS start_line, p_partkey, p_brand, p_type FROM part"""
+_TEMPLATES = f"""SELECT {_SHAPED_PATH} AS path, p_brand, p_type, CASE WHEN p_partkey % 5 <> 0 THEN 'absent' WHEN p_size % 5 IN (0, 3) THEN 'inline' WHEN p_size % 5 = 4 THEN 'none' ELSE 'external' END AS kind,
+CASE WHEN kind = 'inline' THEN CASE p_size % 5 WHEN 0 THEN '<p>' || p_name || '</p>' ELSE 'it''s "' || p_size || '"' END END AS template,
+CASE WHEN kind = 'external' THEN CASE p_size % 5 WHEN 1 THEN '../t/' ELSE './x/.././' END || p_type || '.html' END AS url,
+CASE WHEN kind = 'inline' THEN 1 + (p_size % 2 = 0)::INT + (p_size % 3 = 0)::INT + (p_size % 5 = 3)::INT END AS start_line,
+CASE WHEN kind = 'external' THEN CASE p_size % 5 WHEN 1 THEN 't' ELSE p_brand END END AS folder FROM part"""
 
 
-@_query(f"SELECT path, kind, template, url, start_line FROM ({_TEMPLATES})")
+@_query(f"SELECT path, kind, template, url, start_line::BIGINT AS start_line FROM ({_TEMPLATES})")
 def declared_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC03: what each component's decorator says of its template, with the first line of an inline one."""
-    return units.declared_templates(_sources(spark, sf_dir))
+    return units.declared_templates(_shaped(spark, sf_dir))
 
 
-@_query(f"""SELECT path, CASE kind WHEN 'inline' THEN template WHEN 'external' THEN CASE WHEN p_brand LIKE '%2' THEN '' ELSE '<i>' || p_type || '</i>' END ELSE '' END AS template,
-CASE WHEN kind = 'external' AND p_brand LIKE '%2' THEN 'template-not-found' ELSE kind END AS status FROM ({_TEMPLATES})""")
+@_query(f"""SELECT path, CASE kind WHEN 'inline' THEN template WHEN 'external' THEN CASE WHEN folder LIKE '%2' THEN '' ELSE '<i>' || folder || p_type || '</i>' END ELSE '' END AS template,
+CASE WHEN kind = 'external' AND folder LIKE '%2' THEN 'template-not-found' ELSE kind END AS status FROM ({_TEMPLATES})""")
 def read_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC04, SRC05: templates as read from their files; those that are missing are reported and empty."""
-    sources = _sources(spark, sf_dir)
-    files = read_table(spark, sf_dir, "part").filter("p_brand NOT LIKE '%2'").select(F.expr("concat('src/', p_brand, '/', p_type, '.html')").alias("path"), F.expr("concat('<i>', p_type, '</i>')").alias("text")).distinct()
-    return units.read_templates(units.declared_templates(sources), files)
+    """SRC04, SRC05: templates as read from their files, also those of other folders; those that are missing are reported and empty."""
+    parts = read_table(spark, sf_dir, "part")
+    each = parts.select("p_type", F.explode(F.array("p_brand", F.lit("t"))).alias("folder")).filter("folder NOT LIKE '%2'").distinct()
+    files = each.select(F.expr("concat('src/', folder, '/', p_type, '.html')").alias("path"), F.expr("concat('<i>', folder, p_type, '</i>')").alias("text"))
+    return units.read_templates(units.declared_templates(_shaped(spark, sf_dir)), files)
+
+
+_SUITES = """concat('import x from "it"; // it("no", f)', chr(10), 'describe("outer ', p_partkey, '", () => {', chr(10),
+'  it("works ', p_size, '", () => { expect(comp.load).toBe(svc); /* save */ });', chr(10),
+CASE p_partkey % 3 WHEN 0 THEN '  describe(`inner`, function () { it("deep", () => { HTTP_svc(); $save(); it("held", () => load()); }); describe("innermost", () => { it("last", () => { reload() }) }) });' WHEN 1 THEN '  x.describe("no", () => { it("direct", () => Svc) });' ELSE '' END, chr(10),
+'  it(title, () => 0); it.skip("skipped", f); function it(a) {} });', chr(10), CASE p_size % 2 WHEN 0 THEN concat('it("top', chr(10), '", () => load(/', chr(92), ')"/, `${ save }`));') ELSE '' END)"""
+_CASES = """SELECT p_partkey, 1 AS place, ['outer ' || p_partkey] AS suite, 'works ' || p_size AS title, ['field:save', 'method:load'] AS targets, ['dep:Svc'] AS mocks, 2 AS line FROM part
+UNION ALL SELECT p_partkey, 2, ['outer ' || p_partkey, 'inner'], 'deep', ['field:save', 'method:load'], ['dep:http_svc'], 3 FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, 3, ['outer ' || p_partkey, 'inner', 'innermost'], 'last', [], [], 3 FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT p_partkey, 2, ['outer ' || p_partkey], 'direct', [], ['dep:Svc'], 3 FROM part WHERE p_partkey % 3 = 1
+UNION ALL SELECT p_partkey, 9, [], 'top' || chr(10), ['field:save', 'method:load'], [], 5 FROM part WHERE p_size % 2 = 0"""
+
+
+@_query(f"""SELECT p_partkey, 'test:' || row_number() OVER (PARTITION BY p_partkey ORDER BY place) AS id, array_to_string(suite, ' / ') AS suites, title,
+array_to_string(targets, ' ') AS targets, array_to_string(mocks, ' ') AS mocks, line::BIGINT AS line FROM ({_CASES})""")
+def test_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cases of each spec with their suites, and the members and dependencies that their texts name."""
+    parts = read_table(spark, sf_dir, "part")
+    specs = parts.select(F.col("p_partkey").cast("string").alias("path"), F.expr(_SUITES).alias("text"))
+    named = lambda rows, *c: parts.select(F.col("p_partkey").cast("string").alias("path"), F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, c, strict=True)]) for r in rows])))
+    cases = units.test_cases(specs, named([("load", "method:load"), ("save", "field:save"), ("size", "field:size")], "name", "id"), named([("Svc",), ("http_svc",)], "name"))
+    joined = lambda c, by: F.array_join(c, by).alias(c if c != "suite_path" else "suites")
+    return cases.select(F.col("path").cast("bigint").alias("p_partkey"), "id", joined("suite_path", " / "), "title", joined("targets", " "), joined("mocks", " "), F.col("line").cast("bigint").alias("line"))
+
+
+@_query("""WITH p AS (SELECT p_partkey, p_size % 4 AS up, p_size % 3 AS down, p_brand AS b, p_type AS t FROM part)
+SELECT p_partkey, CASE up WHEN 0 THEN 'src/' || b || '/a/' || t WHEN 1 THEN 'src/' || b || '/' || t WHEN 2 THEN 'src/' || t ELSE t END AS folded,
+CASE WHEN up = 3 THEN '../' || t WHEN up = 2 THEN t ELSE b || CASE WHEN up = 0 THEN '/a/' ELSE '/' END || t END AS from_src,
+repeat('../', CASE WHEN up = 3 THEN down + 1 WHEN up = 2 THEN down ELSE greatest(down - 1, 0) END::INT) || CASE WHEN up < 2 AND down = 0 THEN b || '/' ELSE '' END || CASE WHEN up = 0 THEN 'a/' WHEN up = 3 THEN '' ELSE '' END || t AS from_deep FROM p""")
+def folded_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR08: paths with their steps folded, as seen from a folder, and from there back."""
+    up = "repeat('../', CAST(p_size % 4 AS INT))"
+    path = F.expr(f"concat('./src//', p_brand, '/./a/', {up}, p_type)")
+    deep = F.expr("concat('src', CASE p_size % 3 WHEN 0 THEN '' WHEN 1 THEN concat('/', p_brand) ELSE concat('/', p_brand, '/z/../y') END)")
+    rows = read_table(spark, sf_dir, "part")
+    return rows.select("p_partkey", folded_path(path).alias("folded"), relative_path(F.lit("src"), path).alias("from_src"), relative_path(deep, path).alias("from_deep"))
 
 
 @_query(f"""SELECT {_PATH} AS path, CASE WHEN p_partkey % 6 = 0 THEN 'jest' WHEN p_partkey % 6 = 2 THEN 'jasmine-karma' WHEN p_partkey % 6 = 4 THEN 'vitest' ELSE 'unknown' END AS framework FROM part""")
@@ -98,7 +156,7 @@ def spec_frameworks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query(f"""SELECT path, cleanup, CASE cleanup WHEN 'ngOnDestroy-unsubscribe' THEN 'Subscription.unsubscribe' WHEN 'async-pipe-only' THEN 'async-pipe' ELSE cleanup END AS stream
-FROM (SELECT path, CASE p_partkey % 5 WHEN 0 THEN 'ngOnDestroy-unsubscribe' WHEN 1 THEN 'takeUntilDestroyed' WHEN 2 THEN 'DestroyRef' ELSE CASE WHEN template LIKE '%| async%' THEN 'async-pipe-only' ELSE 'none' END END AS cleanup FROM ({_TEMPLATES}))""")
+FROM (SELECT {_PATH} AS path, CASE p_partkey % 5 WHEN 0 THEN 'ngOnDestroy-unsubscribe' WHEN 1 THEN 'takeUntilDestroyed' WHEN 2 THEN 'DestroyRef' ELSE CASE WHEN p_partkey % 4 = 0 AND p_size % 6 = 0 THEN 'async-pipe-only' ELSE 'none' END END AS cleanup FROM part)""")
 def cleanup_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How each unit cleans up, and what that means for its streams."""
     sources = _sources(spark, sf_dir)
@@ -113,15 +171,18 @@ def complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sources(spark, sf_dir).select("path", predicates.complexity(F.col("text")).alias("complexity"))
 
 
-@_query("""WITH m AS (SELECT DISTINCT 'src/' || p_brand AS prefix, CASE WHEN p_brand LIKE '%1' THEN 'one' ELSE 'two' END AS version FROM part WHERE p_brand NOT LIKE '%3')
-SELECT p_partkey, coalesce(version, 'root') AS version FROM part LEFT JOIN m ON 'src/' || p_brand = prefix""")
+_MANIFEST = """CASE CAST(substr(p_brand, -1) AS INT) WHEN 1 THEN '{"dependencies":{"@angular/compiler":"no","@angular/core":"one"},"devDependencies":{"@angular/core":"no"}}'
+WHEN 2 THEN '{"devDependencies":{"@angular/core":"two","@angular/compiler":"no"},"dependencies":{"other":"1","@angular/compiler":"no"}}' WHEN 3 THEN '{"devDependencies":{"@angular/compiler":"no"},"dependencies":{"@angular/compiler":"three"}}'
+WHEN 4 THEN '{"dependencies":{},"devDependencies":{"@angular/compiler":"four"}}' ELSE '{oops' END"""
+
+
+@_query("""SELECT p_partkey, CASE substr(p_brand, -1) WHEN '1' THEN 'one' WHEN '2' THEN 'two' WHEN '3' THEN 'three' WHEN '4' THEN 'four' ELSE 'root' END AS version FROM part""")
 def nearest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC09: the version that the nearest folder above declares; manifests without one are passed over."""
+    """SRC09: the version that the nearest manifest above declares, by the first of four entries; broken ones and those without are passed over."""
     parts = read_table(spark, sf_dir, "part")
-    own = parts.select(F.expr("concat('src/', p_brand)").alias("prefix"), F.expr("CASE WHEN p_brand LIKE '%1' THEN 'one' WHEN p_brand LIKE '%3' THEN NULL ELSE 'two' END").alias("version")).distinct()
-    declared = own.unionByName(spark.createDataFrame([("src", "root")], "prefix string, version string")).filter("version IS NOT NULL")
-    found = lookup.nearest_ancestor(parts.select("p_partkey", F.expr(_PATH).alias("path")), "p_partkey", "path", declared, "prefix")
-    return found.join(declared, "prefix", "left").select("p_partkey", "version")
+    own = parts.select(F.expr("concat('src/', p_brand, '/package.json')").alias("path"), F.expr(_MANIFEST).alias("text")).distinct()
+    root = spark.createDataFrame([("src/package.json", '{"dependencies":{"@angular/core":"root"}}'), ("package.json", "{}")], "path string, text string")
+    return lookup.nearest_versions(parts.select("p_partkey", F.expr(_PATH).alias("path")), "p_partkey", "path", own.unionByName(root))
 
 
 # ---- calls ---------------------------------------------------------------------------------------------------
@@ -296,31 +357,40 @@ def valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 _METHODS = """concat('["z', p_size, '","a"]')"""
 _SIGNATURE = f"""concat('{{"publicApi":{{"inputs":[{{"name":"', p_type, '","required":', CASE WHEN p_size % 2 = 0 THEN 'true' ELSE 'false' END, '}}],"publicMethods":', {_METHODS}, '}}}}')"""
 _TEMPLATE = """concat('{"ast":{"controlFlow":[{"construct":"', CASE WHEN p_partkey % 2 = 0 THEN '@if' ELSE '*ngIf' END, '"},{"construct":"@for","trackBy":', CASE WHEN p_size % 3 = 0 THEN '"id"' ELSE 'null' END, '},{"construct":"@empty"}]}}')"""
-_FUNCTIONS = """concat('{"symbols":{"a":{"ast":{"subscriptions":[{"unsubscribeStrategy":"', CASE WHEN p_size % 2 = 0 THEN 'none' ELSE 'DestroyRef' END, '"},{}]}},"b":{"ast":{}}},"forms":{"approach":"reactive"}}')"""
+_DEPENDENCIES = """concat('{"callGraph":{"calls":{"a":["b","z', p_size, '","b"],"c":null}}}')"""
+_FUNCTIONS = """concat('{"symbols":{"a":{"ast":{"subscriptions":[{"unsubscribeStrategy":"', CASE WHEN p_size % 2 = 0 THEN 'none' ELSE 'DestroyRef' END, '"},{}]}},"b":{"ast":{}}},"forms":{"approach":"reactive","groups":[{"controls":[{"path":"p","syncValidators":["min","max"],"disabledExpression":', CASE WHEN p_size % 4 = 0 THEN '"x"' ELSE '""' END, '}]},{}]}}')"""
 
 
 def _projected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Projections of tier documents made from parts; every fifth part has no template tier, every seventh a broken one."""
-    documents = F.inline(F.array(*[F.struct(F.lit(t).alias("tier"), F.expr(sql).alias("text")) for t, sql in (("signature", _SIGNATURE), ("template", f"CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN '[' ELSE {_TEMPLATE} END"), ("functions", _FUNCTIONS))]))
+    """Views of tier documents made from parts; every fifth part has no template tier, every seventh a broken one."""
+    documents = F.inline(F.array(*[F.struct(F.lit(t).alias("tier"), F.expr(sql).alias("text")) for t, sql in (("signature", _SIGNATURE), ("dependencies", _DEPENDENCIES), ("template", f"CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN '[' ELSE {_TEMPLATE} END"), ("functions", _FUNCTIONS))]))
     return projections.projections(read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("unit"), documents))
 
 
-_VALUES = f"""SELECT p_partkey AS unit, name, CASE name WHEN 'inputs' THEN '["' || p_type || CASE WHEN p_size % 2 = 0 THEN ' required -"]' ELSE ' optional -"]' END WHEN 'publicMethods' THEN '["a","z' || p_size || '"]' WHEN 'formApproach' THEN '["reactive"]'
-WHEN 'leakRisk' THEN CASE WHEN p_size % 2 = 0 THEN '["possible","possible"]' ELSE '["none","possible"]' END
-WHEN 'controlFlowPrimary' THEN CASE WHEN p_partkey % 5 = 0 OR p_partkey % 7 = 0 THEN '[]' ELSE '["conditional","loop"]' END WHEN 'controlFlowBranches' THEN CASE WHEN p_partkey % 5 = 0 OR p_partkey % 7 = 0 THEN '[]' ELSE '["empty"]' END
-WHEN 'loopTracking' THEN CASE WHEN p_partkey % 5 = 0 OR p_partkey % 7 = 0 THEN '[]' WHEN p_size % 3 = 0 THEN '["tracked"]' ELSE '["untracked"]' END ELSE '[]' END AS value FROM part, (SELECT unnest({list(projections.PROJECTIONS)!r}) AS name)"""
+_ITEMS = """SELECT p_partkey AS unit, 'inputs' AS name, 'name=' || p_type || ' required=' || (p_size % 2 = 0) || ' alias=-' AS item, 1 AS n FROM part
+UNION ALL SELECT p_partkey, 'publicMethods', 'name=' || unnest(['z' || p_size, 'a']), 1 FROM part
+UNION ALL SELECT p_partkey, 'callEdges', 'from=a to=' || unnest(['b', 'z' || p_size]), unnest([2, 1]) FROM part
+UNION ALL SELECT p_partkey, 'formApproach', 'approach=reactive', 1 FROM part
+UNION ALL SELECT p_partkey, 'leakRisk', 'unsubscribeStrategy=false', CASE WHEN p_size % 2 = 0 THEN 2 ELSE 1 END FROM part
+UNION ALL SELECT p_partkey, 'leakRisk', 'unsubscribeStrategy=true', 1 FROM part WHERE p_size % 2 = 1
+UNION ALL SELECT p_partkey, 'formConstraints', 'path=p disabledExpression=' || (p_size % 4 = 0) || ' syncValidators=max,min', 1 FROM part
+UNION ALL SELECT p_partkey, unnest(['controlFlowPrimary', 'controlFlowPrimary', 'controlFlowBranches', 'loopTracking']), unnest(['class=conditional', 'class=loop', 'class=empty', 'class=loop trackBy=' || (p_size % 3 = 0)]), 1 FROM part WHERE p_partkey % 5 <> 0 AND p_partkey % 7 <> 0"""
 
 
-@_query(_VALUES)
+@_query(f"SELECT unit, name, item, n::BIGINT AS n FROM ({_ITEMS})")
 def semantic_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The views of each unit's documents that do not depend on how it is written."""
-    return _projected(spark, sf_dir)
+    """The items of each unit's documents in views that do not depend on how it is written, with their numbers."""
+    said = F.array_join(F.transform(F.map_entries("item"), lambda e: F.concat_ws("=", e["key"], e["value"])), " ")
+    return _projected(spark, sf_dir).select("unit", "name", said.alias("item"), "n")
+
+
+_VALUES = f"SELECT p.p_partkey AS unit, v.name, (SELECT string_agg(item || n, '|' ORDER BY item) FROM ({_ITEMS}) i WHERE i.unit = p.p_partkey AND i.name = v.name) AS value FROM part p, (SELECT unnest({list(projections.VIEWS)!r}) AS name) v"
 
 
-@_query(f"""WITH v AS ({_VALUES}) SELECT l.unit AS "left", name, l.value = r.value AS same FROM v l JOIN v r USING (name) WHERE l.unit % 2 = 0 AND r.unit = l.unit + 1 AND NOT (name = 'inputs' AND l.unit % 4 = 0)""")
+@_query(f"""WITH v AS ({_VALUES}) SELECT l.unit AS "left", name, l.value IS NOT DISTINCT FROM r.value AS same FROM v l JOIN v r USING (name) WHERE l.unit % 2 = 0 AND r.unit = l.unit + 1 AND NOT (name = 'inputs' AND l.unit % 4 = 0)""")
 def projected_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of units by their views, but for what a pair is declared to differ in."""
-    found = _projected(spark, sf_dir)
+    found = projections.view_values(_projected(spark, sf_dir), read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("unit")))
     even = read_table(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("left"), (F.col("p_partkey") + 1).alias("right"))
     return diff.pair_equivalence(found, even, even.filter("left % 4 = 0").withColumn("name", F.lit("inputs"))).drop("right")
 

@@ -53,10 +53,16 @@ def test_pairs_of_a_manifest(spark):
     other = {"publicApi": {"inputs": [{"name": "a", "alias": "x", "required": False}, {"name": "b", "required": True}], "twoWayBindings": [{"name": "m"}]}, "injectedDependencies": signature["injectedDependencies"]}
     calls = {"callGraph": {"calls": {"method:a": ["method:c", "method:b"], "method:b": None}}}
     rows = [("l", "signature", json.dumps(signature)), ("r", "signature", json.dumps(other)), ("l", "dependencies", json.dumps(calls)), ("r", "dependencies", json.dumps(calls)), ("r", "functions", "no json")]
-    views = projections.projections(spark.createDataFrame(rows, "unit string, tier string, text string"))
-    values = {(r.unit, r.name): json.loads(r.value) for r in views.collect()}
-    assert values["l", "inputs"] == ["a optional x", "b required -"] and values["l", "deps"] == ["h:T private self"] and values["r", "callEdges"] == ["method:a -> method:b", "method:a -> method:c"]
-    assert len(values) == 2 * len(projections.PROJECTIONS) and values["l", "formApproach"] == ["none"]
+    tiers = spark.createDataFrame(rows, "unit string, tier string, text string")
+    found = {}
+    for r in projections.projections(tiers).collect():
+        found.setdefault((r.unit, r.name), []).append((r.item, r.n))
+    views = projections.view_values(projections.projections(tiers), tiers)
+    by_name = lambda x: str(x[0])
+    assert sorted(found["l", "inputs"], key=by_name) == [({"name": "a", "required": "false", "alias": "x"}, 1), ({"name": "b", "required": "true", "alias": "-"}, 1)]
+    assert found["l", "deps"] == [({"propertyName": "h", "token": "T", "visibility": "private", "modifiers": "self"}, 1)]
+    assert sorted(found["r", "callEdges"], key=by_name) == [({"from": "method:a", "to": "method:b"}, 1), ({"from": "method:a", "to": "method:c"}, 1)]
+    assert views.count() == 2 * len(projections.VIEWS) and ("l", "formApproach") not in found and ("r", "twoWay") in found
     manifest = {"fixtures": [{"id": "one", "pair": ["l", "r"], "equivalence": {"mayDiffer": ["outputs"]}}]}
     pairs, free = projections.declared_pairs(spark.createDataFrame([(json.dumps(manifest),)], "text string"))
     same = {r.name: r.same for r in diff.pair_equivalence(views, pairs.drop("id"), free).collect()}
@@ -92,3 +98,18 @@ def test_documents_have_all_sections_in_order(spark):
     places = [row.document.index(f"## {heading}\n") for _, heading in rendering.SECTIONS]
     assert places == sorted(places)
     assert rendering.documents(rendering.section_bodies(items.limit(0))).count() == 0
+
+
+def test_ways_to_clean_up(spark):
+    rows = [
+        (True, "this.s . unsubscribe ()", "", "ngOnDestroy-unsubscribe"),
+        (True, "takeUntilDestroyed()", "", "none"),
+        (False, "x.unsubscribe()", None, "none"),
+        (False, "inject<DestroyRef>( DestroyRef ); o.pipe(takeUntilDestroyed(d))", "", "takeUntilDestroyed"),
+        (False, "d = inject < DestroyRef > (DestroyRef, { optional: true })", "{{ a | async }}", "DestroyRef"),
+        (False, "inject(DestroyRefs)", "{{ f(a)|async }}", "async-pipe-only"),
+        (False, "", "{{ a || async }}", "none"),
+    ]
+    made = spark.createDataFrame(rows, "destroys boolean, body string, template string, way string")
+    found = made.select("way", predicates.cleanup_strategy(F.col("destroys"), F.col("body"), F.col("template")).alias("found")).collect()
+    assert [r.found for r in found] == [r.way for r in found]
