@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import pandas as pd
 import pytest
@@ -55,6 +56,25 @@ def test_the_models_add_random_runs_and_leave_names(spark, sf_dir):
     assert clean.filter("n > 0").count() <= docs.count() * 0.02
 
 
+def test_the_ratio_alone_decides(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    ratios = secrets.log_ratios(secrets.training_strings(docs))
+
+    def score(string):
+        symbols = [0, *[secrets.ALPHABET.find(c) + 2 if c in secrets.ALPHABET else 1 for c in string]]
+        return sum(float(f"{ratios[a * secrets.SYMBOLS + b]:.6g}") for a, b in zip(symbols, symbols[1:], strict=False)) / len(string)
+
+    rng = random.Random(12)
+    strings = ["qJxZkWvBnMpLrTyHs", "understanding", "x" * 100_000, *["".join(rng.choice(secrets.ALPHABET) for _ in range(rng.randrange(1, 40))) for _ in range(300)]]
+    made = spark.createDataFrame([(x,) for x in strings], "string string")
+    found = made.select("string", secrets.random_score(F.col("string"), ratios).alias("score"), secrets.is_random(F.col("string"), ratios).alias("random")).collect()
+    assert all(r.score == pytest.approx(score(r.string), abs=1e-6) for r in found)
+    assert {r.string for r in found if r.random} == {x for x in strings if score(x) >= secrets.RATIO * max(1, secrets.SURE / len(x))}
+    texts = spark.createDataFrame([(1, "the run qJxZkWvBnMpLrTyHs, twice: qJxZkWvBnMpLrTyHs understanding and"), (2, "Zq7Wk9Xv is short")], "doc_id bigint, text string")
+    spans = {r.doc_id: [(s.kind, s.start, s.text) for s in r.spans] for r in secrets.secret_spans(texts, ratios).collect()}
+    assert spans[1] == [("markov", 8, "qJxZkWvBnMpLrTyHs"), ("markov", 34, "qJxZkWvBnMpLrTyHs")]
+
+
 def test_digest_columns(spark, sf_dir):
     row = secrets.query(spark, sf_dir).filter("n_assign + n_access + n_hex = 0").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest()
@@ -192,7 +212,7 @@ def test_search_with_copies_ties_and_unsound_vectors(spark, monkeypatch):
 
 def brute_scores(rows, k):
     """Ranks by (score, id) over distinct rows; a query id has the greatest of its vectors."""
-    sound = {(i, tuple(int(x * 1024 // 1) for x in v)) for i, v in rows}
+    sound = {(i, tuple(int(Fraction(x) * 1024 // 1) for x in v)) for i, v in rows}
     width = max((len(v) for _, v in sound), default=0)
     sound = {(i, v + (0,) * (width - len(v))) for i, v in sound}
     queries = {i: max(v for j, v in sound if j == i) for i, _ in sound if i % 100 == 0}
@@ -211,10 +231,14 @@ def brute_scores(rows, k):
         [(0, [1.0]), (1, [1.0, 5.0]), (2, []), (3, [2.0, 0.0, -7.0]), (100, [0.5, 0.5, 0.5])],  # unequal lengths
         [(0, [1e9, -3.0]), (1, [4e9, 1e12]), (2, [-4e9, 1.0]), (100, [4e12, 4e12]), (3, [4e12, 4e12])],  # large components
         [(0, [0.0, 0.0])] + [(i, [float(i % 7), 1.0]) for i in range(1, 90)],  # everything ties
+        [(0, [1e-3, 2.0]), (1, [1e13, 1.0]), (2, [-1e13, 3.0]), (3, [1e15, -1e300]), (100, [1.7e308, -1.7e308]), (4, [1.7e308, 1.7e308]), (5, [5e-324, -0.0]), (6, [2.0**42, 1.0])],  # huge ones
+        [(100 * (i % 5), [2.0 ** (37 + i), -(2.0 ** (49 - i))]) for i in range(6)] + [(i, [(-1.0) ** i * 2.0 ** (36 + i), float(i)]) for i in range(1, 12)],  # wide and narrow
+        [(0, [3e12, 1e3]), *[(i, [1e6 * i, 1.0]) for i in range(1, 10)]],  # scores around 64 bits
     ],
 )
 def test_search_of_odd_vectors_agrees_with_brute_force(spark, monkeypatch, rows):
     for name, value in (("DATA_BLOCK", 8), ("QUERY_BLOCK", 1), ("BLOCKS_IN_TURN", 2), ("QUERIES_AT_ONCE", 1)):
         monkeypatch.setattr(vector_search, name, value)
-    vectors = spark.createDataFrame([*rows, (7, [1e17, 1.0])], "vec_id bigint, embedding array<double>")
+    rows = [*rows, (7, [1e17, 1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in vector_search.search(vectors, 100, 3).collect()) == brute_scores(rows, 3)
