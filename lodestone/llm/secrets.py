@@ -17,15 +17,16 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: Runs that the models judge: at least RUN_LEAST characters, a digit and a letter among them.
-RUN = r"[A-Za-z0-9+/_=-]{16,}"
+#: Runs that the models judge.
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{8,}"
 #: The models' alphabet; other characters share one more symbol, and an edge of a run is another.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 #: Documents that the models are trained on, at most: those first in a seeded order.
 TRAIN_ROWS = 4000
 SEED = 23
-#: Mean log-likelihood ratio for a character, in nats, from which a run counts as random.
-RATIO = 0.8
+#: Mean log-likelihood ratio for a character, in nats, from which a run counts as random; runs shorter than SURE characters
+#: need as much in all as one of that length.
+RATIO, SURE = 0.8, 16
 CHUNK = 256
 
 
@@ -137,32 +138,34 @@ def log_ratios(strings: DataFrame) -> list[float]:
 
 
 def random_score(string: Column, ratios: list[float]) -> Column:
-    """Mean log-likelihood ratio for a character; null for an empty string."""
+    """Mean log-likelihood ratio for a character; null for an empty string. Takes steps in proportion to the length."""
     known = F.lit(",".join(f"{x:.6g}" for x in ratios))
     ratio = F.split(known, ",").cast("array<double>")
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.length(string)),
-        F.lit(0.0),
-        lambda a, i: a + F.element_at(ratio, F.when(i == 1, _symbol(string.substr(i, F.lit(1)))).otherwise(_symbol(string.substr(i - 1, F.lit(1))) * SYMBOLS + _symbol(string.substr(i, F.lit(1)))) + 1),
-    )
-    return F.when(F.length(string) > 0, total / F.length(string))
+    # the number of each character's pair: its own symbol after the one before, which is an edge at the beginning
+    before = lambda symbols, i: F.coalesce(F.get(symbols, i - 1), F.lit(0))
+    total = lambda symbols: F.aggregate(F.transform(symbols, lambda x, i: before(symbols, i) * SYMBOLS + x), F.lit(0.0), lambda a, pair: a + F.element_at(ratio, pair + 1))
+    return F.when(F.length(string) > 0, _let(F.transform(F.split(string, ""), _symbol), total) / F.length(string))
+
+
+def is_random(string: Column, ratios: list[float], least: float = RATIO) -> Column:
+    """Whether the models take a string for random: by its mean ratio, which must be higher for a short one."""
+    return random_score(string, ratios) >= least * F.greatest(F.lit(1.0), F.lit(float(SURE)) / F.length(string))
 
 
 def secret_spans(docs: DataFrame, ratios: list[float], least: float = RATIO) -> DataFrame:
     """doc_id, text and spans: array of (kind, start, end, text), by start, then in the order of KINDS.
 
-    All base spans, and the runs of RUN with a digit and a letter whose score is at least `least` and that
-    overlap no base span.
+    All base spans, and the runs of RUN that `is_random` and that overlap no base span. Each different run of a text is
+    judged once; only texts with one that counts look for its places.
     """
     base = base_spans(docs)
     none = F.array().cast(_SPAN)
-    run = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[0-9+/_=-]*[A-Za-z])" + RUN  # tried where a run begins
-    runs = F.when(F.col("text").rlike(run), _matches(F.col("text"), run)).otherwise(none)
-    base = base.withColumn("runs", runs)
+    runs = F.array_distinct(F.regexp_extract_all("text", F.lit(RUN), F.lit(0)))
+    base = base.withColumn("random", F.filter(runs, lambda r: is_random(r, ratios, least)))
     taken = F.concat("assign", "access", "hex")
-    apart = F.filter("runs", lambda m: ~F.exists(taken, lambda b: (b.getField("start") < m.getField("end")) & (m.getField("start") < b.getField("end"))))
-    base = base.withColumn("runs", apart)
-    base = base.withColumn("markov", F.filter("runs", lambda m: random_score(m.getField("text"), ratios) >= least))
+    apart = lambda m: ~F.exists(taken, lambda b: (b.getField("start") < m.getField("end")) & (m.getField("start") < b.getField("end")))
+    placed = F.filter(_matches(F.col("text"), RUN), lambda m: F.array_contains("random", m.getField("text")) & apart(m))
+    base = base.withColumn("markov", F.when(F.size("random") > 0, placed).otherwise(none))
     ordered = lambda i: lambda m: F.struct(m.getField("start").alias("start"), F.lit(i).alias("order"), m.getField("end").alias("end"), m.getField("text").alias("text"))
     all_spans = F.concat(*[F.transform(k, ordered(i)) for i, k in enumerate(KINDS)])
     kinds = F.array(*[F.lit(k) for k in KINDS])
