@@ -35,20 +35,36 @@ HELD_STEMS = 200_000
 CACHED_WORDS = 600_000
 
 # The closed classes of the grammar, in English, German, French and Spanish.
-PERSONS = frozenset("you your yours yourself he she him her they them people everyone du ihr sie er tu toi vous il elle ils eux usted ustedes ellos ella".split())
+#: Whom a text speaks to, and others that it speaks of.
+SECOND = frozenset("you yourself yourselves you'll du ihr tu toi vous usted ustedes vosotros".split())
+PERSONS = frozenset("your yours he him her she they them people everyone sie er il elle ils eux ellos ella".split())
 #: Pronouns that are objects wherever they stand, so also before a verb.
 OBJECTS = frozenset("dich euch ihn te os".split())
 POINTERS = frozenset("this that these those their".split())
-THREATS = frozenset(
-    "kill hurt destroy burn shoot beat stab hang crush smash punish murder töten töte umbringen verletzen schlagen schlage erschießen verbrennen zerstören"
-    " tuer tuerai blesser frapper frapperai brûler détruire étrangler matar mataré herir golpear quemar destruir destrozar".split()
+#: Verbs that mean killing and little else, as they are used of what is to come, and as they are used of what is.
+KILLING = frozenset("kill murder stab strangle töten töte umbringen ermorden erschießen erwürgen tuer tuerai assassiner étrangler matar mataré asesinar estrangular".split())
+KILLS = frozenset("kills killing murders murdering stabs stabbing strangles strangling tötet ermordet erschießt tue tuons assassine étrangle mato mata matando asesina".split())
+#: Verbs of harm with many harmless uses.
+HARM = frozenset(
+    "hurt destroy burn shoot beat hang crush smash punish break hurting destroying burning shooting beating hanging crushing smashing punishing verletzen schlagen schlage verbrennen zerstören"
+    " blesser frapper frapperai brûler détruire herir golpear quemar destruir destrozar".split()
 )
+#: What says that something is to come.
+FUTURE = frozenset("will gonna going shall i'll we'll he'll she'll they'll werde werden wird vais va vas allons voy va vamos van quiero want".split())
+#: German verbs that threaten together with a particle at the end.
+PARTED = frozenset("bringe bringt bringen bring mache macht machen mach schlage schlägt schlagt stech steche steckt".split())
+PARTICLES = frozenset("um kalt fertig tot ab nieder kaputt".split())
 NEGATIONS = frozenset("not no never nor without isn't aren't wasn't weren't don't doesn't didn't won't nicht kein keine nie ne pas jamais nunca jamás tampoco".split())
 REPORTS = frozenset("said says say called calls wrote writes quoted quotes claimed claims reported reports alleged according sagte sagt schrieb dit disait écrit dijo dice escribió".split())
-CLOSED = {"threat": THREATS, "person": PERSONS, "object": OBJECTS, "pointer": POINTERS, "negation": NEGATIONS, "report": REPORTS}
+CLOSED = {"particle": PARTICLES, "parted": PARTED, "future": FUTURE, "harm": HARM, "kills": KILLS, "killing": KILLING, "second": SECOND, "person": PERSONS, "object": OBJECTS, "pointer": POINTERS, "negation": NEGATIONS, "report": REPORTS}
 SYMBOL_OF = {word: symbol for symbol, words in CLOSED.items() for word in words}
-#: Tokens that a negation reaches, and by which a threat and its target may be apart.
-NEGATION_REACH, THREAT_REACH = 4, 4
+#: The symbols that may begin a threat.
+VERBS = ("parted", "harm", "kills", "killing")
+THREATS = frozenset(word for word, symbol in SYMBOL_OF.items() if symbol in VERBS)
+#: Tokens that a negation reaches, within which a verb's object follows it, and within which a verb follows an object.
+NEGATION_REACH, VERB_REACH, OBJECT_REACH = 4, 2, 3
+#: What a threat weighs: one that says it outright, and one that its context makes likely.
+MENACES = {"menace": 1.0, "likely": 0.8}
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE = re.compile(r"[.!?;:\n]+")
@@ -65,39 +81,69 @@ def negation() -> Arcs:
     arcs = {}
     for state in range(NEGATION_REACH + 1):
         for symbol in SYMBOLS:
-            out = {"insult": "denied", "threat": "other"}.get(symbol, symbol) if state else symbol
+            out = ({"insult": "denied"} | dict.fromkeys(VERBS, "other")).get(symbol, symbol) if state else symbol
             arcs[state, symbol] = (NEGATION_REACH if symbol == "negation" else max(0, state - 1), out)
     return arcs
 
 
 def reported_speech() -> Arcs:
     """After a verb of speech, insults are reported ones, and threats nothing."""
-    after = {"insult": "told", "denied": "told", "threat": "other"}
+    after = {"insult": "told", "denied": "told"} | dict.fromkeys(VERBS, "other")
     arcs = {(0, symbol): (int(symbol == "report"), symbol) for symbol in (*SYMBOLS, "denied")}
     return arcs | {(1, symbol): (1, after.get(symbol, symbol)) for symbol in (*SYMBOLS, "denied")}
 
 
+def parted_threat() -> Arcs:
+    """A parted verb, then an object, then a particle that makes it a threat: the particle comes out as a menace."""
+    arcs = {}
+    for state in (0, 1, 2):
+        for symbol in (*SYMBOLS, "denied", "told"):
+            ahead = 1 if symbol == "parted" else 2 if state == 1 and symbol in ("object", "second") else state
+            arcs[state, symbol] = (0, "menace") if state == 2 and symbol == "particle" else (ahead, symbol)
+    return arcs
+
+
 def threat() -> Arcs:
-    """A threat verb close before a person, or close after an object, gives a menace in the place of the later word.
+    """A verb of harm close before a person, or close after an object, gives a threat in the place of the later word.
 
-    A state is how far the last verb still reaches, and the last object.
+    Verbs of killing threaten any person; as they are used of what is, only the person spoken to. Other verbs of harm
+    threaten only where something said before is to come. A state is the last verb and how far it still reaches, how far the
+    last object does, and whether something is to come.
     """
-    wide, arcs = THREAT_REACH + 1, {}
-    for verb in range(wide):
-        for thing in range(wide):
-            for symbol in (*SYMBOLS, "denied", "told"):
-                fits = (symbol in ("person", "object") and verb) or (symbol == "threat" and thing)
-                ahead = (THREAT_REACH if symbol == "threat" and not fits else max(0, verb - 1), THREAT_REACH if symbol == "object" and not fits else max(0, thing - 1))
-                if fits:
-                    ahead = (0, 0)
-                arcs[verb * wide + thing, symbol] = (ahead[0] * wide + ahead[1], "menace" if fits else symbol)
+    symbols = (*SYMBOLS, "denied", "told", "menace")
+    start = (None, 0, 0, False)
+    names, at, arcs = {start: 0}, [start], {}
+    for verb, reach, thing, coming in at:
+        for symbol in symbols:
+            out, soon = symbol, coming or symbol == "future"
+            now = (verb, reach - 1) if reach > 1 else (None, 0)
+            ahead = (*now, max(0, thing - 1), soon)
+            spoken_to = symbol in ("second", "object")
+            if reach and verb == "killing" and (spoken_to or symbol == "person"):
+                out = "menace" if spoken_to or coming else "likely"
+            elif reach and verb == "kills" and spoken_to:
+                out = "menace"
+            elif reach and verb == "harm" and coming and (spoken_to or symbol == "person"):
+                out = "likely"
+            elif thing and (symbol in ("killing", "kills") or (symbol == "harm" and coming)):
+                out = "menace" if symbol != "harm" else "likely"
+            elif symbol in ("killing", "kills", "harm"):
+                ahead = (symbol, VERB_REACH, max(0, thing - 1), soon)
+            elif symbol == "object":
+                ahead = (*now, OBJECT_REACH, soon)
+            if out in MENACES and out != symbol:
+                ahead = (None, 0, 0, soon)
+            if ahead not in names:
+                names[ahead] = len(at)
+                at.append(ahead)
+            arcs[names[verb, reach, thing, coming], symbol] = (names[ahead], out)
     return arcs
 
 
 def target() -> Arcs:
     """The end of a clause says whether anyone was addressed in it."""
-    addressed = (*CLOSED.keys() & {"person", "object", "pointer"}, "menace")
-    symbols = (*SYMBOLS, "denied", "told", "menace")
+    addressed = ("second", "person", "object", "pointer", *MENACES)
+    symbols = (*SYMBOLS, "denied", "told", *MENACES)
     return {(state, symbol): (int(state or symbol in addressed), "addressed" if state and symbol == "end" else symbol) for state in (0, 1) for symbol in symbols}
 
 
@@ -124,7 +170,7 @@ def composed(*machines: Arcs) -> list[dict[str, tuple[int, str]]]:
 
 
 #: Negation and reported speech change what the machines after them read.
-CLAUSES = composed(negation(), reported_speech(), threat(), target())
+CLAUSES = composed(negation(), reported_speech(), parted_threat(), threat(), target())
 
 
 @dataclass
@@ -132,7 +178,7 @@ class Grammar:
     """The composed transducer CLAUSES with its weights: insult stems learned from labels, and a weight for each feature.
 
     A clause is read once, from left to right. Insults carry the weight of their stem, and come out as denied, as told,
-    or as they are; the end of the clause says whether the latter were targeted. Threats come out as menaces of weight 1.
+    or as they are; the end of the clause says whether the latter were targeted. Threats come out with the weights of MENACES.
     """
 
     stems: dict[str, float]
@@ -171,10 +217,12 @@ class Grammar:
         for word in clause:
             symbol, stem = self.symbol(word)
             state, out = CLAUSES[state][symbol]
-            if out in ("insult", "denied", "told", "menace"):
+            if out in MENACES:
+                found.append((out, MENACES[out]))
+            elif out in ("insult", "denied", "told"):
                 found.append((out, 1.0 if stem is None else self.single.get(stem, self.stems[stem]) if stem in once else self.stems[stem]))
         addressed = CLAUSES[state]["end"][1] == "addressed"
-        kinds = {"insult": "targeted" if addressed else "insults", "denied": "negated", "told": "reported", "menace": "threats"}
+        kinds = {"insult": "targeted" if addressed else "insults", "denied": "negated", "told": "reported", **dict.fromkeys(MENACES, "threats")}
         return [(kinds[out], weight) for out, weight in found]
 
     def features(self, text: str | None) -> list[float]:

@@ -128,8 +128,40 @@ def test_the_grammar_reads_clauses():
     assert g.features(None) == g.features("") == [0.0] * len(toxicity.FEATURES)
 
 
+def test_threats_are_told_from_idioms():
+    g = toxicity.Grammar({})
+    read = lambda s: g.read(toxicity.WORD.findall(s.lower()))
+    clean = ["I beat him at chess", "kill time with them", "crush it for your team", "we will crush it for your team", "ich bringe dir das Buch", "this kills them", "you are going to burn the cake", "I will never kill you", "sie sagte ich bringe dich um"]
+    threats = ["he kills you", "killing you slowly", "ich bringe dich um", "I will beat you", "je te tue", "kill them", "I'll crush them", "morgen mache ich dich fertig"]
+    assert [read(s) for s in clean] == [[]] * len(clean)
+    assert [[k for k, _ in read(s)] for s in threats] == [["threats"]] * len(threats)
+    assert read("I will beat you")[0][1] < read("he kills you")[0][1] == 1
+
+
+def test_every_machine_changes_predictions(spark, monkeypatch):
+    """Without the machine of negation, of reported speech, or of threats, some held-out document is predicted otherwise."""
+    rng = random.Random(4)
+    filler = lambda: " ".join(rng.choice(["plain", "words", "stand", "here", "often", "now"]) for _ in range(6))
+    toxic = ["you gnarfel", "such a gnarfel", "look at you gnarfel", "it is a gnarfel here", "that is such a gnarfel", "we will kill you"]
+    clean = ["it is not a gnarfel", "he said you gnarfel", "we will not kill you", "such a day", "look at that", "you win", "it is late here", "we will see", "he said a word", *["nothing"] * 5]
+    forms = [(t, 1) for t in toxic] + [(t, 0) for t in clean]
+    rows = [(i, f"{filler()}. {forms[i % 20][0]}. {filler()}", forms[i % 20][1]) for i in range(1200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id bigint, quality int, toxic int")
+    grammar = toxicity.train_grammar(docs, labels)
+    held_out = [(t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    texts, truth = pd.Series([t for t, _ in held_out]), [y == 1 for _, y in held_out]
+    right = lambda: sum(p == y for p, y in zip(grammar.scores(texts) >= toxicity.THRESHOLD, truth, strict=True)) / len(truth)
+    whole = right()
+    assert whole > 0.9
+    machines = {"negation": toxicity.negation(), "report": toxicity.reported_speech(), "parted": toxicity.parted_threat(), "threat": toxicity.threat(), "target": toxicity.target()}
+    for name in ("negation", "report", "threat"):
+        monkeypatch.setattr(toxicity, "CLAUSES", toxicity.composed(*[m for n, m in machines.items() if n != name]))
+        assert right() < whole, name
+
+
 def test_the_composed_table_reads_as_its_machines_do_one_after_the_other():
-    rnd, machines = random.Random(2), (toxicity.negation(), toxicity.reported_speech(), toxicity.threat(), toxicity.target())
+    rnd, machines = random.Random(2), (toxicity.negation(), toxicity.reported_speech(), toxicity.parted_threat(), toxicity.threat(), toxicity.target())
     for _ in range(300):
         tape = [rnd.choice(toxicity.SYMBOLS[:-1]) for _ in range(rnd.randint(0, 14))] + ["end"]
         state, found = 0, []
