@@ -7,11 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.tables import written
+
 
 def flattened(rows: DataFrame, key: str, text: str) -> DataFrame:
     """key, path and leaf for every leaf of each JSON text, however deep; no rows for null or broken texts.
 
-    Texts are parsed once into variants, which are taken apart level by level; properties whose names begin with
+    Texts are parsed once into variants, which are taken apart level by level, each written and made from the one above it
+    alone; properties whose names begin with
     `$comment` are left out. A null leaf is null, an empty object or array has no leaf.
     """
     spark = rows.sparkSession
@@ -25,7 +28,7 @@ def flattened(rows: DataFrame, key: str, text: str) -> DataFrame:
             return reduce(DataFrame.unionByName, leaves)
         step = F.when(F.col("key").isNull(), F.concat("_path", F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat("_path", F.when(F.col("_path") == "", F.lit("")).otherwise(F.lit(".")), "key"))
         found = nested.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).filter(F.col("key").isNull() | ~F.coalesce(F.startswith("key", F.lit("$comment")), F.lit(False)))
-        level = found.select("_key", step.alias("_path"), F.col("value").alias("_v"))
+        level = written(found.select("_key", step.alias("_path"), F.col("value").alias("_v")))
 
 
 def searched(leaves: DataFrame, needle: str) -> DataFrame:

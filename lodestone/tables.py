@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Tables that `written` wrote and nothing has removed yet.
-_WRITTEN: list[str] = []
+
+class _Written(threading.local):
+    """Tables that `written` wrote in this thread and nothing has removed yet: queries in other threads keep theirs."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_WRITTEN = _Written()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -32,7 +40,7 @@ def written(df: DataFrame, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path, compression=compression)
-    _WRITTEN.append(path)
+    _WRITTEN.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,15 +55,15 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             remove(df.sparkSession, name)
-            _WRITTEN[:] = [path for path in _WRITTEN if not name.endswith(path.rsplit("/", 1)[1])]
+            _WRITTEN.paths[:] = [path for path in _WRITTEN.paths if not name.endswith(path.rsplit("/", 1)[1])]
 
 
 def tables_written() -> int:
     """A mark for `discard_since`."""
-    return len(_WRITTEN)
+    return len(_WRITTEN.paths)
 
 
 def discard_since(spark: SparkSession, mark: int) -> None:
-    """Deletes every table written since the mark; whatever was to be read from them must have been read."""
-    while len(_WRITTEN) > mark:
-        remove(spark, _WRITTEN.pop())
+    """Deletes every table that this thread has written since the mark; whatever was to be read from them must have been read."""
+    while len(_WRITTEN.paths) > mark:
+        remove(spark, _WRITTEN.paths.pop())
