@@ -24,6 +24,8 @@ WORDS, PERCENT = 4, 85
 ORDERS = 3
 #: Orders after the first put tokens of so many documents (a power of two) last.
 FREQUENT = 32
+#: Sets of one batch from which a token is sent once, with their number, instead of once for each of them.
+OFTEN = 16
 #: Tokens that one task counts.
 GATHERED = 2_000_000
 #: Bytes of text that are taken for one token when ranges are laid out.
@@ -37,7 +39,7 @@ BITS = 1 << 24
 
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
-_SPREAD = "range int, batch long, tokens binary, places binary, ids array<long>, marks array<long>, sizes array<long>, keys array<binary>, blocks int"
+_SPREAD = "range int, batch long, tokens binary, places binary, often binary, times binary, ids array<long>, marks array<long>, sizes array<long>, keys array<binary>, blocks int"
 _COUNTED = _SPREAD + ", levels binary"
 _FOUND = "kind int, doc_id long, mark long, n long, key binary, node long, token long, others array<array<long>>"
 
@@ -120,16 +122,24 @@ def _places(steps: bytes, count: int) -> np.ndarray:
     return np.cumsum(np.frombuffer(steps, dtype=np.uint8 if len(steps) == count else "<u4"), dtype=np.int64)
 
 
+def _named(tokens: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """What a token is called from here on: its range and the low half of its hash."""
+    return (tokens & np.uint64(0xFFFFFFFF)) | (part.astype(np.uint64) << np.uint64(32))
+
+
 def _spread(docs: DataFrame, ranges: int, words: int) -> DataFrame:
     """The distinct sets of each batch of documents, cut by ranges of the tokens' hash.
 
-    A row has the low 32 bits of a batch's tokens in one range, and which set of the batch each belongs to. One more
-    row for each batch has its documents and says how many rows of tokens it has.
+    A row has the low 32 bits of a batch's tokens in one range, and which set of the batch each belongs to. Tokens of
+    OFTEN sets of the batch or more are sent but once, as `often`, with the number of their sets as `times`, so that a
+    token of a third of all documents is few numbers for each batch. One more row for each batch has its documents and
+    says how many rows of tokens it has; its tokens, places and times are the names, sets and numbers of sets of those
+    sent once.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in _SPREAD.split(", ")]
-        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3, pa.list_(pa.binary()), pa.int32()]
+        types = [pa.int32(), pa.int64(), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 3, pa.list_(pa.binary()), pa.int32()]
         for number, batch in enumerate(text_batches(batches)):
             counts, tokens = shingle_sets(batch.column(1).to_pylist(), words)
             keys = [_key(s) if len(s) else None for s in _cut(counts, tokens)]
@@ -140,14 +150,28 @@ def _spread(docs: DataFrame, ranges: int, words: int) -> DataFrame:
             tokens = tokens[np.repeat(taken, counts)]
             of = np.repeat(np.arange(len(own)), counts[taken])
             part = ((tokens >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)
+            # by range, and in it by token: sets stay in order within a token
+            order = np.argsort(tokens, kind="stable")
+            in_order, first = tokens[order], np.ones(len(tokens), dtype=bool)
+            first[1:] = in_order[1:] != in_order[:-1]
+            starts = np.flatnonzero(first)
+            times = np.diff(np.r_[starts, len(tokens)])
+            many = np.repeat(times >= OFTEN, times)
+            often, often_times, often_of = in_order[many & first], times[times >= OFTEN], of[order][many]
+            often_part = part[order][many & first]
+            single = np.zeros(len(tokens), dtype=bool)
+            single[order[~many]] = True
+            tokens, of, part = tokens[single], of[single], part[single]
             order = np.argsort(part.astype(np.uint16 if ranges <= 1 << 16 else np.uint32), kind="stable")
             low, of, part = tokens.astype("<u4")[order], of[order], part[order]
-            there, starts = np.unique(part, return_index=True)
-            stops = np.r_[starts[1:], len(part)][: len(starts)]
+            there = np.union1d(part, often_part)
+            ends = [(np.searchsorted(p, there), np.searchsorted(p, there, side="right")) for p in (part, often_part)]
             # the same rows in the same partition get the same name, should the task run again
             name = xxh3_64_intdigest(repr((TaskContext.get().partitionId(), number, ids)).encode() + b"".join(k or b"" for k in keys)) - (1 << 63)
-            rows = [(int(r), name, low[a:b].tobytes(), _steps(of[a:b]), None, None, None, None, None) for r, a, b in zip(there, starts, stops, strict=True)]
-            rows.append((name % ranges, name, None, None, ids, marks, counts.tolist(), keys, len(rows)))
+            low_often, times_often = often.astype("<u4"), often_times.astype("<u4")
+            rows = [(int(r), name, low[a:b].tobytes(), _steps(of[a:b]), low_often[c:d].tobytes(), times_often[c:d].tobytes(), None, None, None, None, None) for r, a, b, c, d in zip(there, *ends[0], *ends[1], strict=True)]
+            called = _named(often, often_part)
+            rows.append((name % ranges, name, called.tobytes(), often_of.astype("<u4").tobytes(), None, times_often.tobytes(), ids, marks, counts.tolist(), keys, len(rows)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(spread, _SPREAD)
@@ -157,21 +181,25 @@ def _counted(part: pa.Table) -> pa.Table:
     """Of the tokens of one range, those in two sets or more, with the logarithm of the number of sets."""
     rows = part.to_pylist()
     held = [r for r in rows if r["ids"] is None]
-    tokens = np.frombuffer(b"".join(r["tokens"] for r in held), dtype="<u4")
+    single = np.frombuffer(b"".join(r["tokens"] for r in held), dtype="<u4")
+    often = np.frombuffer(b"".join(r["often"] for r in held), dtype="<u4")
+    times = np.concatenate([np.ones(len(single), dtype=np.int64), np.frombuffer(b"".join(r["times"] for r in held), dtype="<u4")])
+    tokens = np.concatenate([single, often])
     order = np.argsort(tokens)
     in_order = tokens[order]
     starts = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]][: len(tokens)])
     sizes = np.diff(np.r_[starts, len(tokens)])
     levels = np.empty(len(tokens), dtype=np.uint8)
-    levels[order] = np.repeat(np.log2(sizes).astype(np.uint8), sizes)
-    at = 0
+    if len(tokens):
+        levels[order] = np.repeat(np.log2(np.add.reduceat(times[order], starts)).astype(np.uint8), sizes)
+    at, at_often = 0, len(single)
     for r in held:
-        count = len(r["tokens"]) // 4
+        count, count_often = len(r["tokens"]) // 4, len(r["often"]) // 4
         own, level = tokens[at : at + count], levels[at : at + count]
         kept = level > 0
         r["places"] = _steps(_places(r["places"], count)[kept])
-        r["tokens"], r["levels"] = own[kept].tobytes(), level[kept].tobytes()
-        at += count
+        r["tokens"], r["levels"] = own[kept].tobytes(), level[kept].tobytes() + levels[at_often : at_often + count_often].tobytes()
+        at, at_often = at + count, at_often + count_often
     types = [*part.schema.types, pa.binary()]
     names = [*part.schema.names, "levels"]
     return pa.table([pa.array([r.get(n) for r in rows], t) for n, t in zip(names, types, strict=True)], names=names)
@@ -201,9 +229,16 @@ def _prefixes(part: pa.Table, percent: int) -> pa.Table:
     if own and held:
         n = np.array([batch["sizes"][i] for i in own], dtype=np.int64)
         low = [np.frombuffer(r["tokens"], dtype="<u4") for r in held]
-        tokens = np.concatenate([x.astype(np.uint64) | np.uint64(r["range"] << 32) for x, r in zip(low, held, strict=True)])
-        of = np.concatenate([_places(r["places"], len(x)) for x, r in zip(low, held, strict=True)])
-        levels = np.frombuffer(b"".join(r["levels"] for r in held), dtype=np.uint8)
+        often = [np.frombuffer(r["often"], dtype="<u4") for r in held]
+        found = [np.frombuffer(r["levels"], dtype=np.uint8) for r in held]
+        named = lambda parts: np.concatenate([_named(x.astype(np.uint64), np.full(len(x), r["range"])) for x, r in zip(parts, held, strict=True)])
+        called, known = named(often), np.concatenate([x[len(own_low) :] for x, own_low in zip(found, low, strict=True)])
+        order = np.argsort(called)
+        once, times = np.frombuffer(batch["tokens"], dtype=np.uint64), np.frombuffer(batch["times"], dtype="<u4")
+        of_once = known[order][np.searchsorted(called[order], once)] if len(once) else known
+        tokens = np.concatenate([named(low), np.repeat(once, times)])
+        of = np.concatenate([*[_places(r["places"], len(x)) for x, r in zip(low, held, strict=True)], np.frombuffer(batch["places"], dtype="<u4").astype(np.int64)])
+        levels = np.concatenate([*[x[: len(own_low)] for x, own_low in zip(found, low, strict=True)], np.repeat(of_once, times)])
         need = n - -(-percent * n // 100) + 1 - (n - np.bincount(of, minlength=len(n)))
         need[100 * n < percent * (n + 1)] = 0  # no other set is close enough in size
         some = need[of] > 0
@@ -229,7 +264,8 @@ def documents_and_prefixes(docs: DataFrame, words: int = WORDS, percent: int = P
     """What `_prefixes` gives of all documents (doc_id and text).
 
     Every token of every set is counted. Tokens travel to ranges of the hash, as many as the data need, and those of
-    more than one set come back to the batch of documents that sent them: no table of frequencies is held anywhere.
+    more than one set come back to the batch of documents that sent them: no table of frequencies is held anywhere. A
+    token that many sets of a batch have travels once for the batch, so a frequent one is no one task's work.
     Equal sets in several batches count several times, which changes orders, not results.
     """
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]

@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from oracle import assert_same
 from pyspark.sql import functions as F
@@ -98,7 +99,7 @@ def test_colliding_hashes_do_not_join_texts(spark):
 @pytest.mark.parametrize("small", [False, True])
 def test_near_duplicates_agree_with_brute_force(spark, sf_dir, monkeypatch, small):
     if small:  # so that frequent tokens, blocks and several ranges occur
-        for name, value in (("LARGE", 2), ("FREQUENT", 2), ("BLOCK", 3), ("BLOCK_TOKENS", 2000), ("LEADERS", 1), ("GATHERED", 20_000)):
+        for name, value in (("LARGE", 2), ("FREQUENT", 2), ("BLOCK", 3), ("BLOCK_TOKENS", 2000), ("LEADERS", 1), ("GATHERED", 20_000), ("OFTEN", 2)):
             monkeypatch.setattr(jaccard_join, name, value)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     base = "the quick brown fox jumps over the lazy dog while seven old ravens watch from a dead oak near the river bank today".split()
@@ -110,6 +111,18 @@ def test_near_duplicates_agree_with_brute_force(spark, sf_dir, monkeypatch, smal
     assert {r.doc_id: r.component_id for r in found} == roots
 
 
+def test_a_token_of_all_sets_is_sent_once_for_each_batch(spark):
+    line = "this very line stands in every single document of the table as a license would"
+    docs = spark.createDataFrame([(i, " ".join([line, *(f"w{i}x{k}" for k in range(60))])) for i in range(300)], "doc_id bigint, text string").coalesce(1)
+    rows = jaccard_join._spread(docs, 3, 4).collect()
+    sent = [r for r in rows if r.ids is None]
+    times = sorted(n for r in sent for n in np.frombuffer(r.times, "<u4").tolist())
+    assert times == [300] * (len(line.split()) - 3)
+    assert sum(len(r.tokens) for r in sent) // 4 == 300 * 60
+    found = jaccard_join.documents_and_prefixes(docs).filter("kind = 2").count()
+    assert found == 0  # tokens of one set alone fill every prefix
+
+
 def test_a_set_is_gathered_once_however_many_copies_the_bitmap_hits(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BITS", 32)  # so that copies are hit by mistake
     shared = "one text that many documents share"
