@@ -105,8 +105,8 @@ def mixture(docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, weigh
 def mixed_documents(docs: DataFrame, percent: int = PERCENT, epochs: int = EPOCHS, weights: dict | None = None, seed: int = SEED, id_col: str = "doc_id") -> DataFrame:
     """The documents of the mixture with all their columns, a row for each epoch that takes them.
 
-    Rows are numbered first and taken by number, so null and repeated ids come as often as the mixture says. Columns
-    may have any names.
+    Rows are numbered first and taken by number, so null and repeated ids come as often as the mixture says. Null and
+    very long texts are as in `mixture`. An empty table gives an empty result. Columns may have any names.
     """
     rows = numbered(docs)
     flat = rows.select("number", *[F.col("row")[c].alias(a) for c, a in ((id_col, "doc_id"), ("source", "source"), ("lang", "lang"), ("text", "text"))])

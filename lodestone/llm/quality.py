@@ -112,7 +112,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: Column | None = Non
     Texts are read once and not shuffled; a site of any size is summed in parts and looked up by salted
     keys.
 
-    Null hosts and paths are sites of their own; null texts count as empty. Without labels every document
+    Null hosts and paths are sites of their own; null texts count as empty, and an empty text has the features of no
+    words; very long texts are read whole. Equal scores are kept or left alike. Without labels every document
     score is 0.5. Repeated rows are kept, each as a document. An empty table gives an empty result. Other
     columns are not read.
     """

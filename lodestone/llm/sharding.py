@@ -64,7 +64,8 @@ def shard_documents(docs: DataFrame, path: str, n_shards: int = SHARDS, seed: in
 
     Rows are numbered first and find their place by number, so null and repeated ids keep all their rows. A file has
     FILE_ROWS rows of a shard at most, in slot order. Where documents have columns shard or slot, ours get a `_` more.
-    An empty table writes no shard.
+    Very long texts are written whole; documents that tie in their fraction are in the order of `interleaved_shards`. An
+    empty table writes no shard.
     """
     rows = numbered(docs)
     flat = rows.select("number", *[F.col("row")[c].alias(c) for c in ("doc_id", "source", "text")])

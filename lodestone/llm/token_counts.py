@@ -154,7 +154,8 @@ def _counter(path: str) -> UnigramCounter:
 def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens and score for each row, in the order of the rows; nothing is shuffled.
 
-    Null and empty texts have 0 tokens and score 0. Null ids and repeated rows are kept as they are. An
+    Null and empty texts have 0 tokens and score 0; very long texts are counted whole, in memory proportional to their
+    length; ties are as in `UnigramCounter`. Null ids and repeated rows are kept as they are. An
     empty table gives an empty result. Other columns are not read.
     """
     path = path or vocabulary_path()

@@ -388,7 +388,10 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS,
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, seed: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` below the threshold, with all their columns; nothing is shuffled but the training rows."""
+    """The rows of `docs` below the threshold, with all their columns; nothing is shuffled but the training rows.
+
+    Null and empty texts and null ids are as in `toxicity_scores`; an empty table gives an empty result.
+    """
     return docs.filter(toxicity(train_grammar(docs, labels, rows, seed))("text") < threshold)
 
 

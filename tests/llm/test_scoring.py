@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 import pytest
 from oracle import assert_same
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from test_dedup_and_join import odd
 
 from lodestone.llm import quality, secrets, toxicity, vector_search
+from lodestone.llm.logistic import fit_logistic
 
 NO_LABELS = "doc_id bigint, quality int, toxic int"
 
@@ -222,6 +225,61 @@ def test_quality_of_odd_rows(spark):
     assert quality.quality_scores(odd(spark).limit(0), labels).count() == 0
 
 
+def features_by_hand(text):
+    text = text or ""
+    n, words, lines = max(1, len(text)), re.split(r"[\x20\x09-\x0D]+", text), re.split(r"\n+", text)
+    share = lambda pattern: len(re.findall(pattern, text)) / n
+    return [
+        math.log1p(n), share("[A-ZÀ-ÖØ-Þ]"), share("[0-9]"), share("!"), share(r"\|"), share("[#*]"), share("\n"),
+        math.log1p(n / len(words)), len(set(words)) / len(words), len(set(lines)) / len(lines),
+    ]
+
+
+def worth_by_hand(groups, within):
+    """groups: (documents, mean, mean above)."""
+    total, squares = sum(n for n, _, _ in groups), sum(n * n for n, _, _ in groups)
+    room = total - squares / total
+    if room <= 0:
+        return 1e6
+    between = (sum(n * (m - a) ** 2 for n, m, a in groups) - (len(groups) - 1) * within) / room
+    return min(1e6, max(1.0, within / between - 1)) if between > within / 1e6 else 1e6
+
+
+def test_quality_is_that_of_summing_by_hand(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    docs = docs.select("doc_id", "text", "source", "lang").unionByName(spark.createDataFrame([(9001, "a lonely page", "once", "en"), (9002, None, None, None), (9002, "", None, None)], "doc_id bigint, text string, source string, lang string"))
+    rows = docs.collect()
+    marks = {}
+    for r in labels.collect():
+        if r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            marks[r.doc_id] = max(r.quality, marks.get(r.doc_id, 0))
+    x = np.array([features_by_hand(r.text) for r in rows])
+    chosen = [k for k, r in enumerate(rows) if r.doc_id in marks]
+    mean, spread = x[chosen].mean(axis=0), x[chosen].std(axis=0)
+    z = np.clip((x - mean) / np.where(spread > 1e-9, spread, 1), -6, 6)
+    z = np.column_stack([z, z * z])
+    logit = np.clip(np.column_stack([np.ones(len(z)), z]) @ fit_logistic(z[chosen], np.array([marks[rows[k].doc_id] for k in chosen], float)), -30, 30)
+    p = 1 / (1 + np.exp(-logit))
+    paths, hosts = {}, {}
+    for r, own in zip(rows, p, strict=True):
+        paths.setdefault((r.source, r.lang), []).append(own)
+        hosts.setdefault(r.source, []).append(own)
+    rate = p.mean()
+    within = rate * (1 - rate)
+    host_worth = worth_by_hand([(len(h), np.mean(h), rate) for h in hosts.values()], within)
+    prior = {k: (sum(h) + host_worth * rate) / (len(h) + host_worth) for k, h in hosts.items()}
+    worth = worth_by_hand([(len(v), np.mean(v), np.mean(hosts[k[0]])) for k, v in paths.items()], within)
+    expected = []
+    for r, own, at in zip(rows, p, logit, strict=True):
+        group = paths[r.source, r.lang]
+        site = (sum(group) - own + worth * prior[r.source]) / (len(group) - 1 + worth)
+        site = min(1 - 1e-6, max(1e-6, site))
+        expected.append((r.doc_id, 1 / (1 + np.exp(-(at + np.log(site / (1 - site)) - np.log(rate / (1 - rate)))))))
+    found = sorted((r.doc_id, r.score) for r in quality.quality_scores(docs, labels).collect())
+    assert [i for i, _ in found] == [i for i, _ in sorted(expected)]
+    assert [s for _, s in found] == pytest.approx([s for _, s in sorted(expected)], abs=1e-6)
+
+
 def test_search_agrees_with_sql(spark, sf_dir, duck):
     assert assert_same(vector_search.query(spark, sf_dir), duck, vector_search.ORACLE)
 
