@@ -414,6 +414,28 @@ def rendered_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rendering.documents(rendering.section_bodies(items))
 
 
+_SHAPED_BODY = """WITH l AS (SELECT *, 'p' || l_partkey AS p, l_quantity::BIGINT AS q FROM lineitem)
+SELECT l_orderkey AS unit, 'services' AS section, '| Service | Members | Called from |' || chr(10) || '|-|-|-|' || chr(10) || string_agg('| ' || p || ' | a\\|b |  |', chr(10) ORDER BY l_linenumber, p) AS body FROM l WHERE l_returnflag = 'R' GROUP BY 1
+UNION ALL SELECT l_orderkey, 'behaviour', '### Methods' || chr(10) || string_agg('- **' || p || '** q' || q || '; last' || CASE WHEN q % 2 = 0 THEN chr(10) || '  - Pre: x' || chr(10) || '  - Post: ' || q ELSE '' END, chr(10) ORDER BY l_linenumber, p, 'q' || q) FROM l WHERE l_returnflag = 'A' GROUP BY 1
+UNION ALL SELECT l_orderkey, 'migration', 'Effort ' || min(l_linenumber) || CASE WHEN bool_or(q > 25) THEN chr(10) || chr(10) || '### Steps' || chr(10) || string_agg(n || '. ' || p, chr(10) ORDER BY n) FILTER (q > 25) ELSE '' END
+FROM (SELECT *, count(*) FILTER (q > 25) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, p, l_quantity, l_extendedprice ROWS UNBOUNDED PRECEDING) AS n FROM l WHERE l_returnflag = 'N') GROUP BY 1"""
+
+
+@_query(_SHAPED_BODY)
+def shaped_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of different shapes: tables, nested and numbered lists, texts."""
+    rows = read_table(spark, sf_dir, "lineitem").withColumns({"unit": F.col("l_orderkey"), "p": F.expr("concat('p', l_partkey)"), "q": F.col("l_quantity").cast("bigint").cast("string")})
+    none = F.lit(None).cast("string")
+    part = lambda where, section, name, ord_, cells, below=None: rows.filter(where).select("unit", F.lit(section).alias("section"), F.lit(name).alias("part"), ord_.cast("int").alias("ord"), cells.alias("cells"), (F.lit(None) if below is None else below).cast("array<string>").alias("below"))
+    place = F.col("l_linenumber")
+    items = part("l_returnflag = 'R'", "services", "calls", place, F.array("p", F.lit("a|b"), none))
+    below = F.when(F.col("q") % 2 == 0, F.array(F.lit("Pre: x"), F.concat(F.lit("Post: "), "q")))
+    items = items.unionByName(part("l_returnflag = 'A'", "behaviour", "methods", place, F.array(F.col("p"), F.concat(F.lit("q"), "q"), none, F.lit("last")), below))
+    effort = rows.filter("l_returnflag = 'N'").groupBy("unit").agg(F.min("l_linenumber").alias("n")).select("unit", F.lit("migration").alias("section"), F.lit("effort").alias("part"), F.lit(1).alias("ord"), F.array(F.lit("Effort"), F.col("n").cast("string")).alias("cells"), F.lit(None).cast("array<string>").alias("below"))
+    steps = part("l_returnflag = 'N' AND CAST(q AS BIGINT) > 25", "migration", "steps", place, F.array("p"))
+    return rendering.shaped_bodies(items.unionByName(effort).unionByName(steps).unionByName(part("l_returnflag = 'N'", "nowhere", "x", place, F.array("p"))))
+
+
 @_query("""SELECT p_partkey, '# ' || p_name || chr(10) || lower(p_type) || ' in src/' || p_brand || CASE WHEN p_size > 9 THEN chr(10) || '- size: ' || p_size ELSE '' END || chr(10) || '- brand: ' || p_brand AS page FROM part""")
 def trivial_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK05: the short page of each trivial unit; facts that are not there have no line."""

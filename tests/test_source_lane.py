@@ -100,6 +100,28 @@ def test_documents_have_all_sections_in_order(spark):
     assert rendering.documents(rendering.section_bodies(items.limit(0))).count() == 0
 
 
+def test_sections_have_their_shapes(spark):
+    items = [
+        ("u", "overview", "responsibilities", 2, ["b"], None),
+        ("u", "overview", "responsibilities", None, ["a", None, "note", "more"], ["below", "it"]),
+        ("u", "overview", "purpose", 1, ["what", "for"], None),
+        ("u", "overview", "purpose", 2, ["and"], None),
+        ("u", "risks", "risks", 1, ["high", "a | b"], None),
+        ("u", "risks", "risks", 2, [None, ""], None),
+        ("u", "workflow", "steps", 2, ["then"], None),
+        ("u", "workflow", "steps", 1, ["first"], ["why"]),
+        ("u", "workflow", "unknown", 1, ["no"], None),
+    ]
+    made = spark.createDataFrame(items, "unit string, section string, part string, ord int, cells array<string>, below array<string>")
+    found = {r.section: r.body for r in rendering.shaped_bodies(made).collect()}
+    assert found == {
+        "overview": "what for\n\nand\n\n### Responsibilities\n- **a** note; more\n  - below\n  - it\n- b",
+        "risks": "| Severity | Risk |\n|-|-|\n| high | a \\| b |\n|  |  |",
+        "workflow": "1. first\n  - why\n2. then",
+    }
+    assert rendering.shaped_bodies(made.limit(0)).count() == 0
+
+
 def test_ways_to_clean_up(spark):
     rows = [
         (True, "this.s . unsubscribe ()", "", "ngOnDestroy-unsubscribe"),
