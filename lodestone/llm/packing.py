@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,12 @@ from lodestone.llm.common import bucket_bits, durable, hex_bucket, seeded, table
 CAPACITY = 2048
 END_ID = 1
 SEED = 13
-#: Texts of this many bytes, and this many cached words, are held by a Python worker at once.
-BATCH_BYTES, CACHED_WORDS = 4_000_000, 1_500_000
+#: Texts of this many bytes are held by a Python worker at once; more where words are looked up, which costs a pass over the known ones.
+BATCH_BYTES, LOOKUP_BYTES = 4_000_000, 8_000_000
+#: Bytes of known words and their ids in a Python worker, and words that are encoded in one call.
+CACHED_BYTES, TOGETHER = 40_000_000, 200
+#: What may follow letters as a word of its own.
+PUNCTUATION = ".,;:!?*$&%#"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -36,13 +40,13 @@ def pack_ids(ids: list[int]) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
-class WordIds:
+class LearnedIds:
     """Token ids of texts, as little-endian 32-bit bytes, with the ids of recent words at hand.
 
-    The tokenizer never joins characters across ASCII white space, so the ids of a text are those of its
-    words, one after the other; and it never joins letters with punctuation, so the ids of letters that
-    punctuation follows are those of the letters and those of the punctuation. Texts of Latin-1 alone are
-    put in small letters first, as the tokenizer does. When the cache is full, it keeps the words of the last batch.
+    Subclasses say where a text can be parted into words (`_parted`), and encode those that are new (`_encode`). Known
+    words and their ids are two Arrow arrays: the words of a batch are numbered together with them, so that new ones are
+    those with higher numbers and only these become Python's. When the arrays are larger than CACHED_BYTES, the half that
+    was met last stays, if it is smaller than that.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,65 +54,136 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        #: when each word was met last, in batches
+        self.met, self.batches = np.zeros(0, np.int64), 0
+
+    def _marked(self, chosen: Callable[[str], bool]) -> np.ndarray:
+        """For each id, whether its token is chosen."""
         vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.recent: set[bytes] = set()
-
-    def _encode(self, words: list[bytes]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
-            self.words[word] = pack_ids(found.ids)
-
-    def _encode_letters(self, words: list[bytes]) -> None:
-        """Words of letters alone: each has one token that ends a word, its last, so many can be encoded as one text."""
-        for at in range(0, len(words), 500):
-            some = words[at : at + 500]
-            ids = np.asarray(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, dtype="<u4")
-            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
-            if len(stops) != len(some):
-                self._encode(some)
+        marks = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        marks[[i for token, i in vocabulary.items() if chosen(token)]] = True
+        return marks
+
+    def _parted(self, texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The bytes of all words one after the other, where each starts, and the words before each text's end."""
+        raise NotImplementedError
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        raise NotImplementedError
+
+    def _each(self, words: list[str]) -> Iterator[bytes]:
+        """The ids of words one by one."""
+        for at in range(0, len(words), TOGETHER):
+            for found in self.tokenizer.encode_batch_fast(words[at : at + TOGETHER], add_special_tokens=False):
+                yield pack_ids(found.ids)
+
+    def _joined(self, words: list[str], spelled: Callable[[list[str]], str], marks: np.ndarray, ends: bool) -> Iterator[bytes]:
+        """The ids of words many at a time: in the text that `spelled` makes of them, a word's last id (or first, unless `ends`) is marked, and no other."""
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            ids = pack_ids(self.tokenizer.encode_batch_fast([spelled(some)], add_special_tokens=False)[0].ids)
+            found = np.flatnonzero(marks[np.frombuffer(ids, "<u4")])
+            if len(found) != len(some):
+                yield from self._each([spelled([word]) for word in some])
                 continue
-            packed, start = ids.tobytes(), 0
-            for word, stop in zip(some, stops.tolist(), strict=True):
-                self.words[word] = packed[start:stop]
-                start = stop
-
-    def _learn(self, new: set[bytes]) -> None:
-        letters, others, compound = set(), set(), []
-        for word in new:
-            core = word.rstrip(b".,;:!?")
-            # small letters count: one of them may stand for a letter and a mark, which joins the punctuation
-            if not (core.isalpha() or core.decode().lower().isalpha()):
-                others.add(word)
-            elif len(core) == len(word):
-                letters.add(word)
-            else:
-                letters.add(core)
-                others.add(word[len(core) :])
-                compound.append((word, core))
-        self._encode_letters(list(letters - self.words.keys()))
-        self._encode(list(others - self.words.keys()))
-        for word, core in compound:
-            self.words[word] = self.words[core] + self.words[word[len(core) :]]
+            cuts = [0, *((found + 1) * 4).tolist()] if ends else [*(found * 4).tolist(), len(ids)]
+            yield from (ids[a:b] for a, b in pairwise(cuts))
+
+    def _held(self) -> int:
+        return self.words.nbytes + self.ids.nbytes
+
+    def _keep(self, numbers: np.ndarray) -> None:
+        self.words, self.ids, self.met = self.words.take(pa.array(numbers)), self.ids.take(pa.array(numbers)), self.met[numbers]
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        data, starts, before = self._parted(texts)
+        cuts = np.append(starts, len(data)).astype(np.int64)
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        n = len(self.words)
+        numbered = pa.concat_arrays([self.words, words]).dictionary_encode()
+        self.words, indices = numbered.dictionary, numbered.indices[n:]
+        if new := self.words[n:].to_pylist():
+            found = self._encode(new)
+            self.ids = pa.concat_arrays([self.ids, pa.array([found[word] for word in new], pa.large_binary())])
+        taken = self.ids.take(indices)
+        self.batches += 1
+        self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        self.met[indices.to_numpy()] = self.batches
+        if self._held() > CACHED_BYTES:
+            self._keep(np.sort(np.argsort(self.met, kind="stable")[len(self.met) // 2 :]))
+            if self._held() > CACHED_BYTES:
+                self._keep(np.zeros(0, np.int64))
+        _, offsets, ids = taken.buffers()
+        at = np.frombuffer(offsets, np.int64)[taken.offset : taken.offset + len(taken) + 1][before].tolist() if len(taken) else [0] * len(texts)
+        view = memoryview(ids or b"")
+        for a, b in pairwise([0, *at]):
+            yield bytes(view[a:b])
+
+
+def after_letters(data: np.ndarray, punctuation: str) -> np.ndarray:
+    """Where a sign of `punctuation` follows a letter of ASCII or Latin-1: no tokenizer used here joins these."""
+    signs = np.zeros(256, dtype=bool)
+    signs[list(punctuation.encode())] = True
+    at = np.flatnonzero(signs[data[1:]]) + 1
+    last = data[at - 1]
+    plain = (last | 32) - ord("a") < 26
+    # U+00C0 to U+00FF are 0xC3 and one more byte; two of them are signs
+    latin = (last >= 0x80) & (data[at - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)
+    return at[plain | latin]
+
+
+def text_starts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where texts that aren't empty start, and where each text ends, in all of them together."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    return (ends - sizes)[sizes > 0], ends
+
+
+class WordIds(LearnedIds):
+    """Token ids by the word-level vocabulary.
+
+    The tokenizer never joins characters across ASCII white space, so the ids of a text are those of its
+    words, one after the other; and it never joins letters with punctuation, so the ids of letters that
+    punctuation follows are those of the letters and those of the punctuation. Texts of Latin-1 alone are
+    put in small letters first, as the tokenizer does, unless they may hold a special token, which it
+    finds before that.
+    """
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        self.ends = self._marked(lambda token: token.endswith("</w>"))
 
     @staticmethod
-    def _split(text: str | None) -> list[bytes]:
+    def _lowered(text: str | None) -> bytes:
+        if not text:
+            return b""
         try:
-            return (text or "").encode("latin-1").decode("latin-1").lower().encode().split()
+            text.encode("latin-1")
         except UnicodeEncodeError:
-            return text.encode().split()
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        if len(self.words) > CACHED_WORDS:
-            self.words = {word: self.words[word] for word in self.recent}
-        split = [self._split(x) for x in texts]
-        known, self.recent = self.words, set(chain.from_iterable(split))
-        if new := {word for word in self.recent if word not in known}:
-            self._learn(new)
-        get = self.words.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+            return text.encode()
+        return (text if "<|" in text else text.lower()).encode()
+
+    def _parted(self, texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        lowered = [self._lowered(x) for x in texts]
+        data = np.frombuffer(b"".join(lowered), np.uint8)
+        first, ends = text_starts(lowered)
+        solid = ~((data - 9 < 5) | (data == 32))
+        starts = solid.copy()
+        starts[1:] &= ~solid[:-1]
+        starts[first] = solid[first]
+        starts[after_letters(data, PUNCTUATION)] = True
+        return data[solid].tobytes(), np.flatnonzero(starts[solid]), np.searchsorted(np.flatnonzero(starts), ends)
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        letters, others = [], []
+        for word in words:
+            # small letters count: one of them may stand for a letter and a mark, which is no letter
+            (letters if word.isalpha() and word.lower().isalpha() else others).append(word)
+        # letters have one token that ends a word, their last
+        found = dict(zip(letters, self._joined(letters, " ".join, self.ends, True), strict=True))
+        found.update(zip(others, self._each(others), strict=True))
+        return found
 
 
 _LOADED: dict[str, WordIds] = {}
@@ -121,11 +196,11 @@ def word_ids(path: str) -> WordIds:
     return _LOADED[path]
 
 
-def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about BATCH_BYTES of text."""
+def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `size` bytes of text."""
     for batch in batches:
         sizes = batch.column(batch.schema.get_field_index(text)).nbytes
-        rows = max(1, int(batch.num_rows * BATCH_BYTES / max(1, sizes)))
+        rows = max(1, int(batch.num_rows * size / max(1, sizes)))
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
 
@@ -139,7 +214,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of, end, width = word_ids(path), pack_ids([end_id]), 4 * capacity
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, size=LOOKUP_BYTES):
             out: tuple[list, ...] = ([], [], [], [], [], [])
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of(batch.column(1).to_pylist()), strict=True):
                 ids += end

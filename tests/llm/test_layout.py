@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from oracle import assert_same
 from pyspark.sql import functions as F
 from test_dedup_and_join import odd
@@ -232,6 +233,44 @@ def test_word_ids_are_the_tokenizer_s():
             assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_special_tokens_are_found_before_letters_are_made_small():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    texts = ["<|ENDOFTEXT|>", "A<|endoftext|>.", "<|EndOfText|>, B", "Ä <|startoftext|>!"]
+    for text, found in zip(texts, packing.WordIds(packing.tokenizer_path())(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_known_words_take_little_memory_and_are_encoded_once():
+    import tracemalloc
+
+    ids, letters = packing.WordIds(packing.tokenizer_path()), "abcdefghij"
+    texts = [" ".join(f"{a}{b}{c}{d}{e}z" for c in letters for d in letters for e in letters) for a in letters for b in letters]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        first = list(map(zlib.crc32, ids(texts)))
+        assert tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before < 75 * 100_000
+    finally:
+        tracemalloc.stop()
+    ids.tokenizer = None
+    assert list(map(zlib.crc32, ids(texts))) == first
+
+
+def test_a_full_store_of_words_keeps_its_bound_and_the_ids(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHED_BYTES", 2000)
+    tokenizer, rnd = Tokenizer.from_file(packing.tokenizer_path()), random.Random(5)
+    ids = packing.WordIds(packing.tokenizer_path())
+    for size in [3, 20, 1, 40, 0, 5, 1500, 2]:
+        texts = ["".join(rnd.choice("abcé,. ") for _ in range(rnd.randint(0, 30))) for _ in range(size)] + ["x" * size * 2]
+        for text, found in zip(texts, ids(texts), strict=True):
+            assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+        assert ids.words.nbytes + ids.ids.nbytes <= packing.CACHED_BYTES
+
+
 def test_packing_of_odd_rows(spark):
     found = packing.pack(odd(spark).filter("doc_id IS NOT NULL").drop("n")).collect()
     assert sum(r.length for r in found if r.doc_id == 3) == 1
