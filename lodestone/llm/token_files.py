@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-import gc
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain, compress
-from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm.common import table
-from lodestone.llm.packing import pack_ids, text_batches
+from lodestone.llm.packing import LOOKUP_BYTES, LearnedIds, after_letters, pack_ids, text_batches, text_starts
 from lodestone.tables import discard, shared_folder, written
 
 END_ID = 2
@@ -25,14 +21,10 @@ END_ID = 2
 LONGEST = 20
 #: A block ends with the document that reaches so many ids; a checkpoint is set every so many ids.
 BLOCK_IDS, CHECKPOINT = 1 << 18, 256
-#: Bytes of ids in one partition of the sort, and of cached words in a Python worker.
-PARTITION_BYTES, CACHED_BYTES = 48_000_000, 420_000_000
-#: What a cached word takes besides its characters and ids.
-WORD_BYTES = 180
+#: Bytes of ids in one partition of the sort.
+PARTITION_BYTES = 48_000_000
 #: What may follow letters as a piece of its own; an apostrophe may begin another one.
 PUNCTUATION = ".,;:!?*$&%#|"
-#: The Latin letters, of which every version of Unicode says the same.
-LATIN = 0x250
 
 
 def tokenizer_path() -> str:
@@ -42,116 +34,56 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class SpacedIds:
-    """Token ids of texts by a byte-level tokenizer, as little-endian 32-bit bytes, with the ids of recent words at hand.
+def after_white(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each place, whether the character before it is white space, or might be for some version of Unicode."""
+    last, second, third = data[at - 1], data[at - 2], data[at - 3]
+    white = (last == 32) | (last - 9 < 5) | (last - 28 < 4)
+    wide = np.flatnonzero(last >= 0x80)
+    a, b, c = third[wide], second[wide], last[wide]
+    white[wide] = (
+        ((b == 0xC2) & ((c == 0x85) | (c == 0xA0)))
+        | ((a == 0xE1) & (((b == 0x9A) & (c == 0x80)) | ((b == 0xA0) & (c == 0x8E))))
+        | ((a == 0xE2) & (((b == 0x80) & ((c <= 0x8B) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F))))
+        | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+    )
+    return white
 
-    This tokenizer begins a new piece at a space or a line feed between two characters that aren't white space, so the ids
-    of a text are those of its words, each with the space or line feed before it. Where these meet other white space, the
-    words on both sides are taken as one. It also parts Latin letters from the punctuation after them. New words are
-    encoded many at a time: the ids that begin with a space or line feed part them again. When the cache is full, it
-    keeps the words of the last batch.
+
+class SpacedIds(LearnedIds):
+    """Token ids by a byte-level vocabulary.
+
+    This tokenizer begins a new piece at white space after a character that isn't, so a text is parted at spaces and line
+    feeds there; each word keeps the white space before it. It also parts letters from the punctuation after them. New
+    words that one space or line feed begins are encoded many at a time: the ids that begin with these part them again.
     """
 
     def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.begins[[i for token, i in vocabulary.items() if token.startswith(("Ġ", "Ċ"))]] = True
-        #: by word, with its line feed but without its space: its ids; none for words that can't be parted from their neighbours
-        self.words: dict[str, bytes] = {}
-        self.firsts: dict[str, bytes] = {}
-        self.held = 0
-
-    def _one(self, text: str) -> bytes:
-        return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    @staticmethod
-    def _spelled(words: list[str]) -> str:
-        return "".join([w if w[:1] == "\n" else " " + w for w in words])
-
-    def _encode(self, words: list[str]) -> None:
-        for at in range(0, len(words), 500):
-            some = words[at : at + 500]
-            ids = pack_ids(self.tokenizer.encode(self._spelled(some), add_special_tokens=False).ids)
-            starts = (np.flatnonzero(self.begins[np.frombuffer(ids, "<u4")]) * 4).tolist()
-            if len(starts) == len(some):
-                for word, start, end in zip(some, starts, [*starts[1:], len(ids)], strict=True):
-                    self.words[word] = ids[start:end]
-            else:
-                for word in some:
-                    self.words[word] = self._one(self._spelled([word]))
-
-    def _learn(self, new: set[str]) -> None:
-        plain, compound = set(), []
-        for word in new:
-            if word.isalpha():
-                plain.add(word)
-                continue
-            letters = word[1:] if word[:1] == "\n" else word
-            if not letters or letters[0].isspace() or letters[-1].isspace():
-                self.words[word] = b""
-                continue
-            core = letters.rstrip(PUNCTUATION)
-            if core != letters and core.isalpha() and ord(max(core)) < LATIN:
-                core = word[: len(word) - len(letters) + len(core)]
-                plain.add(core)
-                compound.append((word, core))
-            else:
-                plain.add(word)
-        before = len(self.words)
-        self._encode([w for w in plain if w not in self.words])
-        ids_of = {tail: self._one(tail) for tail in {word[len(core) :] for word, core in compound}}
-        for word, core in compound:
-            self.words[word] = self.words[core] + ids_of[word[len(core) :]]
-        # an id takes four bytes, and stands for a byte of the word at least
-        self.held += (len(self.words) - before) * WORD_BYTES + sum(map(len, new)) * 5
-
-    def _first(self, word: str) -> bytes:
-        """The ids of a text's first word, which has no space before it."""
-        if word not in self.firsts:
-            self.firsts[word] = self._one(word)
-            self.held += WORD_BYTES + len(word) * 5
-        return self.firsts[word]
-
-    def _parted(self, words: list[str], found: list[bytes]) -> bytes:
-        """The ids of words of which some can't be parted from their neighbours: these go with the words on both sides."""
-        out, k = [], 0
-        while k < len(words):
-            last = k
-            while last + 1 < len(words) and not (found[last] and found[last + 1]):
-                last += 1
-            if k == last and k:
-                out.append(found[k])
-            else:
-                out.append(self._one(self._spelled(words[k : last + 1]) if k else words[0] + self._spelled(words[1 : last + 1])))
-            k = last + 1
-        return b"".join(out)
-
-    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [x.replace("\n", " \n").split(" ") if x else [] for x in texts]
-        if self.held > CACHED_BYTES:
-            recent = set(chain.from_iterable(split))
-            self.words = {word: ids for word, ids in self.words.items() if word in recent}
-            self.firsts = {}
-            self.held = sum(len(w) + len(i) + WORD_BYTES for w, i in self.words.items())
-        known = self.words
-        found = [list(map(known.get, words)) for words in split]
-        # what is not there yet is None, what can't be parted is empty
-        lacking = set(chain.from_iterable(compress(words, map(not_, ids)) for words, ids in zip(split, found, strict=True)))
-        if new := lacking.difference(known):
-            self._learn(new)
-        for words, ids in zip(split, found, strict=True):
-            for k in compress(range(len(words)), map(not_, ids)):
-                ids[k] = known[words[k]]
-            if not all(ids):
-                yield self._parted(words, ids)
-            else:
-                if words:
-                    ids[0] = self._first(words[0])
-                yield b"".join(ids)
+        super().__init__(path)
+        self.begins = self._marked(lambda token: token.startswith(("Ġ", "Ċ")))
+
+    def _parted(self, texts: list[str | None]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        encoded = [x.encode() if x else b"" for x in texts]
+        whole = b"".join(encoded)
+        data = np.frombuffer(whole, np.uint8)
+        first, ends = text_starts(encoded)
+        starts = np.zeros(len(data), dtype=bool)
+        spaces = np.flatnonzero((data[3:] == 32) | (data[3:] == 10)) + 3
+        starts[spaces[~after_white(data, spaces)]] = True
+        signs = after_letters(data, PUNCTUATION)
+        # a special token may end so
+        starts[signs[(data[signs] != ord("|")) | (data[np.minimum(signs + 1, len(data) - 1)] != ord(">"))]] = True
+        starts[first] = True
+        at = np.flatnonzero(starts)
+        return whole, at, np.searchsorted(at, ends)
+
+    def _encode(self, words: list[str]) -> dict[str, bytes]:
+        spaced, others = [], []
+        for word in words:
+            # no other white space: neither inside nor where the next word would meet it
+            (spaced if word[0] in " \n" and len(word) > 1 and len(word.split()) == 1 and not (word[1].isspace() or word[-1].isspace()) else others).append(word)
+        found = dict(zip(spaced, self._joined(spaced, "".join, self.begins, False), strict=True))
+        found.update(zip(others, self._each(others), strict=True))
+        return found
 
 
 _LOADED: dict[str, SpacedIds] = {}
@@ -273,19 +205,14 @@ def token_ids(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], ["doc_id", "n_tokens", "ids_crc32", "ids", "counts"])
 
-        # lists of words and ids hold no cycles, so looking for some takes time alone
-        gc.disable()
-        try:
-            for batch in text_batches(batches):
-                found = [ids + end for ids in ids_of(batch.column(1).to_pylist())]
-                whole = np.frombuffer(b"".join(found), "<u4")
-                counts += np.bincount(whole, minlength=len(counts))
-                ends = np.cumsum([len(x) // 4 for x in found]).tolist()
-                packed, size = whole.astype(kind).tobytes(), int(kind[-1])
-                ids = [packed[a * size : b * size] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                yield rows(batch.column(0).to_pylist(), [len(x) // 4 for x in found], [zlib.crc32(x) for x in found], ids, [None] * len(ids))
-        finally:
-            gc.enable()
+        for batch in text_batches(batches, size=LOOKUP_BYTES):
+            found = [ids + end for ids in ids_of(batch.column(1).to_pylist())]
+            whole = np.frombuffer(b"".join(found), "<u4")
+            counts += np.bincount(whole, minlength=len(counts))
+            ends = np.cumsum([len(x) // 4 for x in found]).tolist()
+            packed, size = whole.astype(kind).tobytes(), int(kind[-1])
+            ids = [packed[a * size : b * size] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            yield rows(batch.column(0).to_pylist(), [len(x) // 4 for x in found], [zlib.crc32(x) for x in found], ids, [None] * len(ids))
         if counts.any():
             yield rows([None], [None], [None], [None], [counts.tobytes()])
 

@@ -11,6 +11,7 @@ from collections import Counter
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from oracle import assert_same
 from pyspark.sql import functions as F
@@ -231,6 +232,31 @@ def test_ids_are_those_of_whole_texts(tokenizer):
         assert list(ids_of(some)) == [token_files.pack_ids(tokenizer.encode(t or "", add_special_tokens=False).ids) for t in some]
 
 
+def test_words_beside_other_white_space_are_their_own(tokenizer):
+    white = [" ", "\n", "\t", "\x0b", "\x1c", *map(chr, (0x85, 0xA0, 0x1680, 0x180E, 0x2000, 0x200A, 0x200B, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
+    ids_of = token_files.SpacedIds(token_files.tokenizer_path())
+    texts = [f"{a}{v}{w}{b}" for v in ("", *white) for w in white for a in ("x", "é", "…", "你", "<|endoftext|>", "") for b in ("x", ".", "")]
+    texts += ["<|endoftext|>", "x<|endoftext|> y", "x|>", "x|", "x| <|endoftext|>|y"]
+    for text, found in zip(texts, ids_of(texts), strict=True):
+        assert found == token_files.pack_ids(tokenizer.encode(text, add_special_tokens=False).ids), repr(text)
+
+
+def test_known_words_take_little_memory_and_are_encoded_once():
+    import tracemalloc
+
+    ids, letters = token_files.SpacedIds(token_files.tokenizer_path()), "abcdefghij"
+    texts = ["\n\n  ".join(" ".join(f"{a}{b}{c}{d}{e}z." for c in letters for d in letters) for e in letters) for a in letters for b in letters]
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes()
+        first = list(map(zlib.crc32, ids(texts)))
+        assert tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before < 75 * 100_000
+    finally:
+        tracemalloc.stop()
+    ids.tokenizer = None
+    assert list(map(zlib.crc32, ids(texts))) == first
+
+
 def cost(lengths, counts):
     return sum(n * w for n, w in zip(lengths, counts, strict=True))
 
