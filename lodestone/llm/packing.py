@@ -228,6 +228,8 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
                 arrays.append(pa.array([np.frombuffer(x, "<u4").astype("i4") for x in out[5]], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
+            # Arrow would keep this for later batches, beside a JVM with a full heap
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
 
