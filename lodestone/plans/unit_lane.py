@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.json_paths import flattened
 from lodestone.operators import audit, diff, predicates, projections, query_verbs
-from lodestone.plans.table_lane import read_table
+from lodestone.plans.table_lane import dealt, read_table
 from lodestone.sources import forms, tier_files, units
 from lodestone.tables import shared_folder
 
@@ -27,9 +27,9 @@ def _query(oracle: str):
     return add
 
 
-def _made(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+def _made(spark: SparkSession, sf_dir: str, text: str, deal=lambda parts: parts) -> DataFrame:
     """A source for each part: path (its key) and text, by an expression that DuckDB reads alike."""
-    return read_table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), F.expr(text).alias("text"))
+    return deal(read_table(spark, sf_dir, "part")).select(F.col("p_partkey").cast("string").alias("path"), F.expr(text).alias("text"))
 
 
 # ---- forms ---------------------------------------------------------------------------------------------------
@@ -53,7 +53,7 @@ def form_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 WHERE p_size % 4 <> 3 AND (rest = 9 OR rest = p_partkey % 3)""")
 def form_controls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The controls of each form, with kinds, validators in order and conditions."""
-    found = forms.form_controls(_made(spark, sf_dir, _FORM))
+    found = forms.form_controls(_made(spark, sf_dir, _FORM, dealt))
     return found.select(F.col("path").cast("bigint").alias("p_partkey"), "id", "kind", F.array_join("validators", " ").alias("validators"), "disabled")
 
 

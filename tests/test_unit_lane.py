@@ -48,6 +48,26 @@ def test_forms_of_odd_sources(spark):
     }
 
 
+def test_controls_are_found_where_their_source_lies(spark, sf_dir):
+    plan = unit_lane.QUERIES["form_controls"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_forms_of_long_sources_take_the_work_of_their_length(spark):
+    many = 3000
+    controls = ", ".join(f"c{k}: [{{ value: 0, disabled: x{k} }}, Validators.min({k})]" for k in range(many))
+    found = forms.form_controls(spark.createDataFrame([("a", f"class A {{ f = new FormGroup({{ {controls} }}); }}")], "path string, text string")).collect()
+    assert [(r.id, r.validators, r.disabled) for r in found] == [(f"control:f.c{k}", ["min"], f"x{k}") for k in range(many)]
+
+
+def test_controls_of_odd_objects(spark):
+    text = "class A { f = new FormGroup({ a: [{ disabled: 1, disabled: [2, 3] }], b: ',', c: { disabled: ',' }, , d: '[', ...e, g() { Validators.no }, h: `${ Validators.max }` }); g = new FormGroup({ open: 1"
+    found = forms.form_controls(spark.createDataFrame([("a", text), (None, "class B { f = this.b.group({ x: '' }) }")], "path string, text string")).collect()
+    assert {(r.path, r.id[8:], tuple(r.validators), r.disabled) for r in found} == {
+        ("a", "f.a", (), "[2, 3]"), ("a", "f.b", (), None), ("a", "f.c", (), "','"), ("a", "f.d", (), None), ("a", "f.h", ("max",), None), (None, "f.x", (), None)
+    }
+
+
 def test_origins_are_whole_names(spark):
     rows = [("Router", "angular"), ("MyRouter", "internal"), ("router", "internal"), ("", "internal"), (None, None), ("NonNullableFormBuilder", "angular")]
     found = spark.createDataFrame(rows, "token string, origin string").select("origin", predicates.token_origin(F.col("token")).alias("found")).collect()
