@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import folded_path, relative_path
 from lodestone.operators import diff, lookup, predicates, projections, query_verbs, rendering
-from lodestone.plans.table_lane import read_table
+from lodestone.plans.table_lane import dealt, read_table
 from lodestone.sources import tier_files, units
 
 QUERIES: dict = {}
@@ -127,7 +127,7 @@ array_to_string(targets, ' ') AS targets, array_to_string(mocks, ' ') AS mocks,
 def test_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cases of each spec with their suites, and the members and dependencies that their texts name."""
     parts = read_table(spark, sf_dir, "part")
-    specs = parts.select(F.col("p_partkey").cast("string").alias("path"), F.expr(_SUITES).alias("text"))
+    specs = dealt(parts).select(F.col("p_partkey").cast("string").alias("path"), F.expr(_SUITES).alias("text"))
     named = lambda rows, *c: parts.select(F.col("p_partkey").cast("string").alias("path"), F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(r, c, strict=True)]) for r in rows])))
     cases = units.test_cases(specs, named([("load", "method:load"), ("save", "field:save"), ("size", "field:size")], "name", "id"), named([("Svc",), ("http_svc",)], "name"))
     joined = lambda c, by: F.array_join(c, by).alias(c if c != "suite_path" else "suites")

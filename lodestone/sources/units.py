@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import base_name, dir_name, joined_path
-from lodestone.sources.tokens import code_tokens
+from lodestone.sources.tokens import bound, code_tokens, token_arrays
 
 # Decorators that make a unit, in order of precedence, with the kinds they make.
 DECORATORS = (("Component", "component"), ("NgModule", "module"), ("Directive", "directive"), ("Pipe", "pipe"), ("Injectable", "service"))
@@ -124,24 +124,23 @@ def public_api(sources: DataFrame) -> DataFrame:
     return decorated.unionByName(called).withColumn("direction", F.lower("direction"))
 
 
-def _titled_calls(specs: DataFrame) -> DataFrame:
-    """path, name, ord, close, title, line, start and end of every call of a plain name with a literal first argument."""
-    tokens = _neighbours(code_tokens(specs), 2)
-    called = (F.col("kind") == "name") & (F.col("next1.value") == "(") & (F.col("next1.kind") == "sign") & F.col("next2.kind").isin("text", "plain")
-    calls = tokens.filter(called & ~F.coalesce(F.col("before").isin(".", "function", "new"), F.lit(False)))
-    ends = tokens.select("path", F.col("ord").alias("close"), F.col("end").alias("until"))
-    found = calls.select("path", F.col("value").alias("name"), "ord", F.col("next1.close").alias("close"), F.col("next2.value").alias("title"), "line", "start")
-    # a call that never closes goes on to the end of its source
-    return found.join(ends, ["path", "close"], "left").withColumn("close", F.coalesce("close", F.lit(2**31 - 1)))
+#: After these, a name and a bracket are no call of that name.
+NO_CALL = (".", "function", "new")
+
+
+def _titled_call(t: Column) -> Column:
+    """Whether a token begins a call of a plain name with a literal first argument."""
+    near = lambda k: F.get(F.col("tokens"), t["ord"] + k)
+    called = (t["kind"] == "name") & (near(1)["value"] == "(") & (near(1)["kind"] == "sign") & near(2)["kind"].isin("text", "plain")
+    return called & ~F.coalesce(near(-1)["value"].isin(*NO_CALL), F.lit(False))
 
 
 def test_titles(specs: DataFrame) -> DataFrame:
     """path, ord and title of every test case that has a literal title, also those that are skipped or focused."""
-    cases = _titled_calls(specs).filter(F.col("name").isin("it", "test", "xit", "fit"))
-    members = _neighbours(code_tokens(specs), 4).filter("kind = 'name' AND value IN ('it', 'test') AND next1.value = '.' AND next2.kind = 'name' AND next3.value = '(' AND next4.kind IN ('text', 'plain')")
-    both = cases.select("path", "ord", "title").unionByName(members.select("path", "ord", F.col("next4.value").alias("title")))
-    order = Window.partitionBy("path").orderBy("ord")
-    return both.withColumn("ord", F.row_number().over(order) - 1)
+    near = lambda t, k: F.get(F.col("tokens"), t["ord"] + k)
+    member = lambda t: (t["kind"] == "name") & t["value"].isin("it", "test") & (near(t, 1)["value"] == ".") & (near(t, 2)["kind"] == "name") & (near(t, 3)["value"] == "(") & near(t, 4)["kind"].isin("text", "plain")
+    title = lambda t: F.when(t["value"].isin("it", "test", "xit", "fit") & _titled_call(t), near(t, 2)["value"]).when(member(t), near(t, 4)["value"])
+    return token_arrays(specs).select("path", F.posexplode(F.array_compact(F.transform("tokens", title))).alias("ord", "title"))
 
 
 def test_cases(specs: DataFrame, members: DataFrame, dependencies: DataFrame) -> DataFrame:
@@ -149,27 +148,40 @@ def test_cases(specs: DataFrame, members: DataFrame, dependencies: DataFrame) ->
 
     A case's suites are the calls of `describe` whose brackets hold it, outermost first; a case inside another one isn't
     one. targets are the ids of the `members` (path, name, id) whose name is a word of the case's text, mocks the
-    `dependencies` (path, name) likewise, whatever the case of letters; both sorted. Words join by equality: no name is
-    compared with every text.
+    `dependencies` (path, name) likewise, whatever the case of letters; both sorted. Words are met with names by hash: no
+    name is compared with every text.
     """
-    calls = _titled_calls(specs)
-    suites = calls.filter("name = 'describe'").select("path", F.col("ord").alias("s_ord"), F.col("close").alias("s_close"), F.col("title").alias("suite"))
-    its = calls.filter("name = 'it'")
-    outer = its.select("path", F.col("ord").alias("o_ord"), F.col("close").alias("o_close"))
-    within = lambda ord_, close: (F.col("ord") > F.col(ord_)) & (F.col("ord") < F.col(close))
-    inside = its.join(outer, "path").filter(within("o_ord", "o_close")).select("path", "ord").distinct()
-    cases = its.join(inside, ["path", "ord"], "left_anti")
-    held = cases.join(suites, "path").filter(within("s_ord", "s_close")).groupBy("path", "ord").agg(F.transform(F.array_sort(F.collect_list(F.struct("s_ord", "suite"))), lambda s: s["suite"]).alias("suite_path"))
-    texts = cases.join(specs.select("path", "text"), "path").select("path", "ord", F.expr("substring(text, start + 1, coalesce(until, length(text)) - start)").alias("body"))
+    token = lambda k: F.get(F.col("tokens"), k)
+    # a call that never closes goes on to the end of its source
+    close = lambda t: F.coalesce(token(t["ord"] + 1)["close"], F.lit(2**31 - 1))
+    until = lambda t: F.coalesce(token(token(t["ord"] + 1)["close"])["end"], F.length("text"))
+    call = lambda t: F.struct(t["ord"].alias("ord"), close(t).alias("close"), token(t["ord"] + 2)["value"].alias("title"), t["line"].alias("line"), t["start"].alias("start"), until(t).alias("until"))
+    calls = lambda name: F.transform(F.filter("tokens", lambda t: (t["value"] == name) & _titled_call(t)), call)
+    # brackets hold each other or are apart, so a case that is inside another one is inside the last one kept
+    after = lambda kept, c: c["ord"] > F.coalesce(F.get(kept, F.size(kept) - 1)["close"], F.lit(-1))
+    outer = lambda its: F.aggregate(its, F.slice(its, 1, 0), lambda kept, c: F.when(after(kept, c), F.concat(kept, F.array(c))).otherwise(kept))
+    around = lambda suites, c: F.transform(F.filter(suites, lambda s: (s["ord"] < c["ord"]) & (c["ord"] < s["close"])), lambda s: s["title"])
     # ASCII words and the letters that a name may have, as the pattern's word ends see them
-    words = texts.select("path", "ord", F.explode(F.array_distinct(F.regexp_extract_all("body", F.lit(r"([A-Za-z0-9_]+)"), F.lit(1)))).alias("word"))
-    targets = words.join(members.select("path", F.col("name").alias("word"), "id"), ["path", "word"]).groupBy("path", "ord").agg(F.array_sort(F.collect_set("id")).alias("targets"))
-    small = words.select("path", "ord", F.lower("word").alias("word")).distinct()
-    mocks = small.join(dependencies.select("path", F.lower("name").alias("word"), "name"), ["path", "word"]).groupBy("path", "ord").agg(F.array_sort(F.collect_set(F.concat(F.lit("dep:"), "name"))).alias("mocks"))
-    rows = cases.join(held, ["path", "ord"], "left").join(targets, ["path", "ord"], "left").join(mocks, ["path", "ord"], "left")
-    number = F.row_number().over(Window.partitionBy("path").orderBy("ord"))
-    none = F.expr("cast(array() as array<string>)")
-    return rows.select("path", F.concat(F.lit("test:"), number.cast("string")).alias("id"), *[F.coalesce(c, none).alias(c) for c in ("suite_path", "targets", "mocks")], "title", "line")
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.substring("text", c["start"] + 1, c["until"] - c["start"]), F.lit(r"([A-Za-z0-9_]+)"), F.lit(1)))
+    case = lambda suites, c: F.struct(around(suites, c).alias("suite_path"), c["title"].alias("title"), c["line"].alias("line"), words(c).alias("words"))
+    cases = bound(calls("describe"), lambda suites: F.transform(bound(calls("it"), outer), lambda c: case(suites, c)))
+    rows = token_arrays(specs).select("path", cases.alias("cases"))
+
+    own = members.select("path", F.lit("own").alias("list"), F.col("name").alias("word"), "id")
+    injected = dependencies.select("path", F.lit("injected").alias("list"), F.lower("name").alias("word"), F.concat(F.lit("dep:"), "name").alias("id"))
+    lists = [F.collect_set(F.when(F.col("list") == name, F.struct("word", "id"))).alias(name) for name in ("own", "injected")]
+    # its size is estimated from tables that many more rows are made of, so it must not be broadcast
+    names = own.unionByName(injected).groupBy("path").agg(*lists).hint("merge")
+
+    def named(words: Column, names: Column) -> Column:
+        """The sorted ids of the names that are among the words."""
+        ids = lambda met: F.transform(F.filter(names, lambda n: F.array_contains(met, n["word"])), lambda n: n["id"])
+        found = bound(F.array_intersect(words, F.transform(names, lambda n: n["word"])), ids)
+        return F.coalesce(F.array_sort(F.array_distinct(F.array_compact(found))), F.expr("cast(array() as array<string>)"))
+
+    lower = lambda words: F.array_distinct(F.transform(words, lambda w: F.lower(w)))
+    whole = lambda c, n: F.struct(F.concat(F.lit("test:"), (n + 1).cast("string")).alias("id"), c["suite_path"].alias("suite_path"), named(c["words"], F.col("own")).alias("targets"), named(lower(c["words"]), F.col("injected")).alias("mocks"), c["title"].alias("title"), c["line"].alias("line"))
+    return rows.join(names, "path", "left").select("path", F.inline(F.transform("cases", whole)))
 
 
 def element_selectors(found: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.text import folded_path, joined_path, relative_path
 from lodestone.operators import enrichment, graph, member_refs, predicates, rules, symbols
-from lodestone.plans import member_lane
+from lodestone.plans import member_lane, source_lane
 from lodestone.sources import tokens, units
 
 
@@ -120,6 +120,28 @@ def test_suites_hold_their_cases(spark):
     ]
 
 
+def test_suites_are_not_broadcast(spark, sf_dir):
+    plan = source_lane.QUERIES["test_suites"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_cases_of_odd_and_long_specs(spark):
+    many = 1500
+    long = "".join(f"describe('d{k}', () => {{ it('c{k}', () => {{ a{k}(); it('no', f) }}) }});" for k in range(many))
+    odd = "it('', f); new it('no', f); x.it('no', f); function it('no') {} it(`two ${x}`, f); describe(x, () => it('in', Svc)); describe('d', () => { it('é', () => { é_a; _B })"
+    specs = spark.createDataFrame([("long", long), ("odd", odd), ("empty", ""), (None, "it('null', f)")], "path string, text string")
+    members = spark.createDataFrame([("long", f"a{k}", f"m{k}") for k in range(many)] + [("odd", None, "x"), ("odd", "_a", None), ("odd", "_a", "b"), ("odd", "_a", "a"), ("odd", "_a", "a"), (None, "f", "no")], "path string, name string, id string")
+    deps = spark.createDataFrame([("odd", "_b"), ("odd", "SVC"), ("odd", "svc"), ("odd", None), ("empty", "f")], "path string, name string")
+    found = {(r.path, r.id): (r.suite_path, r.title, r.targets, r.mocks) for r in units.test_cases(specs, members, deps).collect()}
+    assert {k: v for k, v in found.items() if k[0] != "long"} == {
+        ("odd", "test:1"): ([], "", [], []),
+        ("odd", "test:2"): ([], "in", [], ["dep:SVC", "dep:svc"]),
+        ("odd", "test:3"): (["d"], "é", ["a", "b"], ["dep:_b"]),
+        (None, "test:1"): ([], "null", [], []),
+    }
+    assert {k[1]: v for k, v in found.items() if k[0] == "long"} == {f"test:{k + 1}": ([f"d{k}"], f"c{k}", [f"m{k}"], []) for k in range(many)}
+
+
 def test_paths_fold(spark):
     rows = [("a/./b//../c", "a/c"), ("../x/..", ".."), ("/../a", "/a"), ("", "."), ("a\\b\\..\\c", "a/c"), ("../../a", "../../a"), ("/", "/")]
     made = spark.createDataFrame(rows, "path string, folded string").select("folded", folded_path(F.col("path")).alias("found"))
