@@ -78,7 +78,7 @@ _SPEC = """concat('describe("d', p_partkey, '", () => { it(', CASE p_size % 3 WH
 @_query("""SELECT p_partkey, ord, CASE ord WHEN 0 THEN CASE p_size % 3 WHEN 0 THEN 'a "' || p_type || '" b' WHEN 1 THEN 'it(' || p_type || ')' ELSE p_type || chr(10) END WHEN 1 THEN 't' || p_size ELSE 'f' END AS title FROM part, range(3) AS r(ord)""")
 def spec_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR05: the titles of each spec's cases, whatever quotes they have, outside comments and literals."""
-    found = units.test_titles(_made(spark, sf_dir, _SPEC))
+    found = units.test_titles(_made(spark, sf_dir, _SPEC, dealt))
     return found.select(F.col("path").cast("bigint").alias("p_partkey"), F.col("ord").cast("bigint").alias("ord"), "title")
 
 

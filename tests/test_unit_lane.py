@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import audit, diff, lookup, predicates
 from lodestone.plans import unit_lane
-from lodestone.sources import forms
+from lodestone.sources import forms, units
 
 
 @pytest.mark.parametrize("name", sorted(unit_lane.QUERIES))
@@ -68,6 +68,17 @@ def test_controls_of_odd_objects(spark):
     }
 
 
+def test_titles_are_found_where_their_spec_lies(spark, sf_dir):
+    plan = unit_lane.QUERIES["spec_titles"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_titles_of_specs_in_any_number(spark):
+    specs = [("a", "it('1', f); xit.only('no', f); fit(`2`, f); test.each(x)('no', f); it . skip ('3', f); it.only(`no ${x}`, f); describe('no', () => { test(\"\", f) })"), ("b", None), (None, "it('null', f)"), ("a", "it('same path', f)")]
+    found = units.test_titles(spark.createDataFrame(specs, "path string, text string")).collect()
+    assert [(r.path, r.ord, r.title) for r in found] == [("a", 0, "1"), ("a", 1, "2"), ("a", 2, "3"), ("a", 3, ""), (None, 0, "null"), ("a", 0, "same path")]
+
+
 def test_origins_are_whole_names(spark):
     rows = [("Router", "angular"), ("MyRouter", "internal"), ("router", "internal"), ("", "internal"), (None, None), ("NonNullableFormBuilder", "angular")]
     found = spark.createDataFrame(rows, "token string, origin string").select("origin", predicates.token_origin(F.col("token")).alias("found")).collect()
