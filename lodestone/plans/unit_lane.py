@@ -45,7 +45,7 @@ CASE p_partkey % 3 WHEN 0 THEN ' list: this.fb.array([this.fb.control("", Valida
 @_query("""SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'FormBuilder' ELSE 'new FormGroup' END AS built_with, 'form' AS name FROM part WHERE p_size % 4 <> 3""")
 def form_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The forms that classes make, and by what."""
-    return forms.form_groups(_made(spark, sf_dir, _FORM)).select(F.col("path").cast("bigint").alias("p_partkey"), "built_with", "name")
+    return forms.form_groups(_made(spark, sf_dir, _FORM, dealt)).select(F.col("path").cast("bigint").alias("p_partkey"), "built_with", "name")
 
 
 @_query("""SELECT p_partkey, 'control:form.' || name AS id, kind, validators, disabled FROM part,

@@ -79,6 +79,19 @@ def test_titles_of_specs_in_any_number(spark):
     assert [(r.path, r.ord, r.title) for r in found] == [("a", 0, "1"), ("a", 1, "2"), ("a", 2, "3"), ("a", 3, ""), (None, 0, "null"), ("a", 0, "same path")]
 
 
+def test_groups_are_found_where_their_source_lies(spark, sf_dir):
+    plan = unit_lane.QUERIES["form_groups"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_groups_of_odd_sources(spark):
+    text = "class A { a = b = new FormGroup({}); c =\n d = x.group(y); e() { return 1 } readonly f! = new FormArray<T>([]); g?: T = q.r.s.t.record({ z: 1 }); h = x.array({}); i = new Other({}); get j() { } }\nclass B { k = 1; }\n const l = x.group({}); class C { = x.group({}); }"
+    found = forms.form_groups(spark.createDataFrame([("a", text), ("b", "".join(f"class K{k} {{ f = x.group({{}}) }}" for k in range(3000)))], "path string, text string"))
+    rows = [(r.name, r.built_with, r.object is not None) for r in found.filter("path = 'a'").collect()]
+    assert rows == [("a", "new FormGroup", True), ("d", "FormBuilder", False), ("f", "new FormArray", False), ("g", "FormBuilder", True)]
+    assert [(r.name, r.built_with) for r in found.filter("path = 'b'").collect()] == [("f", "FormBuilder")] * 3000
+
+
 def test_origins_are_whole_names(spark):
     rows = [("Router", "angular"), ("MyRouter", "internal"), ("router", "internal"), ("", "internal"), (None, None), ("NonNullableFormBuilder", "angular")]
     found = spark.createDataFrame(rows, "token string, origin string").select("origin", predicates.token_origin(F.col("token")).alias("found")).collect()
